@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, token_counts
+from . import bpe, simhash, token_counts
 from .shared import fresh_path, load
 
 
@@ -27,9 +27,15 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op6_token_counts": op6_token_counts,
+    "op7_simhash_components": op7_simhash_components,
 }
 
 ORACLE_SQL: dict[str, str] = {}
