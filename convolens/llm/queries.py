@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash, token_counts
+from . import bpe, simhash, substring_dedup, token_counts
 from .shared import fresh_path, load
 
 
@@ -32,10 +32,16 @@ def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.repeated_passages(load(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op6_token_counts": op6_token_counts,
     "op7_simhash_components": op7_simhash_components,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
