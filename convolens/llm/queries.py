@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality_rules, simhash, substring_dedup, token_counts
+from . import bpe, pii, quality_rules, simhash, substring_dedup, token_counts
 from .shared import fresh_path, load
 
 
@@ -26,6 +26,17 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(load(spark, sf_dir, "documents"))
+    base = F.concat(*(F.transform(kind, lambda s: F.struct(F.lit(k).alias("rank"), s["start"].alias("start"), s["stop"].alias("stop"))) for k, kind in enumerate(pii.KINDS)))
+    return found.select(
+        "doc_id",
+        *(F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(pii.digest(base), 256).alias("base_sha256"),
+        pii.digest(F.col("all_spans")).alias("spans"),
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts from an empty cache of its own, so that every run does the whole work."""
     counts = token_counts.count_tokens(load(spark, sf_dir, "documents"), tokenizer_path(), fresh_path(spark, "token_cache"))
@@ -45,6 +56,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op5_personal_data": op5_personal_data,
     "op6_token_counts": op6_token_counts,
     "op7_simhash_components": op7_simhash_components,
     "op10_substring_dedup": op10_substring_dedup,
