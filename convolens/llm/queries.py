@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, pii, quality_rules, simhash, substring_dedup, token_counts
+from . import bpe, decontamination, pii, quality_rules, simhash, substring_dedup, token_counts
 from .shared import fresh_path, load
 
 
@@ -26,6 +26,11 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold benchmark items, each with the list of them."""
+    return decontamination.caught(decontamination.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(load(spark, sf_dir, "documents"))
     base = F.concat(*(F.transform(kind, lambda s: F.struct(F.lit(k).alias("rank"), s["start"].alias("start"), s["stop"].alias("stop"))) for k, kind in enumerate(pii.KINDS)))
@@ -56,6 +61,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op4_decontamination": op4_decontamination,
     "op5_personal_data": op5_personal_data,
     "op6_token_counts": op6_token_counts,
     "op7_simhash_components": op7_simhash_components,
