@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, pii, quality_rules, simhash, substring_dedup, token_counts
+from . import bpe, decontamination, html_text, langid, pii, quality_rules, simhash, substring_dedup, token_counts
 from .shared import fresh_path, load
 
 
@@ -53,6 +53,16 @@ def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(load(spark, sf_dir, "pages"))
+
+
+def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = langid.train(langid.training_rows(docs))
+    return langid.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.repeated_passages(load(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -65,6 +75,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_personal_data": op5_personal_data,
     "op6_token_counts": op6_token_counts,
     "op7_simhash_components": op7_simhash_components,
+    "op8_html_text": op8_html_text,
+    "op9_language_mixture": op9_language_mixture,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
