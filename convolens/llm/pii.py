@@ -88,10 +88,10 @@ def _valid(kind: str, token: Column) -> Column:
     return F.lit(True)
 
 
-def base_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def base_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, row_key, text, email, ip, card, phone, tokens): the valid spans of each kind, and the identifier-like
     tokens that overlap none of them."""
-    d = texts(docs, id_col=id_col, text_col=text_col)
+    d = texts(docs, id_col=id_col, text_col=text_col, carry=carry)
     d = d.withColumn("row_key", F.xxhash64("doc_id", "text"))
     for kind in KINDS:
         d = d.withColumn(kind, F.filter(spans(F.col("text"), PATTERNS[kind], HINTS[kind]), lambda s: _valid(kind, s["token"])))
@@ -165,20 +165,20 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFr
     return extra, patterns
 
 
-def personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, text, email, ip, card, phone, all_spans) for every row of ``docs``.
 
     The kinds are the base spans; all_spans is array<struct<rank, start, stop>> (rank: the kind's place in KINDS) of
     base and learned spans, sorted.  Null texts count as empty.  Repeated rows get equal results.
     """
-    found = settle(base_spans(docs, id_col=id_col, text_col=text_col), "pii_base")
+    found = settle(base_spans(docs, id_col=id_col, text_col=text_col, carry=carry), "pii_base")
     extra, _ = bootstrap(found, rounds)
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int") - 1
     added = settle(extra.groupBy("row_key").agg(F.collect_set(F.struct(rank.alias("rank"), "start", "stop")).alias("added")), "pii_added")
     own = F.concat(*(F.transform(kind, lambda s: F.struct(F.lit(k).alias("rank"), s["start"].alias("start"), s["stop"].alias("stop"))) for k, kind in enumerate(KINDS)))
     none = F.array().cast("array<struct<rank: int, start: int, stop: int>>")
     out = found.join(added, "row_key", "left").withColumn("all_spans", F.array_sort(F.concat(own, F.coalesce("added", none))))
-    return out.select("doc_id", "text", *KINDS, "all_spans")
+    return out.select("doc_id", "text", *carry, *KINDS, "all_spans")
 
 
 def digest(spans_col: Column) -> Column:

@@ -72,10 +72,10 @@ def statistics(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     Words are runs of characters other than ASCII white space; n_repeat_words counts the words in 8-word windows
     found twice or more in the text.  Windows are compared by a 64-bit hash inside one text.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text = F.coalesce(F.col("__text"), F.lit(""))
     gone = lambda c, chars: F.length(c) - F.length(F.translate(c, chars, ""))
-    keep = [docs[c] for c in carry]
-    d = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), *keep)
+    keep = [docs[c] for c in carry if c != "doc_id"]
+    d = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("__text"), *keep)
     d = d.withColumn("words", F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     d = d.withColumn("lines", F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACES, "") != ""))
     d = d.withColumn("codes", F.transform("words", lambda w: F.xxhash64(w)))
@@ -96,7 +96,7 @@ def statistics(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     whole = F.length(text)
     d = d.select(
         "doc_id",
-        *carry,
+        *(c for c in carry if c != "doc_id"),
         "n_words",
         (whole - gone(text, SPACES)).cast("long").alias("word_chars"),
         gone(text, SYMBOLS).cast("long").alias("n_symbols"),

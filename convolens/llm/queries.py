@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, html_text, langid, pii, quality_rules, simhash, substring_dedup, token_counts
+from . import bpe, decontamination, html_text, langid, pii, quality_rules, quotations, simhash, substring_dedup, token_counts
 from .shared import fresh_path, load
 
 
@@ -17,6 +17,10 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.link_quotations(load(spark, sf_dir, "conversations"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, _ = quality_rules.judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
@@ -69,6 +73,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quotation_linking": op1_quotation_linking,
     "op2_quality_rules": op2_quality_rules,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_decontamination": op4_decontamination,

@@ -48,12 +48,12 @@ def size_in_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", null_as: str | None = "") -> DataFrame:
-    """Only (doc_id long, text string) of ``docs``, whatever else it carries."""
+def texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", null_as: str | None = "", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Only (doc_id long, text string) of ``docs`` and the columns named in ``carry``, whatever else it has."""
     text: Column = docs[text_col].cast("string")
     if null_as is not None:
         text = F.coalesce(text, F.lit(null_as))
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"))
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"), *(docs[c] for c in carry))
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

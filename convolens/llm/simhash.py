@@ -160,3 +160,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     classes = settle(linked.unionByName(alone), "classes")
     release(spark)
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **parameters: int) -> DataFrame:
+    """The rows of ``docs`` (all columns) with one document of each group left, the one of the smallest id.
+
+    Of rows that repeat an id one stays.  Rows without an id stay only where no row of their group has one."""
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **parameters)
+    first = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__first")).distinct()
+    kept = docs.join(settle(first, "kept_ids"), docs[id_col].cast("long").eqNullSafe(F.col("__first")), "left_semi")
+    return kept.dropDuplicates([id_col])
