@@ -184,8 +184,8 @@ def decide(found: list[Block]) -> list[Block]:
             b.good = True if len(b.text) >= LONG else None
         elif len(b.text) >= LONG:
             b.good = _stop_share(b.text) >= STOPS
-    # Inside an article only its own text speaks for its short blocks, not adverts between them.
-    voters = [k for k, b in enumerate(found) if b.good is not None and (b.inside and not b.outside) == marked]
+    # Inside an article only its running text speaks for its short blocks, not adverts or link lists between them.
+    voters = [k for k, b in enumerate(found) if b.good or (b.good is False and not marked and not b.outside)]
     for k, b in enumerate(found):
         if b.good is not None:
             continue
