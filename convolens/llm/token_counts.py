@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import byte_bpe, is_byte_level
-from .shared import texts
+from .shared import settle, texts
 
 CACHE_SCHEMA = "tokenizer_digest string, content_digest string, n_tokens long"
 
@@ -82,5 +82,6 @@ def count_tokens(docs: DataFrame, path: str, cache_path: str, *, id_col: str = "
 
     misses.select("content_digest", "text").mapInArrow(run, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
     known = read_cache(spark, cache_path).where(F.col("tokenizer_digest") == version).groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
+    known = settle(known, "known_counts")  # read anew, so that a digest with very many rows can be split in the join
     sized = rows.select("doc_id", "content_digest", F.octet_length("text").cast("long").alias("n_bytes"))
     return sized.join(known, "content_digest").select("doc_id", "n_bytes", "n_tokens")
