@@ -38,9 +38,12 @@ def settle(df: DataFrame, name: str, *, partition_by: tuple[str, ...] = ()) -> D
 def release(spark: SparkSession) -> None:
     """Let the context cleaner drop shuffle files of finished steps before the next one adds its own."""
     import gc
+    import time
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first pass lets go of, the second one finds unreachable
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
 
 
 def size_in_bytes(df: DataFrame) -> int:

@@ -122,6 +122,7 @@ class _Cell:
             return none, none, none.astype(np.uint64), none.astype(np.uint64), none.astype(bool)
         doc, start, one, two = map(np.concatenate, (docs, starts, ones, twos))
         ids = np.array(self.ids, np.int64)[doc]
+        two = two >> np.uint64(32)  # 96 bits of hash tell windows apart
         order = np.lexsort((start, ids, two, one))
         doc, start, one, two, ids = doc[order], start[order], one[order], two[order], ids[order]
         new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
@@ -237,15 +238,15 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         doc, start, one, two, first = cell.candidates(hits_of(cell, replies))
         doc, start, one, two = doc[first], start[first], one[first], two[first]
         ids = np.array(cell.ids, np.int64)[doc] if len(doc) else np.empty(0, np.int64)
-        return _wire(_deal(key[0].as_py(), _bucket(one, n), n, [one, two, ids, start.astype(np.int64)]))
+        return _wire(_deal(key[0].as_py(), _bucket(one, n), n, [one, two.astype(np.uint32), ids, start.astype(np.uint32)]))
 
     def settle_owner(key, table):
         import numpy as np
 
         one, sizes = _gather(table, "one", np.uint64)
-        two, _ = _gather(table, "two", np.uint64)
+        two, _ = _gather(table, "two", np.uint32)
         ids, _ = _gather(table, "three", np.int64)
-        start, _ = _gather(table, "four", np.int64)
+        start, _ = _gather(table, "four", np.uint32)
         order = np.lexsort((start, ids, two, one))
         a, b = one[order], two[order]
         new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
@@ -266,13 +267,13 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
         cell = _Cell(table, window, block)
         doc, start, one, two, first = cell.candidates(hits_of(cell, replies))
-        told = [(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)) for kind, a, b in zip(replies.column("kind").to_pylist(), replies.column("one"), replies.column("two"), strict=True) if kind == 1]
+        told = [(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint32)) for kind, a, b in zip(replies.column("kind").to_pylist(), replies.column("one"), replies.column("two"), strict=True) if kind == 1]
         elsewhere = np.zeros(len(doc), bool)
         if told:
             a, b = (np.concatenate(x) for x in zip(*told, strict=True))
-            pair = np.dtype([("a", np.uint64), ("b", np.uint64)])
+            pair = np.dtype([("a", np.uint64), ("b", np.uint32)])
             mine, other = np.empty(len(one), pair), np.empty(len(a), pair)
-            mine["a"], mine["b"], other["a"], other["b"] = one, two, a, b
+            mine["a"], mine["b"], other["a"], other["b"] = one, two.astype(np.uint32), a, b
             elsewhere = np.isin(mine, other)
         drop = ~first | elsewhere
         by = np.argsort(doc[drop], kind="stable")
