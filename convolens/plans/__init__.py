@@ -1,0 +1,6 @@
+"""Registered queries by name, and their oracles."""
+
+from . import reporting
+
+QUERIES = {**reporting.QUERIES}
+ORACLE_SQL = {**reporting.ORACLE_SQL}
