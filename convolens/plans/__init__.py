@@ -1,6 +1,6 @@
 """Registered queries by name, and their oracles."""
 
-from . import reporting
+from . import reporting, texts
 
-QUERIES = {**reporting.QUERIES}
-ORACLE_SQL = {**reporting.ORACLE_SQL}
+QUERIES = {**reporting.QUERIES, **texts.QUERIES}
+ORACLE_SQL = {**reporting.ORACLE_SQL, **texts.ORACLE_SQL}

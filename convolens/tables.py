@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,3 +29,11 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/convolens/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the context cleaner drop shuffle files of finished steps."""
+    for _ in range(2):  # what the first pass lets go of, the second one finds unreachable
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
