@@ -1,6 +1,6 @@
 """Registered queries by name, and their oracles."""
 
-from . import reporting, texts
+from . import batch, reporting, texts
 
-QUERIES = {**reporting.QUERIES, **texts.QUERIES}
-ORACLE_SQL = {**reporting.ORACLE_SQL, **texts.ORACLE_SQL}
+QUERIES = {**reporting.QUERIES, **texts.QUERIES, **batch.QUERIES}
+ORACLE_SQL = {**reporting.ORACLE_SQL, **texts.ORACLE_SQL, **batch.ORACLE_SQL}
