@@ -165,8 +165,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **parameters: int) -> DataFrame:
     """The rows of ``docs`` (all columns) with one document of each group left, the one of the smallest id.
 
-    Of rows that repeat an id one stays.  Rows without an id stay only where no row of their group has one."""
+    Of rows that repeat an id one stays.  Rows without an id stay as they are, as nothing can name them."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **parameters)
-    first = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__first")).distinct()
-    kept = docs.join(settle(first, "kept_ids"), docs[id_col].cast("long").eqNullSafe(F.col("__first")), "left_semi")
-    return kept.dropDuplicates([id_col])
+    first = settle(found.where("doc_id = component_id").select(F.col("doc_id").alias("__first")).distinct(), "kept_ids")
+    # Both steps need rows of one id together, so the texts move once.
+    named = docs.join(first, docs[id_col] == first["__first"], "left_semi").dropDuplicates([id_col])
+    return named.unionByName(docs.where(docs[id_col].isNull()))
