@@ -186,7 +186,11 @@ def learn(labelled: DataFrame, *, label_col: str = "quality", rows: int = SAMPLE
     Without rejected or without accepted rows the list is empty and keeps everything.
     """
     order = F.xxhash64("doc_id")
-    taken = labelled.where(F.col(label_col).isin(0, 1)).select(order.alias("o"), *(F.col(f).cast("double") for f in FEATURES), F.col(label_col).cast("int")).orderBy("o", *FEATURES).limit(rows).collect()
+    usable = labelled.where(F.col(label_col).isin(0, 1))
+    # Only about as many rows as are wanted may reach the driver, however many tasks read them.
+    share = min(1.0, 1.2 * rows / max(1, usable.count()))
+    usable = usable if share >= 1 else usable.where(order < int(-(2**63) + share * 2**64))
+    taken = usable.select(order.alias("o"), *(F.col(f).cast("double") for f in FEATURES), F.col(label_col).cast("int")).orderBy("o", *FEATURES).limit(rows).collect()
     data = [tuple(r)[1:] for r in taken]
     prune = data[::3]
     grow = [r for k, r in enumerate(data) if k % 3]
