@@ -58,8 +58,13 @@ def spans(text: Column, pattern: str, hint: str | None = None) -> Column:
         return F.struct((n + 1).alias("n"), stop.alias("at"), piece.alias("before"), F.when(odd, F.concat(acc["out"], F.array(found))).otherwise(acc["out"]).alias("out"))
 
     start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("at"), F.lit("").alias("before"), empty.alias("out"))
-    walked = F.aggregate(pieces, start, step, lambda acc: acc["out"])
-    withright = F.transform(walked, lambda s, i: s.withField("right", F.left(F.get(pieces, 2 * i + 2), F.lit(_SIDE))))
+
+    def walk(parts: Column) -> Column:
+        found = F.aggregate(parts, start, step, lambda acc: acc["out"])
+        return F.transform(found, lambda s, i: s.withField("right", F.left(F.get(parts, 2 * i + 2), F.lit(_SIDE))))
+
+    # The pieces are a lambda's variable, so that they are made once and not for every match.
+    withright = F.get(F.transform(F.array(pieces), walk), F.lit(0))
     return F.when(text.rlike(hint or pattern), withright).otherwise(empty)
 
 
