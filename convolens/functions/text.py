@@ -123,18 +123,26 @@ def words(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(f"([{W}]+)"), 1)
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once, also where body uses it inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def ngrams(items: Column, n: int) -> Column:
     """All runs of n items joined by a space; none when there are fewer."""
-    size = F.size(items)
-    runs = F.transform(F.sequence(F.lit(0), F.greatest(size - n, F.lit(0))), lambda i: F.array_join(F.slice(items, i + 1, n), " "))
-    return F.when(size >= n, runs).otherwise(F.array().cast("array<string>"))
+
+    def runs(t: Column) -> Column:
+        out = F.transform(F.sequence(F.lit(0), F.greatest(F.size(t) - n, F.lit(0))), lambda i: F.array_join(F.slice(t, i + 1, n), " "))
+        return F.when(F.size(t) >= n, out).otherwise(F.array().cast("array<string>"))
+
+    return let(items, runs)
 
 
 def shingles(c: Column, k: int = 3, chars: int = 5) -> Column:
     """Distinct word k-shingles; of shorter texts character shingles, and of the shortest the text itself."""
     t = tokens(c)
     bare = F.replace(c, F.lit(" "), F.lit(""))
-    pieces = F.transform(F.sequence(F.lit(0), F.greatest(F.length(bare) - chars, F.lit(0))), lambda i: F.substring(bare, i + 1, chars))
+    pieces = let(bare, lambda b: F.transform(F.sequence(F.lit(0), F.greatest(F.length(b) - chars, F.lit(0))), lambda i: F.substring(b, i + 1, chars)))
     short = F.when(F.length(bare) >= chars, pieces).when(F.length(c) > 0, F.array(c)).otherwise(F.array().cast("array<string>"))
     return F.array_distinct(F.when(F.size(t) >= k, ngrams(t, k)).otherwise(short))
 

@@ -76,8 +76,8 @@ query(
     "doc_mentions",
 )(lambda s, d: dedup.annotate(docs(s, d), near=False).select("mention_id", "dedup_kind", "dedup_cluster_size", "dedup_weight"))
 query("dedup_representative", f"+{EXACT} SELECT representative_id, cluster_size FROM clusters", "doc_mentions")(lambda s, d: dedup.exact_clusters(docs(s, d)).select("representative_id", "cluster_size"))
-SHINGLES = "list_distinct(list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2]))"
-query("dedup_shingles", f"+{DOCS} SELECT mention_id, len({SHINGLES}) AS shingles FROM (SELECT mention_id, {TOKENS} AS t FROM docs) WHERE len(t) >= 3", "doc_mentions")(
+TRIPLES = "unnest(t) AS w1, unnest(list_concat(t[2:], [NULL])) AS w2, unnest(list_concat(t[3:], [NULL, NULL])) AS w3"
+query("dedup_shingles", f"+{DOCS} SELECT mention_id, count(DISTINCT w1 || ' ' || w2 || ' ' || w3) AS shingles FROM (SELECT mention_id, {TRIPLES} FROM (SELECT mention_id, {TOKENS} AS t FROM docs)) WHERE w3 IS NOT NULL GROUP BY mention_id", "doc_mentions")(
     lambda s, d: docs(s, d).where(F.size(x.tokens(F.col("text"))) >= 3).select("mention_id", F.size(x.shingles(F.col("text"))).cast("long").alias("shingles"))
 )
 query("dedup_near_lsh")(lambda s, d: dedup.similar_pairs(docs(s, d).dropDuplicates(["text"])))
