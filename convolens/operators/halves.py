@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 PREFIX = 3
+#: Column in which mentions carry their half once it is known.
+MARK = "__earlier_half"
 
 
 def border(mentions: DataFrame) -> tuple[object, str] | None:
@@ -36,3 +38,13 @@ def is_earlier(split: tuple[object, str] | None) -> Column:
         return F.lit(None).cast("boolean")
     at, key = F.lit(split[0]), F.lit(split[1])
     return (F.col("posted_at") < at) | ((F.col("posted_at") == at) & (F.coalesce("mention_id", F.lit("")) <= key))
+
+
+def earlier_half(mentions: DataFrame) -> Column:
+    """The half of each mention: as marked, or by a search for the border."""
+    return F.col(MARK) if MARK in mentions.columns else is_earlier(border(mentions))
+
+
+def mark_halves(mentions: DataFrame) -> DataFrame:
+    """Mentions with their half, so that reports on the same mentions look for the border once."""
+    return mentions.withColumn(MARK, is_earlier(border(mentions)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.numbers import growth, ratio, round_to
-from .halves import border, is_earlier
+from .halves import earlier_half
 from .metrics import with_total
 
 TOP = 10
@@ -38,7 +38,7 @@ def _lookup(key: Column, table: dict[str, float], default: float) -> Column:
 
 def halves(mentions: DataFrame) -> DataFrame:
     """(mention_id, earlier, weight) of every mention."""
-    return mentions.select("mention_id", is_earlier(border(mentions)).alias("earlier"), "weight")
+    return mentions.select("mention_id", earlier_half(mentions).alias("earlier"), "weight")
 
 
 def presence(rows: DataFrame, key: str, split: DataFrame) -> DataFrame:
@@ -153,7 +153,7 @@ def top_issues(issues: DataFrame, mentions: DataFrame, limit: int | None = TOP)
     # Whole millionths add up to the same sum in any order.
     rows = issues.where("issue_category is not null").withColumn("pressure", F.floor(pressure_of() * 1e6 + 0.5).cast("long"))
     per_mention = rows.groupBy("issue_category", "mention_id").agg(_n().alias("facts"), F.sum("pressure").alias("pressure"))
-    per_mention = per_mention.join(mentions.select("mention_id", is_earlier(border(mentions)).alias("earlier")), "mention_id", "left")
+    per_mention = per_mention.join(mentions.select("mention_id", earlier_half(mentions).alias("earlier")), "mention_id", "left")
     side = lambda c: F.sum(F.when(c, 1).otherwise(0))
     out = per_mention.groupBy("issue_category").agg(
         F.sum("facts").alias("issue_fact_count"), _n().alias("mention_count"), F.sum("pressure").alias("p"), (side(~F.col("earlier")) - side(F.col("earlier"))).alias("growth_delta_mentions")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as x
-from ..operators import dedup, entities, language, metrics, ontology, reports, review, rules, semantics, spam, threads, topics, validation
+from ..operators import dedup, entities, halves, language, metrics, ontology, reports, review, rules, semantics, spam, threads, topics, validation
 from ..sources import records
 from ..tables import settle
 
@@ -105,24 +105,17 @@ def dimensions(spark: SparkSession, mentions: DataFrame, onto: dict) -> dict[str
 
 def build_reports(t: dict[str, DataFrame], weighting: str) -> dict[str, DataFrame]:
     column = {"raw": F.lit(1.0), "dedup": F.col("dedup_weight"), "quality": F.col("quality_weight")}[weighting]
-    m = t["fact_mentions"].withColumn("weight", column.cast("double"))
-    voice = reports.share_of_voice(t["fact_entity_mentions"], m, weighted=weighting != "raw")
-    contested = reports.controversy(t["fact_threads"], m, t["fact_sentiment"], t["fact_issue_signals"])
-    buzz = reports.topic_buzz(t["fact_topics"], m, t["fact_topic_artifacts"])
-    emerging = reports.emerging_topics(t["fact_topic_artifacts"])
-    issues = reports.top_issues(t["fact_issue_signals"], m)
-    creators = reports.breakdown(m, "author_id")
+    m = halves.mark_halves(t["fact_mentions"].withColumn("weight", column.cast("double")))
     return {
-        "sov_report": voice,
+        "sov_report": reports.share_of_voice(t["fact_entity_mentions"], m, weighted=weighting != "raw"),
         "buzz_entities": reports.buzz(t["fact_entity_mentions"], "canonical_entity_id", m),
-        "buzz_topics": buzz,
-        "emerging_topics": emerging,
-        "top_issues": issues,
-        "thread_controversy": contested,
-        "creators": creators,
+        "buzz_topics": reports.topic_buzz(t["fact_topics"], m, t["fact_topic_artifacts"]),
+        "emerging_topics": reports.emerging_topics(t["fact_topic_artifacts"]),
+        "top_issues": reports.top_issues(t["fact_issue_signals"], m),
+        "thread_controversy": reports.controversy(t["fact_threads"], m, t["fact_sentiment"], t["fact_issue_signals"]),
+        "creators": reports.breakdown(m, "author_id"),
         "initiators": reports.breakdown(m.where("depth = 0"), "author_id"),
         "sources": reports.breakdown(m, "platform"),
-        "insight_cards": reports.insight_cards(voice, buzz, emerging, issues, contested, creators),
     }
 
 
@@ -176,7 +169,10 @@ def run(spark: SparkSession, source: str, ontology_path: str, out: str, settings
         open_items = review.queue(tables["fact_entity_mentions"].withColumn("target_text", F.col("text")).withColumn("confidence", F.col("link_confidence")), labels)
         records.write_tables({"review_queue": review.with_signature(open_items), "review_groups": review.groups(open_items)}, f"{out}/review", "json")
     with timing.stage("reports"):
-        records.write_tables(build_reports(tables, settings.weighting), f"{out}/reports", "json")
+        built = build_reports(tables, settings.weighting)
+        stored = records.write_tables(built, f"{out}/reports", "json")
+        ranked = [spark.read.schema(built[k].schema).json(stored[k]) for k in ("sov_report", "buzz_topics", "emerging_topics", "top_issues", "thread_controversy", "creators")]
+        records.write_tables({"insight_cards": reports.insight_cards(*ranked)}, f"{out}/reports", "json")
         records.write_tables(build_metrics(tables), f"{out}/metrics", "json")
     manifest = {"run_id": name, "source": records.inspect(spark, source), "domain": onto["domain_id"], "ontology": ontology.fingerprint(ontology_path), "records": report, "weighting": settings.weighting, "seconds": timing.seconds, "marts": sorted(paths)}
     records.write_text_if_changed(spark, f"{out}/manifest.json", json.dumps(manifest, indent=2, sort_keys=True))

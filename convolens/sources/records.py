@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
+
+#: Tables written at the same time.
+WRITERS = 4
 
 LINES = "source_path string, line_number long, value string"
 
@@ -107,10 +112,12 @@ def tee_lines(lines: DataFrame, path: str) -> None:
 
 def write_tables(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, str]:
     """One folder for each table; ``fmt`` is parquet, orc or json."""
-    out = {}
-    for name, df in tables.items():
-        out[name] = f"{folder.rstrip('/')}/{name}"
-        df.write.mode("overwrite").format(fmt).save(out[name])
+    out = {name: f"{folder.rstrip('/')}/{name}" for name in tables}
+    # Several jobs at a time, so that the last tasks of one table don't leave the executors idle.
+    with ThreadPoolExecutor(WRITERS) as pool:
+        jobs = [pool.submit(inheritable_thread_target(df.sparkSession)(df.write.mode("overwrite").format(fmt).save), out[name]) for name, df in tables.items()]
+        for job in jobs:
+            job.result()
     return out
 
 
