@@ -112,7 +112,8 @@ def _context(side: Column, last: bool) -> Column:
 
 
 def instances(found: DataFrame) -> DataFrame:
-    """(row_key, kind or null, start, stop, token, left, right) of base hits and other identifier-like tokens."""
+    """(row_key, kind or null, start, stop, token, left, right, word) of base hits and other identifier-like tokens; word:
+    it fills one place between two words."""
     each = [F.transform(kind, lambda s: F.struct(F.lit(kind).alias("kind"), s.alias("s"))) for kind in KINDS]
     each.append(F.transform("tokens", lambda s: F.struct(F.lit(None).cast("string").alias("kind"), s.alias("s"))))
     rows = found.select("row_key", F.explode(F.concat(*each)).alias("i")).select("row_key", "i.kind", "i.s.*")
@@ -122,14 +123,29 @@ def instances(found: DataFrame) -> DataFrame:
     return rows.select(
         "row_key", "kind", "start", F.when(F.col("kind").isNull(), F.col("start") + F.length(bare)).otherwise(F.col("stop")).alias("stop"), token.alias("token"),
         _context(F.col("left"), True).alias("left"), _context(F.col("right"), False).alias("right"),
+        (F.col("left").rlike(r"[\x20\x09-\x0D]$") & F.col("right").rlike(r"^[\x20\x09-\x0D]") & ~token.rlike(r"[\x20\x09-\x0D]")).alias("word"),
     ).where("stop > start")
 
 
+def _places(found: DataFrame) -> DataFrame:
+    """(cue) for each word of each text, and for each two words with one word between them."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    bare = F.transform(words, lambda w: F.lower(F.translate(w, _PUNCTUATION, "")))
+
+    def walk(parts: Column) -> Column:
+        return F.transform(parts, lambda w, i: F.struct(w.alias("one"), F.get(parts, i + 2).alias("after")))
+
+    # The words are a lambda's variable, so that they are made once and not for every word.
+    pairs = found.select(F.explode(F.get(F.transform(F.array(bare), walk), F.lit(0))).alias("p")).select("p.*").where("one <> ''")
+    both = F.when(F.col("after") != "", F.concat_ws(" _ ", "one", "after"))
+    return pairs.select(F.explode(F.array("one", both)).alias("cue")).where("cue is not null")
+
+
 def bootstrap(found: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(new spans (row_key, kind, start, stop), trusted patterns) learned from ``found`` (see base_spans).
 
-    A pattern's places are counted in all texts that hold an instance: everything that stands next to its word there,
-    ordinary words too, speaks against it.
+    A pattern's places are counted in all texts, also those without an instance: everything that stands next to its word
+    or between its two words, ordinary words too, speaks against it.
     """
     seen = settle(instances(found), "pii_instances")
     sides = F.array(
@@ -139,21 +155,24 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFr
     )
     with_cues = seen.select("*", F.explode(sides).alias("p")).select("*", "p.side", "p.cue").where("cue is not null and (side <> 'both' or (left is not null and right is not null))").drop("p")
     graph = settle(with_cues, "pii_graph")
-    holding = found.where((F.size(F.concat(*KINDS)) > 0) | (F.size("tokens") > 0))
-    words = holding.select(F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("w")).select(F.lower(F.translate("w", _PUNCTUATION, "")).alias("cue")).where("cue <> ''")
     supported = graph.where("kind is not null").groupBy("kind", "side", "cue").agg(F.countDistinct("token").alias("n")).where(F.col("n") >= LEAST_SUPPORT)
     if supported.isEmpty():
         none = seen.where(F.lit(False))
         return none.select("row_key", "kind", "start", "stop"), supported.withColumn("confidence", F.lit(0.0))
-    places = settle(words.groupBy("cue").agg(F.count(F.lit(1)).alias("places")), "pii_places")
+    # Later rounds know more tokens, so a cue stays when it has enough of them, known or not.
+    cues = settle(graph.groupBy("side", "cue").agg(F.countDistinct("token").alias("n")).where(F.col("n") >= LEAST_SUPPORT).select("cue").distinct(), "pii_cues")
+    places = settle(_places(found).join(cues, "cue", "left_semi").groupBy("cue").agg(F.count(F.lit(1)).alias("places")), "pii_places")
     graph = settle(graph.join(places, "cue", "left"), "pii_graph_sized")
     known = settle(seen.where("kind is not null").select("kind", "token").distinct(), "pii_known")
     patterns = None
     for k in range(rounds):
         # Repeats of one token count once for support, but every place counts against.
         held = graph.drop("kind").join(known, "token")
-        size = F.when(F.col("side") == "both", F.col("hits")).otherwise(F.greatest("hits", "places"))
-        in_all = graph.groupBy("side", "cue").agg(F.countDistinct("row_key", "start", "stop").alias("hits"), F.max("places").alias("places")).withColumn("size", size)
+        # Between two words, places are those of one word; what is longer or touches them comes on top.
+        size = F.when(F.col("side") == "both", F.greatest(F.col("hits"), F.coalesce("places", F.lit(0)) + F.col("longer"))).otherwise(F.greatest("hits", "places"))
+        in_all = graph.groupBy("side", "cue").agg(
+            F.countDistinct("row_key", "start", "stop").alias("hits"), F.countDistinct(F.when(~F.col("word"), F.struct("row_key", "start", "stop"))).alias("longer"), F.max("places").alias("places")
+        ).withColumn("size", size)
         scored = held.groupBy("side", "cue", "kind").agg(F.countDistinct("token").alias("support"), F.countDistinct("row_key", "start", "stop").alias("good"))
         patterns = scored.join(in_all, ["side", "cue"]).withColumn("confidence", F.col("good") / F.col("size"))
         patterns = settle(patterns.where((F.col("support") >= LEAST_SUPPORT) & (F.col("confidence") >= LEAST_CONFIDENCE)).select("side", "cue", "kind", "support", "confidence"), f"pii_patterns{k}")
