@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .shared import settle
 
@@ -116,11 +117,15 @@ def link_quotations(messages: DataFrame, **cols: str) -> DataFrame:
     rows = settle(parsed(messages, **cols), "messages")
     own = rows.where("conv_id is not null and turn is not null").select("conv_id", "turn", F.explode("own").alias("digest"))
     here = settle(own.groupBy("conv_id", "digest").agg(F.min("turn").alias("first_turn")), "own_here")
-    anywhere = settle(here.groupBy("digest").agg(F.min(F.struct("conv_id", "first_turn")).alias("first")), "own_anywhere")
+    # Two conversations for each digest, so that one is left when the quoting one is the other; the limit holds before rows move.
+    two = here.withColumn("place", F.row_number().over(Window.partitionBy("digest").orderBy("conv_id"))).where("place <= 2")
+    holder = F.struct("conv_id", "first_turn")
+    anywhere = settle(two.groupBy("digest").agg(F.min(holder).alias("first"), F.max(holder).alias("second")), "own_anywhere")
     quotes = rows.where("conv_id is not null and turn is not null").select("conv_id", "turn", "message", F.explode("quotes").alias("q")).select("conv_id", "turn", "message", "q.*").distinct()
     near = quotes.join(here, ["conv_id", "digest"], "left").withColumn("first_turn", F.when(F.col("first_turn") < F.col("turn"), F.col("first_turn")))
     near = settle(near, "quotes_here")
-    far = near.where("first_turn is null").join(anywhere.select("digest", "first"), "digest").where("first.conv_id <> conv_id")
+    far = near.where("first_turn is null").join(anywhere, "digest")
+    far = far.withColumn("first", F.when(F.col("first.conv_id") != F.col("conv_id"), F.col("first")).otherwise(F.col("second"))).drop("second").where("first.conv_id <> conv_id")
     found = near.where("first_turn is not null").withColumn("linked_conv", F.col("conv_id")).unionByName(
         far.withColumn("linked_conv", F.col("first.conv_id")).withColumn("first_turn", F.col("first.first_turn")).drop("first")
     )
