@@ -194,5 +194,11 @@ query(
     "cluster_cohesion",
     f"SELECT q.label AS label, any_value((SELECT count(*) FROM embeddings e WHERE e.label = q.label)) AS size, floor(avg({DOT}) * 1000000.0 + 0.5) / 1000000.0 AS cohesion FROM embeddings q JOIN embeddings i ON q.label = i.label AND q.vec_id < i.vec_id GROUP BY q.label",
 )(lambda s, d: vectors.cohesion(load(s, d, "embeddings"), "label", "embedding").withColumn("cohesion", F.floor(F.col("cohesion") * 1e6 + 0.5) / 1e6))
-query("embed_documents")(lambda s, d: vectors.embed(load(s, d, "benchmark").select(F.col("item_id").alias("id"), "text"))[0].select("id", F.size("vector").alias("dimensions")))
+
+
+def vector_digest():
+    return F.sha2(F.array_join(F.transform("vector", lambda v: v.cast("string")), ","), 256).alias("vector_sha256")
+
+
+query("embed_documents")(lambda s, d: vectors.embed(load(s, d, "documents").select(F.col("doc_id").alias("id"), "text"))[0].select("id", F.size("vector").alias("dimensions"), vector_digest()))
 
