@@ -66,6 +66,8 @@ query(
     SELECT mention_id, canonical_entity_id FROM t JOIN b ON contains(t.t, ' ' || alias || ' ')""",
     "doc_mentions",
 )(lambda s, d: entities.alias_hits(a.doc_mentions(s, d), ontology.aliases(s, demo_ontology())).where("signal <> 'compact'").select("mention_id", "canonical_entity_id").distinct())
+# All signals, also words run together or written apart, which the SQL of alias_scan does not know.
+query("alias_scan_all")(lambda s, d: entities.alias_hits(a.doc_mentions(s, d), ontology.aliases(s, demo_ontology())).select("mention_id", "canonical_entity_id").distinct())
 query("entity_facts")(lambda s, d: entities.link(a.doc_mentions(s, d), ontology.aliases(s, demo_ontology())).drop("methods"))
 query(
     "repeated_phrases",
