@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -22,8 +23,12 @@ from pyspark.sql import DataFrame
 from .shared import fewer_collections
 from .shared import texts as _texts
 
-#: Pieces and segments remembered by one worker before its tables are emptied.
-MEMO_LIMIT = 400_000
+#: Bytes, as estimated, that a worker's tables of encodings may hold before they are emptied, and entries of the table of
+#: token pairs.
+MEMO_BYTES = 100_000_000
+PAIRS_LIMIT = 400_000
+#: Characters of text encoded together; ids and decoded texts of more than these are never held at once.
+PORTION = 1_000_000
 #: Never a byte of a piece, so matches end at it.
 _GAP = "Ā"
 _BEGIN = -2
@@ -36,6 +41,11 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+def _entry_bytes(key: str, n: int) -> int:
+    """What a table entry takes: its slot, its key of up to four bytes a character, and a tuple of n."""
+    return 200 + 4 * len(key) + 8 * n
+
+
 class ByteBpe:
     """Encoder and decoder for a byte-level BPE ``tokenizer.json`` (see the module text)."""
 
@@ -83,6 +93,7 @@ class ByteBpe:
         self._cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
         self._memo: dict[str, tuple[int, ...]] = {}
         self._segments: dict[str, tuple[int, ...]] = {}
+        self._memo_bytes = self._segment_bytes = 0
 
     def _self_encoding(self, k: int) -> bool:
         left, right = self.parts[k]
@@ -114,8 +125,6 @@ class ByteBpe:
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces that the table lacks, all in one run of the automaton."""
-        if len(self._memo) > MEMO_LIMIT:
-            self._memo.clear()
         raw = [p.encode("utf-8").decode("latin-1") for p in pieces]
         line = f"{_GAP}{_GAP.join(raw)}"
         last: list[int] = [-1] * len(line)
@@ -124,8 +133,6 @@ class ByteBpe:
             last[begin] = _BEGIN
             begin += len(chars) + 1
         fits, compatible = self._fits, self._compatible
-        if len(fits) > 4 * MEMO_LIMIT:
-            fits.clear()
         for end, (token, width) in self._automaton.iter(line):
             if last[end] == -1:
                 before = last[end - width]
@@ -146,15 +153,13 @@ class ByteBpe:
                 at -= widths[token]
             at -= 1
             memo[piece] = tuple(out[::-1])
+            self._memo_bytes += _entry_bytes(piece, len(out))
 
     def _of_pieces(self, pieces: list[str]) -> list[int]:
         memo = self._memo
         missing = [p for p in dict.fromkeys(pieces) if p not in memo]
         if missing:
             self._learn(missing)
-            memo = self._memo
-            if any(p not in memo for p in pieces):  # the table was emptied meanwhile
-                self._learn([p for p in dict.fromkeys(pieces) if p not in memo])
         return list(chain.from_iterable(map(memo.__getitem__, pieces)))
 
     def _segment_misses(self, segments: list[str]) -> None:
@@ -162,18 +167,13 @@ class ByteBpe:
         missing = [s for s in dict.fromkeys(segments) if s not in known]
         if not missing:
             return
-        if len(known) + len(missing) > MEMO_LIMIT:
-            known.clear()
-            missing = list(dict.fromkeys(segments))
         cut = [self._pieces(s if s[0] == "\n" else " " + s) for s in missing]
         memo = self._memo
         if new := [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in memo]:
-            before = len(memo)
             self._learn(new)
-            if len(memo) < before + len(new):  # the table was emptied meanwhile
-                self._learn([p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in memo])
         for s, pieces in zip(missing, cut, strict=True):
-            known[s] = memo[pieces[0]] if len(pieces) == 1 else tuple(chain.from_iterable(map(memo.__getitem__, pieces)))
+            ids = known[s] = memo[pieces[0]] if len(pieces) == 1 else tuple(chain.from_iterable(map(memo.__getitem__, pieces)))
+            self._segment_bytes += _entry_bytes(s, len(ids))
 
     def _plain(self, text: str) -> list[int]:
         """Ids of a text without special tokens.
@@ -198,6 +198,13 @@ class ByteBpe:
 
     def encode(self, text: str) -> list[int]:
         """Ids of the whole text; strings of added tokens become those tokens, as the library does."""
+        # Tables are only emptied between texts, so that what one text has learned stays until it is done.
+        if self._memo_bytes + self._segment_bytes > MEMO_BYTES:
+            self._memo.clear()
+            self._segments.clear()
+            self._memo_bytes = self._segment_bytes = 0
+        if len(self._fits) > PAIRS_LIMIT:
+            self._fits.clear()
         if self._cut is None or not any(s in text for s in self.special):
             return self._plain(text)
         ids: list[int] = []
@@ -221,6 +228,22 @@ def is_byte_level(spec: dict) -> bool:
     return model.get("type") == "BPE" and plain and added and not spec.get("normalizer") and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
 
 
+def portions(batches: Iterable, column: int = 1) -> Iterator:
+    """The same rows in slices of about ``PORTION`` bytes of text, one row at least."""
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        at = held = 0
+        for k, n in enumerate(sizes):
+            if k > at and held + n > PORTION:
+                yield batch.slice(at, k - at)
+                at, held = k, 0
+            held += n
+        if at < len(sizes):
+            yield batch.slice(at)
+
+
 _loaded: dict[str, ByteBpe] = {}
 
 
@@ -245,10 +268,15 @@ def encode_documents(docs: DataFrame, path: str, *, id_col: str = "doc_id", text
 
         bpe = byte_bpe(path)
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
-        for batch in batches:
-            ids = [bpe.encode(t) for t in batch.column(1).to_pylist()]
-            decoded = [bpe.decode(x) for x in ids] if decode else [None] * len(ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())], schema=schema)
+        for batch in portions(batches):
+            flat, edges, decoded = array("i"), [0], []
+            for text in batch.column(1):
+                ids = bpe.encode(text.as_py())
+                flat.extend(ids)
+                edges.append(len(flat))
+                decoded.append(bpe.decode(ids) if decode else None)
+            lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.Array.from_buffers(pa.int32(), len(flat), [None, pa.py_buffer(flat)]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(decoded, pa.string())], schema=schema)
 
     return _texts(docs, id_col=id_col, text_col=text_col).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
