@@ -32,7 +32,16 @@ def settle(df: DataFrame, name: str, *, partition_by: tuple[str, ...] = ()) -> D
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._settled_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete settled tables that nothing reads any more."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._settled_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path.getParent(), True)
 
 
 def release(spark: SparkSession) -> None:

@@ -27,18 +27,24 @@ SHINGLE = 3
 TILE = 1024
 
 
-def fingerprint(text: str, shingle: int = SHINGLE) -> int:
-    """64-bit SimHash of the word shingles, repeats included; 0 for a text without words."""
+def shingle_hashes(text: str, shingle: int = SHINGLE):
+    """XXH64 of each word shingle, repeats included; of all words when there are fewer, and none without words."""
     import numpy as np
     import xxhash
 
     words = text.encode().lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     digest = xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        return digest(b" ".join(words), 42)
-    hashes = np.fromiter((digest(b" ".join(w), 42) for w in zip(*(words[k:] for k in range(shingle)), strict=False)), np.uint64, len(words) - shingle + 1)
+        return np.array([digest(b" ".join(words), 42)], np.uint64)
+    return np.fromiter((digest(b" ".join(w), 42) for w in zip(*(words[k:] for k in range(shingle)), strict=False)), np.uint64, len(words) - shingle + 1)
+
+
+def of_hashes(hashes) -> int:
+    """64-bit SimHash: a bit is set when more than half of the hashes have it."""
+    import numpy as np
+
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 15):
         part = hashes[at : at + (1 << 15)]
@@ -46,6 +52,11 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+    """64-bit SimHash of the word shingles, repeats included; 0 for a text without words."""
+    return of_hashes(shingle_hashes(text, shingle))
+
+
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp) with fp the fingerprint as a signed long; null and empty texts get 0."""
 
@@ -160,14 +171,3 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     classes = settle(linked.unionByName(alone), "classes")
     release(spark)
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
-
-
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **parameters: int) -> DataFrame:
-    """The rows of ``docs`` (all columns) with one document of each group left, the one of the smallest id.
-
-    Of rows that repeat an id one stays.  Rows without an id stay as they are, as nothing can name them."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **parameters)
-    first = settle(found.where("doc_id = component_id").select(F.col("doc_id").alias("__first")).distinct(), "kept_ids")
-    # Both steps need rows of one id together, so the texts move once.
-    named = docs.join(first, docs[id_col] == first["__first"], "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.where(docs[id_col].isNull()))
