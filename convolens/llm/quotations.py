@@ -2,7 +2,8 @@
 
 Messages are cut into their own words and quoted passages with nested levels.  Normalised passages are hashed and
 joined to the messages that first held them; a message's best link is what it replies to, chains of replies make
-threads, and ordering by (conversation, thread, turn) gives conversations in reply order without quotes.
+threads, and ordering by (conversation, thread, place, turn) gives conversations in reply order without quotes: a
+message stands right after what it replies to and the earlier replies to that.
 """
 
 from __future__ import annotations
@@ -18,8 +19,11 @@ from pyspark.sql.window import Window
 from .shared import settle
 
 _QUOTED = re.compile(r"^[ \t]*((?:>[ \t]?)+)(.*)$")
-#: A line that introduces a quotation, in four languages.
-_ATTRIBUTION = re.compile(r"^[^\n]{0,200}\b(?:wrote|schrieb|a écrit|escribió)\s*:\s*$", re.I)
+#: What a line that introduces a quotation ends with, before a colon.
+INTRODUCING = ("wrote", "schrieb", "a écrit", "escribió")
+#: Characters of a normalised passage from which it may link to another conversation; shorter ones recur by chance.
+FAR_CHARS = 16
+_WORD = re.compile(r"\w")
 
 _PARSED = (
     "conv_id long, turn long, role string, message long, text string, max_level int, "
@@ -29,7 +33,23 @@ _PARSED = (
 
 def normal(text: str) -> str:
     """Case, white space and outer punctuation don't tell passages apart."""
-    return re.sub(r"^\W+|\W+$", "", " ".join(text.casefold().split()))
+    words = " ".join(text.casefold().split())
+    first = _WORD.search(words)
+    if first is None:
+        return ""
+    stop = len(words)
+    while not (words[stop - 1].isalnum() or words[stop - 1] == "_"):
+        stop -= 1
+    return words[first.start() : stop]
+
+
+def introduces(line: str) -> bool:
+    """Does the line announce a quotation, as in "Ann wrote:"?"""
+    said = line.rstrip()
+    if not said.endswith(":"):
+        return False
+    said = said[:-1].rstrip().casefold()
+    return any(said.endswith(x) and not said[: -len(x)][-1:].isalnum() for x in INTRODUCING)
 
 
 def _digest(text: str) -> str:
@@ -49,7 +69,7 @@ def parse(text: str | None) -> tuple[str, list[tuple[int, str]]]:
         elif level == last:
             passages[-1][1].append(found[2])
         else:
-            if own and _ATTRIBUTION.match(own[-1]):
+            if own and introduces(own[-1]):
                 own.pop()
             passages.append((level, [found[2]]))
         last = level
@@ -103,15 +123,49 @@ def threads(replies: DataFrame) -> DataFrame:
             return up
 
 
+def _followers(rows: DataFrame, group: tuple[str, ...], by: str, bucket: int = 1024) -> DataFrame:
+    """``rows`` with ``next``: the next greater value of ``by`` in the group.  Groups are cut by value, so a crowded one is
+    not sorted in one task; only the buckets' least values meet."""
+    cut = rows.withColumn("__bucket", F.floor(F.col(by) / bucket))
+    inside = cut.withColumn("next", F.lead(by).over(Window.partitionBy(*group, "__bucket").orderBy(by)))
+    firsts = cut.groupBy(*group, "__bucket").agg(F.min(by).alias("__first"))
+    after = firsts.withColumn("__after", F.lead("__first").over(Window.partitionBy(*group).orderBy("__bucket"))).drop("__first")
+    return inside.join(after, [*group, "__bucket"]).withColumn("next", F.coalesce("next", "__after")).drop("__bucket", "__after")
+
+
+def places(replies: DataFrame) -> DataFrame:
+    """(conv_id, turn, place): how many messages of its thread come before a message in reply order, for every message
+    that replies or is replied to.
+
+    The tree's tour (enter a message, its replies by turn, leave it) is a linked list; pointer doubling counts what is
+    left of it from each step, so a chain of any length takes logarithmically many joins."""
+    child = replies.select("conv_id", "turn", F.col("reply_to").alias("parent"))
+    after = _followers(child, ("conv_id", "parent"), "turn")
+    first = child.groupBy("conv_id", F.col("parent").alias("turn")).agg(F.min("turn").alias("first"))
+    nodes = child.select("conv_id", "turn").unionByName(child.select("conv_id", F.col("parent").alias("turn"))).distinct()
+    step = lambda turn, leaving: F.struct(turn.alias("turn"), F.lit(leaving).alias("leaving"))
+    enter = nodes.join(first, ["conv_id", "turn"], "left").select(
+        "conv_id", step(F.col("turn"), False).alias("at"), F.when(F.col("first").isNotNull(), step(F.col("first"), False)).otherwise(step(F.col("turn"), True)).alias("to"), F.lit(1).cast("long").alias("left")
+    )
+    leave = nodes.join(after, ["conv_id", "turn"], "left").select(
+        "conv_id", step(F.col("turn"), True).alias("at"), F.when(F.col("next").isNotNull(), step(F.col("next"), False)).when(F.col("parent").isNotNull(), step(F.col("parent"), True)).alias("to"), F.lit(0).cast("long").alias("left")
+    )
+    tour = settle(enter.unionByName(leave), "tour")
+    while not tour.where("to is not null").isEmpty():
+        on = tour.select("conv_id", F.col("at").alias("to"), F.col("to").alias("further"), F.col("left").alias("rest"))
+        tour = settle(tour.join(on, ["conv_id", "to"], "left").select("conv_id", "at", F.col("further").alias("to"), (F.col("left") + F.coalesce("rest", F.lit(0))).alias("left")), "tour")
+    return tour.where("not at.leaving").select("conv_id", F.col("at.turn").alias("turn"), "left")
+
+
 def link_quotations(messages: DataFrame, **cols: str) -> DataFrame:
     """One row for each message: conv_id, turn, role, text (own words), max_level, n_quotes, n_linked, linked_conv,
-    linked_turn, reply_to, thread; ``ORDER`` sorts them into reply order.
+    linked_turn, reply_to, thread, place; ``ORDER`` sorts them into reply order.
 
     A quoted passage links to the first earlier message of its conversation that holds it as a whole or as a line,
-    else to the first message of any other conversation that does.  The best link of a message is in its own
+    else, when it has ``FAR_CHARS`` characters, to the first message of any other conversation that does.  The best link of a message is in its own
     conversation, of the lowest level, whole, of the most characters, and latest; reply_to is its turn when it is in
-    the same conversation, and thread the turn that the chain of replies begins with (its own without a reply).
-    Null texts have no words; rows with a null conversation or turn keep to themselves.  Repeated rows get equal
+    the same conversation, thread the turn that the chain of replies begins with (its own without a reply), and place the
+    number of messages before it in its thread.  Null texts have no words; rows with a null conversation or turn keep to themselves.  Repeated rows get equal
     results.
     """
     rows = settle(parsed(messages, **cols), "messages")
@@ -124,7 +178,7 @@ def link_quotations(messages: DataFrame, **cols: str) -> DataFrame:
     quotes = rows.where("conv_id is not null and turn is not null").select("conv_id", "turn", "message", F.explode("quotes").alias("q")).select("conv_id", "turn", "message", "q.*").distinct()
     near = quotes.join(here, ["conv_id", "digest"], "left").withColumn("first_turn", F.when(F.col("first_turn") < F.col("turn"), F.col("first_turn")))
     near = settle(near, "quotes_here")
-    far = near.where("first_turn is null").join(anywhere, "digest")
+    far = near.where((F.col("first_turn").isNull()) & (F.col("chars") >= FAR_CHARS)).join(anywhere, "digest")
     far = far.withColumn("first", F.when(F.col("first.conv_id") != F.col("conv_id"), F.col("first")).otherwise(F.col("second"))).drop("second").where("first.conv_id <> conv_id")
     found = near.where("first_turn is not null").withColumn("linked_conv", F.col("conv_id")).unionByName(
         far.withColumn("linked_conv", F.col("first.conv_id")).withColumn("first_turn", F.col("first.first_turn")).drop("first")
@@ -134,13 +188,18 @@ def link_quotations(messages: DataFrame, **cols: str) -> DataFrame:
         F.max_by(F.struct("linked_conv", F.col("first_turn").alias("linked_turn")), rank).alias("b"), F.count_distinct("place").alias("n_linked")
     ).select("conv_id", "turn", "message", "b.*", "n_linked")
     best = settle(best.withColumn("reply_to", F.when(F.col("linked_conv") == F.col("conv_id"), F.col("linked_turn"))), "links")
-    chains = threads(best.where("reply_to is not null").groupBy("conv_id", "turn").agg(F.max("reply_to").alias("reply_to")))
+    replies = settle(best.where("reply_to is not null").groupBy("conv_id", "turn").agg(F.max("reply_to").alias("reply_to")), "replies")
+    chains, rest = threads(replies), places(replies)
+    # What is left of the tour, from a thread's beginning and from the message, differ by its place.
+    begun = rest.select("conv_id", F.col("turn").alias("thread"), F.col("left").alias("whole"))
+    chains = chains.join(rest, ["conv_id", "turn"]).join(begun, ["conv_id", "thread"]).select("conv_id", "turn", "thread", (F.col("whole") - F.col("left")).alias("place"))
     n_quotes = F.size(F.array_distinct(F.transform("quotes", lambda q: q["place"]))).cast("long")
     out = rows.withColumn("n_quotes", n_quotes).drop("quotes", "own").join(best, ["conv_id", "turn", "message"], "left").join(chains, ["conv_id", "turn"], "left")
     return out.select(
-        "conv_id", "turn", "role", "text", "max_level", "n_quotes", F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), "linked_conv", "linked_turn", "reply_to", F.coalesce("thread", "turn").alias("thread")
+        "conv_id", "turn", "role", "text", "max_level", "n_quotes", F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), "linked_conv", "linked_turn", "reply_to", F.coalesce("thread", "turn").alias("thread"),
+        F.coalesce("place", F.lit(0)).cast("long").alias("place"),
     )
 
 
 #: Sorts the rows of link_quotations into reply order.
-ORDER = ("conv_id", "thread", "turn")
+ORDER = ("conv_id", "thread", "place", "turn")

@@ -53,7 +53,7 @@ def test_bpe_hard_texts():
 def test_bpe_survives_small_tables(monkeypatch):
     own = bpe.ByteBpe(queries.tokenizer_path())
     expect = [own.encode(f"alpha{k} beta{k}\nGamma{k % 7}") for k in range(300)]
-    monkeypatch.setattr(bpe, "MEMO_LIMIT", 5)
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 500)
     again = bpe.ByteBpe(queries.tokenizer_path())
     assert [again.encode(f"alpha{k} beta{k}\nGamma{k % 7}") for k in range(300)] == expect
 
