@@ -1,31 +1,36 @@
 """Benchmark decontamination by greedy string tiling.
 
-Documents and benchmark items are joined on shared seeds of ``SEED`` tokens.  For each joined pair, matches are found
-by running Karp-Rabin over the seeds, grown to maximal ones, and laid as tiles, longest first, without overlap in
-either text; a match that a tile cuts goes back with what is left of it.  The share of the item's tokens under tiles
-decides, so passages taken in another order count in full.
+Documents and benchmark items are joined on shared seeds, hashes of ``SEED`` tokens in a row that roll over the text as in
+Karp-Rabin.  For each joined pair, equal stretches along the diagonals that hold a seed are laid as tiles, longest first,
+without overlap in either text; a stretch that a tile cuts goes back with what is left of it.  The share of the item's
+tokens under tiles decides, so passages taken in another order count in full.
 
-The benchmark goes to the executors in blocks of bounded size; each block takes one pass over the documents.
+A bitmap of the benchmark's seeds, of bounded size, goes to the executors, so that only documents with a possible seed
+move; the join itself is exact, whatever the size of the benchmark.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections import defaultdict
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import settle, texts
 
 SEED = 5
+#: Items of fewer tokens than a seed count when they stand whole in a document, from so many tokens on.
+SHORTEST = 3
 #: Share of an item's tokens under tiles from which a document counts as holding it.
 COVERAGE = 0.5
-#: Characters of benchmark text in a block; a single longer item makes a block of its own.
-BLOCK_CHARS = 4_000_000
+#: Bits of the bitmap for each seed, and the logarithm of the least and the greatest size of it (8 MB).
+BITS_A_SEED, LEAST_BITS, MOST_BITS = 256, 16, 26
+#: Different tokens whose hashes a worker remembers, and characters of them.
+TOKENS_KEPT, CHARS_KEPT = 500_000, 16_000_000
 
 _BASE = 0x9E3779B97F4A7C15
+_PROBES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 
 
 def _letters() -> bytes:
@@ -41,150 +46,228 @@ def tokens(text: str | None) -> list[bytes]:
     return text.lower().encode().translate(_TABLE).split() if text else []
 
 
-class _Numbers(dict):
+class _Hashes(dict):
+    held = 0
+
     def __missing__(self, word: bytes) -> int:
-        return 0
+        import xxhash
 
+        if len(self) >= TOKENS_KEPT or self.held > CHARS_KEPT:
+            self.clear()
+            self.held = 0
+        self.held += len(word)
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
 
-class Block:
-    """Items with their tokens as numbers from 1, and where each seed's hash stands."""
 
-    def __init__(self, items: list[tuple[int, str]], seed: int = SEED):
-        import numpy as np
+_hash_of = _Hashes().__getitem__
 
-        self.seed = seed
-        self.numbers = _Numbers()
-        self.items: list[tuple[int, list[int]]] = []
-        at: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for key, text in items:
-            words = tokens(text)
-            if len(words) < seed:
-                continue
-            ids = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words]
-            for place, h in enumerate(self.rolling(np.array(ids, np.uint64)).tolist()):
-                at[h].append((len(self.items), place))
-            self.items.append((key, ids))
-        self.places = dict(at)
-        self.hashes = np.sort(np.fromiter(at, np.uint64, len(at)))
-
-    def rolling(self, ids):
-        """Karp-Rabin hash of every window of ``seed`` tokens."""
-        import numpy as np
 
-        n = len(ids) - self.seed + 1
-        if n <= 0:
-            return np.empty(0, np.uint64)
-        out = ids[:n].copy()
-        for k in range(1, self.seed):
-            out *= np.uint64(_BASE)
-            out += ids[k : k + n]
-        return out
-
-    def coverage(self, text: str | None) -> list[tuple[int, int, int]]:
-        """(item, its tokens under tiles, its tokens) of every item that shares a seed with the text."""
-        import numpy as np
+def codes(text: str | None):
+    """64-bit hashes of the tokens."""
+    import numpy as np
+
+    words = tokens(text)
+    return np.fromiter(map(_hash_of, words), np.uint64, len(words))
+
+
+def rolling(words, width: int):
+    """Hash of every ``width`` tokens in a row."""
+    import numpy as np
+
+    n = len(words) - width + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    out = words[:n] + np.uint64(width)
+    for k in range(1, width):
+        out *= np.uint64(_BASE)
+        out += words[k : k + n]
+    out ^= out >> np.uint64(29)
+    out *= np.uint64(_PROBES[1])
+    return out ^ (out >> np.uint64(32))
+
 
-        words = tokens(text)
-        if len(words) < self.seed or not len(self.hashes):
-            return []
-        ids = np.fromiter(map(self.numbers.__getitem__, words), np.uint64, len(words))
-        known = np.concatenate([[0], np.cumsum(ids > 0)])
-        at = np.flatnonzero(known[self.seed :] - known[: -self.seed] == self.seed)
-        if not len(at):
-            return []
-        h = self.rolling(ids)[at]
-        slot = np.searchsorted(self.hashes, h)
-        slot[slot == len(self.hashes)] = 0
-        hit = self.hashes[slot] == h
-        seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for place, code in zip(at[hit].tolist(), h[hit].tolist(), strict=True):
-            for item, there in self.places[code]:
-                seeds[item].append((place, there))
-        doc = ids.tolist()
-        return [(self.items[k][0], sum(t[2] for t in greedy_tiles(doc, self.items[k][1], pairs, self.seed)), len(self.items[k][1])) for k, pairs in seeds.items()]
-
-
-def greedy_tiles(doc: list[int], item: list[int], seeds: list[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
+def least_match(n: int, seed: int = SEED, shortest: int = SHORTEST) -> int:
+    """Tokens of the shortest tile for an item of ``n`` tokens; 0 when it is too short for any."""
+    return 0 if n < shortest else min(n, seed)
+
+
+def _probes(seeds, bits: int):
+    import numpy as np
+
+    return [(seeds * np.uint64(p)) >> np.uint64(64 - bits) for p in _PROBES]
+
+
+def _possible(bitmap, bits: int, seeds):
+    """Which seeds the bitmap may hold."""
+    import numpy as np
+
+    out = np.ones(len(seeds), bool)
+    for at in _probes(seeds, bits):
+        out &= (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+    return out
+
+
+def greedy_tiles(doc, item, least: int) -> list[tuple[int, int, int]]:
     """Tiles (place in doc, place in item, length): longest first, then by place in the item, then in the document.
 
-    ``seeds`` are pairs of places with equal Karp-Rabin hashes of ``least`` tokens; they are compared token by token."""
-    same = {(p, q) for p, q in seeds if doc[p : p + least] == item[q : q + least]}
+    Equal stretches are found along diagonals, so a repeated token costs one comparison of a diagonal and not one entry
+    for each pair of its places."""
+    import numpy as np
+
+    doc, item = np.asarray(doc, np.uint64), np.asarray(item, np.uint64)
+    n, m = len(doc), len(item)
+    if least < 1 or n < least or m < least:
+        return []
+    here, there = rolling(doc, least), rolling(item, least)
+    order = np.argsort(here, kind="stable")
+    low, high = np.searchsorted(here[order], there, "left"), np.searchsorted(here[order], there, "right")
+    crossed = np.zeros(n + m, bool)
+    for q in np.flatnonzero(high > low).tolist():
+        crossed[order[low[q] : high[q]] - q + m] = True
     heap: list[tuple[int, int, int]] = []
-    for p, q in same:
-        if (p - 1, q - 1) in same:
-            continue  # not the start of its maximal match
-        n = least
-        while (p + n - least + 1, q + n - least + 1) in same:
-            n += 1
-        heap.append((-n, q, p))
+    for d in (np.flatnonzero(crossed) - m).tolist():
+        p, q = max(d, 0), max(-d, 0)
+        length = min(n - p, m - q)
+        equal = np.zeros(length + 2, np.int8)
+        equal[1:-1] = doc[p : p + length] == item[q : q + length]
+        turn = np.flatnonzero(np.diff(equal))
+        for a, b in zip(turn[::2].tolist(), turn[1::2].tolist(), strict=True):
+            if b - a >= least:
+                heap.append((a - b, q + a, p + a))
     heapq.heapify(heap)
-    in_doc, in_item = set(), set()
+    in_doc, in_item = np.zeros(n, bool), np.zeros(m, bool)
     tiles = []
-    while heap:
-        n, q, p = heapq.heappop(heap)
-        free = [k for k in range(-n) if p + k not in in_doc and q + k not in in_item]
-        if len(free) == -n:
-            tiles.append((p, q, -n))
-            in_doc.update(range(p, p - n))
-            in_item.update(range(q, q - n))
+    while heap and not in_item.all():
+        size, q, p = heapq.heappop(heap)
+        taken = in_doc[p : p - size] | in_item[q : q - size]
+        if not taken.any():
+            tiles.append((p, q, -size))
+            in_doc[p : p - size] = True
+            in_item[q : q - size] = True
             continue
-        run = 0
-        for k, x in enumerate(free):
-            if k + 1 == len(free) or free[k + 1] != x + 1:
-                if x + 1 - free[run] >= least:
-                    heapq.heappush(heap, (-(x + 1 - free[run]), q + free[run], p + free[run]))
-                run = k + 1
+        free = np.zeros(2 - size, np.int8)
+        free[1:-1] = ~taken
+        turn = np.flatnonzero(np.diff(free))
+        for a, b in zip(turn[::2].tolist(), turn[1::2].tolist(), strict=True):
+            if b - a >= least:
+                heapq.heappush(heap, (a - b, q + a, p + a))
     return tiles
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, chars: int) -> Iterator[list[tuple[int, str]]]:
+def covered(doc, item, least: int) -> int:
+    """The item's tokens under tiles."""
+    return sum(t[2] for t in greedy_tiles(doc, item, least))
+
+
+def _items(benchmark: DataFrame, item_col: str, text_col: str, seed: int, shortest: int) -> DataFrame:
+    """(item_id, item_key, n, least, words, seeds) of the different items that are long enough."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import xxhash
+
+        for batch in batches:
+            ids, keys, sizes, leasts, words, seeds = [], [], [], [], [], []
+            for item, text in zip(batch.column(0), batch.column(1), strict=True):
+                w = codes(text.as_py())
+                if least := least_match(len(w), seed, shortest):
+                    ids.append(item.as_py())
+                    keys.append(xxhash.xxh3_128_digest(w.tobytes()))
+                    sizes.append(len(w))
+                    leasts.append(least)
+                    words.append(w.view("i8"))
+                    seeds.append(rolling(w, least).view("i8"))
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (words, seeds)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(leasts, pa.int64()), *lists], names=["item_id", "item_key", "n", "least", "words", "seeds"])
+
     rows = benchmark.select(benchmark[item_col].cast("long").alias("item_id"), benchmark[text_col].cast("string").alias("text")).where("text is not null")
-    block: list[tuple[int, str]] = []
-    held = 0
-    for item, text in rows.toLocalIterator():
-        if block and held + len(text) > chars:
-            yield block
-            block, held = [], 0
-        block.append((item, text))
-        held += len(text)
-    if block:
-        yield block
+    out = rows.mapInArrow(run, "item_id long, item_key binary, n long, least long, words array<long>, seeds array<long>")
+    return settle(out.dropDuplicates(["item_id", "item_key"]), "items")
+
+
+def _bitmap(seeds: DataFrame):
+    """(words of 64 bits, logarithm of the number of bits) of a bitmap over the column ``seed``."""
+    import numpy as np
+
+    n = seeds.select("seed").distinct().count()
+    bits = min(MOST_BITS, max(LEAST_BITS, (BITS_A_SEED * max(n, 1)).bit_length()))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        words = np.zeros(1 << bits - 6, np.uint64)
+        for batch in batches:
+            for at in _probes(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits):
+                np.bitwise_or.at(words, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
+        some = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(words[some].view(np.int64))], names=["place", "word"])
+
+    rows = seeds.select("seed").mapInArrow(run, "place long, word long").groupBy("place").agg(F.bit_or("word").alias("word")).collect()
+    bitmap = np.zeros(1 << bits - 6, np.uint64)
+    if rows:
+        bitmap[[r[0] for r in rows]] = np.array([r[1] for r in rows], np.int64).view(np.uint64)
+    return bitmap, bits
+
+
+def _identity(id_col: Column, text_col: Column) -> list[Column]:
+    """What names a row: its id and 128 bits of its text."""
+    return [id_col.cast("long"), F.unhex(F.md5(F.coalesce(text_col.cast("string"), F.lit(""))))]
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", threshold: float = COVERAGE, seed: int = SEED, block_chars: int = BLOCK_CHARS
+    docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", threshold: float = COVERAGE, seed: int = SEED, shortest: int = SHORTEST
 ) -> DataFrame:
-    """(row_key, doc_id, item_id, covered, item_tokens, coverage): the items that a document holds to ``threshold``.
+    """(doc_id, digest, item_id, covered, item_tokens, coverage): the items that a document holds to ``threshold``.
 
-    row_key is xxhash64(doc_id, text as ''), so repeated rows share their pairs.  Items shorter than a seed, null and
-    empty texts on either side match nothing; of repeated items with one id the best coverage counts.
+    digest is the MD5 of the text (null as ''), so repeated rows share their pairs.  Items of fewer than ``shortest``
+    tokens, null and empty texts on either side match nothing; of repeated items with one id the best coverage counts.
     """
     spark = docs.sparkSession
-    rows = texts(docs, id_col=id_col, text_col=text_col).withColumn("row_key", F.xxhash64("doc_id", "text"))
-    schema = "row_key long, doc_id long, item_id long, covered long, item_tokens long"
-    found: DataFrame | None = None
-    for items in _blocks(benchmark, item_col, item_text_col, block_chars):
-        shared = spark.sparkContext.broadcast(items)
-
-        def run(batches: Iterator, shared=shared) -> Iterator:
-            import pyarrow as pa
-
-            block = Block(shared.value, seed)
-            names = ["row_key", "doc_id", "item_id", "covered", "item_tokens"]
-            for batch in batches:
-                out = []
-                for key, doc, text in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
-                    hits = [(key.as_py(), doc.as_py(), *hit) for hit in block.coverage(text.as_py())]
-                    out.extend(hit for hit in hits if hit[3] >= threshold * hit[4])
-                cols = list(zip(*out, strict=True)) if out else [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
-
-        part = rows.select("row_key", "doc_id", "text").mapInArrow(run, schema)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = spark.createDataFrame([], schema)
-    best = found.groupBy("row_key", "doc_id", "item_id").agg(F.max_by(F.struct("covered", "item_tokens"), F.col("covered") / F.col("item_tokens")).alias("b")).select("row_key", "doc_id", "item_id", "b.*")
-    return settle(best.withColumn("coverage", F.col("covered") / F.col("item_tokens")), "contaminated")
+    items = _items(benchmark, item_col, item_text_col, seed, shortest)
+    places = settle(items.select("item_id", "item_key", "n", "least", F.explode("seeds").alias("seed")).groupBy("item_id", "item_key", "n", "least", "seed").agg(F.count(F.lit(1)).alias("times")), "item_seeds")
+    widths = sorted(r[0] for r in items.select("least").distinct().collect())  # at most as many as a seed has tokens
+    shared = spark.sparkContext.broadcast(_bitmap(places))
+
+    def scan(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        bitmap, bits = shared.value
+        for batch in batches:
+            rows, words, seeds = [], [], []
+            for k, text in enumerate(batch.column(2)):
+                w = codes(text.as_py())
+                found = [s[_possible(bitmap, bits, s)] for s in (rolling(w, width) for width in widths)]
+                if any(map(len, found)):
+                    rows.append(k)
+                    words.append(w.view("i8"))
+                    seeds.append(np.unique(np.concatenate(found)).view("i8"))
+            part = batch.select([0, 1]).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(words, pa.list_(pa.int64())), pa.array(seeds, pa.list_(pa.int64()))], names=["doc_id", "digest", "words", "seeds"])
+
+    rows = texts(docs, id_col=id_col, text_col=text_col)
+    rows = rows.select(*(c.alias(a) for c, a in zip(_identity(rows["doc_id"], rows["text"]), ("doc_id", "digest"), strict=True)), "text")
+    suspects = settle(rows.mapInArrow(scan, "doc_id long, digest binary, words array<long>, seeds array<long>"), "suspects")
+    hits = suspects.select("doc_id", "digest", F.explode("seeds").alias("seed")).distinct().join(places, "seed")
+    # A tile holds a seed at every place but its last ones, so a pair with too few seeds cannot be covered enough.
+    enough = F.sum("times") * F.first("least") >= threshold * F.first("n")
+    pairs = settle(hits.groupBy("doc_id", "digest", "item_id", "item_key").agg(enough.alias("enough")).where("enough").drop("enough"), "candidate_pairs")
+
+    def tile(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            got = [covered(x.values.to_numpy().view(np.uint64), y.values.to_numpy().view(np.uint64), least) for x, y, least in zip(batch.column(4), batch.column(5), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), pa.array(got, pa.int64()), batch.column(6)], names=["doc_id", "digest", "item_id", "covered", "item_tokens"])
+
+    texts_of = suspects.select(F.col("doc_id").alias("d"), F.col("digest").alias("g"), F.col("words").alias("x")).dropDuplicates(["d", "g"])
+    both = pairs.join(texts_of, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("digest") == F.col("g"))).join(items.select("item_id", "item_key", "n", "least", F.col("words").alias("y")).withColumnsRenamed({"item_id": "i", "item_key": "k"}), F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_key") == F.col("k")))
+    found = both.select("doc_id", "digest", "item_id", "least", "x", "y", "n").mapInArrow(tile, "doc_id long, digest binary, item_id long, covered long, item_tokens long")
+    found = found.where(F.col("covered") >= threshold * F.col("item_tokens")).withColumn("coverage", F.col("covered") / F.col("item_tokens"))
+    best = found.groupBy("doc_id", "digest", "item_id").agg(F.max_by(F.struct("covered", "item_tokens", "coverage"), F.struct("coverage", "covered")).alias("b"))
+    return settle(best.select("doc_id", "digest", "item_id", "b.*"), "contaminated")
 
 
 def caught(pairs: DataFrame) -> DataFrame:
@@ -197,6 +280,6 @@ def caught(pairs: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, pairs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (all columns) that hold no item."""
-    key = F.xxhash64(docs[id_col].cast("long"), F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    bad = pairs.select(F.col("row_key").alias("__held")).distinct()
-    return docs.join(bad, key == bad["__held"], "left_anti")
+    bad = pairs.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct()
+    key, digest = _identity(docs[id_col], docs[text_col])
+    return docs.join(bad, key.eqNullSafe(bad["__id"]) & (digest == bad["__digest"]), "left_anti")

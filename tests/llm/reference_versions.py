@@ -96,3 +96,49 @@ def base_quality(text):
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def naive_tiles(doc, item, least):
+    """Greedy string tiling by trying everything, longest first."""
+    used_d, used_i, out = set(), set(), []
+    while True:
+        best = None
+        for q in range(len(item)):
+            for p in range(len(doc)):
+                n = 0
+                while p + n < len(doc) and q + n < len(item) and doc[p + n] == item[q + n] and p + n not in used_d and q + n not in used_i:
+                    n += 1
+                if n >= least and (best is None or (-n, q, p) < best):
+                    best = (-n, q, p)
+        if best is None:
+            return out
+        n, q, p = -best[0], best[1], best[2]
+        used_d.update(range(p, p + n))
+        used_i.update(range(q, q + n))
+        out.append((p, q, n))
+
+
+def contaminated(rows, items, seed=5, threshold=0.5):
+    """{(doc, item)} by naive tiling of every pair of texts that share ``seed`` tokens in a row."""
+
+    def cut(text):
+        return re.findall(r"[a-z0-9_\x80-\U0010ffff]+", (text or "").lower())
+
+    items = [(i, cut(t)) for i, t in items]
+    windows = {}
+    for k, (_, words) in enumerate(items):
+        for p in range(len(words) - seed + 1):
+            windows.setdefault(tuple(words[p : p + seed]), set()).add(k)
+    out = set()
+    for doc, text in rows:
+        words = cut(text)
+        at = {}
+        for p in range(len(words) - seed + 1):
+            for k in windows.get(tuple(words[p : p + seed]), ()):
+                at.setdefault(k, set()).update(range(p, p + seed))
+        for k, places in at.items():
+            # The naive version tries everything, so it only gets what lies around shared windows.
+            part = [words[p] if p in places else f"#{p}" for p in sorted(places | {p + 1 for p in places}) if p < len(words)]
+            if sum(t[2] for t in naive_tiles(part, items[k][1], seed)) >= threshold * len(items[k][1]):
+                out.add((doc, items[k][0]))
+    return out

@@ -239,51 +239,58 @@ def test_personal_data_bootstrap(spark):
     assert pii.personal_data(documents(spark, [])).count() == 0
 
 
+def coverage(doc, item):
+    """(tokens under tiles, tokens) of two texts."""
+    x, y = decontamination.codes(doc), decontamination.codes(item)
+    return decontamination.covered(x, y, decontamination.least_match(len(y))), len(y)
+
+
 def test_decontamination_tiles():
     item = [f"w{k}" for k in range(40)]
-    block = decontamination.Block([(7, " ".join(item)), (8, "too short"), (9, "")])
-    assert block.coverage(" ".join(item[20:] + ["x"] + item[:20]).upper()) == [(7, 40, 40)]
-    assert block.coverage(" ".join(item[:10])) == [(7, 10, 40)]
-    assert block.coverage(" ".join(item[:4])) == [] and block.coverage(None) == [] and block.coverage("") == []
-
-
-def naive_tiles(doc, item, least):
-    """Greedy string tiling by trying everything, longest first."""
-    used_d, used_i, out = set(), set(), []
-    while True:
-        best = None
-        for q in range(len(item)):
-            for p in range(len(doc)):
-                n = 0
-                while p + n < len(doc) and q + n < len(item) and doc[p + n] == item[q + n] and p + n not in used_d and q + n not in used_i:
-                    n += 1
-                if n >= least and (best is None or (-n, q, p) < best):
-                    best = (-n, q, p)
-        if best is None:
-            return out
-        n, q, p = -best[0], best[1], best[2]
-        used_d.update(range(p, p + n))
-        used_i.update(range(q, q + n))
-        out.append((p, q, n))
+    assert coverage(" ".join(item[20:] + ["x"] + item[:20]).upper(), " ".join(item)) == (40, 40)
+    assert coverage(" ".join(item[:10]), " ".join(item)) == (10, 40)
+    assert coverage(" ".join(item[:4]), " ".join(item)) == (0, 40)
+    assert coverage(None, " ".join(item)) == (0, 40) and coverage("", "too short")[0] == 0 and coverage("a b", "a b") == (0, 2)
+    # Fewer tokens than a seed: all of them in a row.
+    assert coverage("x who was first there", "Who was first?") == (3, 3) and coverage("who was the first", "Who was first?") == (0, 3)
+
+
+def test_decontamination_of_repeated_words():
+    import time
+
+    for doc, item in ((4_000, 600), (20_000, 600), (20_000, 2_000)):
+        start = time.process_time()
+        assert coverage("so " * doc, "so " * item) == (item, item)
+        assert time.process_time() - start < 5
 
 
 def test_decontamination_against_naive_tiling():
     rng = random.Random(2)
     for _ in range(150):
         doc, item = [rng.randint(1, 3) for _ in range(rng.randint(5, 30))], [rng.randint(1, 3) for _ in range(rng.randint(5, 20))]
-        seeds = [(p, q) for p in range(len(doc) - 3) for q in range(len(item) - 3) if doc[p : p + 4] == item[q : q + 4]]
-        assert decontamination.greedy_tiles(doc, item, seeds, 4) == naive_tiles(doc, item, 4)
+        assert decontamination.greedy_tiles(doc, item, 4) == plain.naive_tiles(doc, item, 4)
+
+
+def test_decontamination_query_against_naive_tiling(spark, sf_dir):
+    """The whole query: every document against every item that shares five tokens in a row with it."""
+    rows, items = (duckdb.sql(f"select * from (select {c}, text from '{sf_dir}/{t}.parquet')").fetchall() for t, c in (("documents", "doc_id"), ("benchmark", "item_id")))
+    want = plain.contaminated(rows, items)
+    got = {(r.doc_id, i) for r in queries.op4_decontamination(spark, sf_dir).collect() for i in r.item_ids}
+    assert got == want and len(want) >= 3
 
 
-def test_decontamination_edges(spark):
+def test_decontamination_edges(spark, monkeypatch):
     passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     bench = spark.createDataFrame([(1, passage), (2, None), (3, ""), (4, "short one"), (1, passage)], "item_id long, text string")
     rows = [*EDGES, (40, f"before {passage} after"), (40, f"before {passage} after"), (41, "iota kappa alpha beta gamma"), (42, "Zeta, eta theta; iota kappa -- and then ALPHA beta gamma delta epsilon")]
     docs = documents(spark, rows)
-    for chars in (decontamination.BLOCK_CHARS, 10):
-        pairs = decontamination.contaminated(docs, bench, block_chars=chars)
-        assert [(r.doc_id, r.item_ids, r.coverage) for r in decontamination.caught(pairs).orderBy("doc_id").collect()] == [(40, [1], 1.0), (42, [1], 1.0)]
-        assert decontamination.clean(docs, pairs).count() == len(rows) - 3
+    pairs = decontamination.contaminated(docs, bench)
+    assert [(r.doc_id, r.item_ids, r.coverage) for r in decontamination.caught(pairs).orderBy("doc_id").collect()] == [(40, [1], 1.0), (42, [1], 1.0)]
+    assert decontamination.clean(docs, pairs).count() == len(rows) - 3
+    # A bitmap too small to tell seeds apart only makes more work.
+    monkeypatch.setattr(decontamination, "MOST_BITS", 6)
+    monkeypatch.setattr(decontamination, "LEAST_BITS", 6)
+    assert decontamination.contaminated(docs, bench).count() == 2
     assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
     assert decontamination.contaminated(documents(spark, []), bench).count() == 0
 
