@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..tables import release, settle
+from ..tables import discard, settle
 
 
 def _star(edges: DataFrame, name: str, large: bool) -> DataFrame:
@@ -22,7 +22,9 @@ def _star(edges: DataFrame, name: str, large: bool) -> DataFrame:
     else:
         low = settle(edges.groupBy("u").agg(F.min("v").alias("low")), f"{name}_low")
         out = edges.join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).unionByName(low.select("u", F.col("low").alias("v")))
-    return settle(out.where("u > v").distinct(), name)
+    out = settle(out.where("u > v").distinct(), name)
+    discard(low, edges)
+    return out
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -36,7 +38,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     before = _signature(edges)
     for k in range(max_rounds if before[0] else 0):
         edges = _star(_star(edges, f"large{k}", True), f"small{k}", False)
-        release(edges.sparkSession)
         after = _signature(edges)
         if after == before:
             break
