@@ -29,7 +29,9 @@ HINTS = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][\x
 #: Identifier-like tokens: whole words with a digit, an at sign or a spelt one.
 TOKEN = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*?(?:[0-9@]|\(at\)|\[at\]))[^\x20\x09-\x0D]+"
 _MARK, _PLAIN = "", ""
-_SIDE = 48
+#: The last word of what stands before a match and the first of what follows it, with the white space between.
+_BEFORE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]*+[\x20\x09-\x0D]*+$"
+_AFTER = r"^[\x20\x09-\x0D]*+[^\x20\x09-\x0D]*+"
 _PUNCTUATION = ".,;:!?\"'()[]{}<>|*#$%&=-_/\\"
 
 ROUNDS = 3
@@ -44,7 +46,7 @@ _SPAN = "struct<start: int, stop: int, token: string, left: string, right: strin
 
 def spans(text: Column, pattern: str, hint: str | None = None) -> Column:
     """All leftmost non-overlapping matches as array<struct<start, stop, token, left, right>>; code points, stop exclusive,
-    left and right are the neighbouring characters up to the next match."""
+    left and right are the neighbouring words, as far as the next match leaves them."""
     clean = F.translate(text, _MARK, _PLAIN)
     marked = F.regexp_replace(clean, pattern, f"{_MARK}$0{_MARK}")
     pieces = F.split(marked, _MARK)
@@ -53,7 +55,7 @@ def spans(text: Column, pattern: str, hint: str | None = None) -> Column:
     def step(acc: Column, piece: Column) -> Column:
         n, at = acc["n"], acc["at"]
         stop = at + F.length(piece)
-        found = F.struct(at.alias("start"), stop.alias("stop"), piece.alias("token"), F.right(acc["before"], F.lit(_SIDE)).alias("left"), F.lit("").alias("right"))
+        found = F.struct(at.alias("start"), stop.alias("stop"), piece.alias("token"), F.regexp_extract(acc["before"], _BEFORE, 0).alias("left"), F.lit("").alias("right"))
         odd = n % 2 == 1
         return F.struct((n + 1).alias("n"), stop.alias("at"), piece.alias("before"), F.when(odd, F.concat(acc["out"], F.array(found))).otherwise(acc["out"]).alias("out"))
 
@@ -61,7 +63,7 @@ def spans(text: Column, pattern: str, hint: str | None = None) -> Column:
 
     def walk(parts: Column) -> Column:
         found = F.aggregate(parts, start, step, lambda acc: acc["out"])
-        return F.transform(found, lambda s, i: s.withField("right", F.left(F.get(parts, 2 * i + 2), F.lit(_SIDE))))
+        return F.transform(found, lambda s, i: s.withField("right", F.regexp_extract(F.get(parts, 2 * i + 2), _AFTER, 0)))
 
     # The pieces are a lambda's variable, so that they are made once and not for every match.
     withright = F.get(F.transform(F.array(pieces), walk), F.lit(0))
@@ -97,7 +99,8 @@ def base_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """(doc_id, row_key, text, email, ip, card, phone, tokens): the valid spans of each kind, and the identifier-like
     tokens that overlap none of them."""
     d = texts(docs, id_col=id_col, text_col=text_col, carry=carry)
-    d = d.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    # 128 bits name a row; of an id and its text together, so that copies don't meet in one key.
+    d = d.withColumn("row_key", F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "text"))))
     for kind in KINDS:
         d = d.withColumn(kind, F.filter(spans(F.col("text"), PATTERNS[kind], HINTS[kind]), lambda s: _valid(kind, s["token"])))
     known = F.concat(*KINDS)

@@ -1,58 +1,11 @@
-"""Shared-folder tables and input projection used by the operators of this package."""
+"""Input projection and small helpers of the operators of this package."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder of ``spark.checkpoint.dir``; one of our own only where that is unset (tests, local runs)."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if folder:
-        return folder.rstrip("/")
-    folder = spark.conf.get("convolens.shared.dir", None)
-    if not folder:
-        folder = "file://" + os.path.join(tempfile.gettempdir(), f"convolens-{uuid.uuid4().hex}")
-        spark.conf.set("convolens.shared.dir", folder)
-    return folder
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/convolens/{uuid.uuid4().hex}/{name}"
-
-
-def settle(df: DataFrame, name: str, *, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there, and
-    a lost executor costs a re-read instead of the upstream work."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
-    table._settled_at = path
-    return table
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete settled tables that nothing reads any more."""
-    for table in tables:
-        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._settled_at)
-        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path.getParent(), True)
-
-
-def release(spark: SparkSession) -> None:
-    """Let the context cleaner drop shuffle files of finished steps before the next one adds its own."""
-    import gc
-    import time
-
-    for _ in range(2):  # what the first pass lets go of, the second one finds unreachable
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.7)
+from ..tables import discard, fresh_path, load, settle, shared_dir  # noqa: F401
 
 
 def size_in_bytes(df: DataFrame) -> int:
@@ -68,10 +21,6 @@ def texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", nu
     return docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"), *(docs[c] for c in carry))
 
 
-def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
 def fewer_collections() -> None:
     """In a worker whose tables hold many small objects and no cycles: let the collector run rarely."""
     import gc

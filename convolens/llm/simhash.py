@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .components import connected_components
-from .shared import release, settle, texts
+from ..operators.components import connected_components
+from .shared import discard, settle, texts
 
 RADIUS = 2
 SHINGLE = 3
@@ -169,5 +169,5 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     linked = named.join(least, "root").select("fp", "component_id")
     alone = distinct.join(roots, distinct["fp"] == roots["node"], "left_anti").select("fp", F.col("first_doc").alias("component_id"))
     classes = settle(linked.unionByName(alone), "classes")
-    release(spark)
+    discard(distinct, named, least)
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")

@@ -16,13 +16,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import release, settle, size_in_bytes, texts
+from .shared import discard, settle, size_in_bytes, texts
 
 WINDOW = 20
 BLOCK = WINDOW // 2
 #: Bytes of input (as Spark estimates them) for a cell and for a bucket of the index.
 CELL_BYTES = 4 << 20
 LEAST_CELLS = 128
+#: An estimate above this means that Spark knows no size; the rows are written once to get one.
+UNKNOWN_BYTES = 1 << 60
 #: Different words whose hashes a worker remembers.
 WORDS_KEPT = 1_000_000
 
@@ -188,8 +190,11 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     block = window // 2
     rows = texts(docs, id_col=id_col, text_col=text_col)
+    if cells is None and size_in_bytes(rows) > UNKNOWN_BYTES:
+        rows = settle(rows, "sized_rows")
     n = cells or max(LEAST_CELLS, -(-size_in_bytes(rows) // CELL_BYTES))
-    rows = rows.withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.lit(n)))
+    # A partition for each cell, so that a task's share does not grow with the input.
+    rows = rows.withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.lit(n))).repartition(n, "cell")
 
     def probe(key, table):
         import numpy as np
@@ -304,10 +309,8 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     hits = rows.groupBy("cell").applyInArrow(probe, _WIRE).groupBy("to").applyInArrow(match, _WIRE)
     hits = settle(hits, "anchor_hits")
-    release(spark)
     owners = rows.groupBy("cell").cogroup(hits.groupBy("to")).applyInArrow(extend, _WIRE).groupBy("to").applyInArrow(settle_owner, _WIRE)
     owners = settle(owners, "later_windows")
-    release(spark)
     replies = hits.unionByName(owners)
     return rows.groupBy("cell").cogroup(replies.groupBy("to")).applyInArrow(cut, "doc_id long, n_words long, n_removed long, kept string, removed array<struct<start: long, stop: long>>")
 

@@ -1,8 +1,8 @@
 """Token counts through a digest cache.
 
-The cache is a Parquet table (tokenizer digest, content digest, n_tokens).  Contents are digested in the JVM, the
-digests that the cache lacks are encoded once each, appended to it, and all rows get their count by a join on the
-digest.  Normalisation before the digest may only remove differences that the tokenizer can't see; byte-level and
+The cache is a Parquet table (tokenizer digest, content digest, n_tokens).  Contents are digested in the JVM; the
+digests that the cache lacks are found first, so that only their texts move.  They are encoded once each, appended to the
+cache, and all rows get their count by a join on the digest.  Normalisation before the digest may only remove differences that the tokenizer can't see; byte-level and
 sentencepiece vocabularies see every character, so the content is the text itself with null as empty.
 """
 
@@ -11,19 +11,21 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable, Iterator
+from importlib.metadata import version
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import byte_bpe, is_byte_level
-from .shared import settle, texts
+from .bpe import byte_bpe, is_byte_level, portions
+from .shared import discard, settle, texts
 
 CACHE_SCHEMA = "tokenizer_digest string, content_digest string, n_tokens long"
 
 
 def tokenizer_digest(path: str) -> str:
     """Names the version of a tokenizer: its file's content and the library that reads it."""
-    h = hashlib.sha256(path.rpartition(".")[2].encode())
+    kind = path.rpartition(".")[2]
+    h = hashlib.sha256(f"{kind} {version('sentencepiece' if kind == 'model' else 'tokenizers')}\n".encode())
     with open(path, "rb") as f:
         while block := f.read(1 << 20):
             h.update(block)
@@ -65,23 +67,26 @@ def count_tokens(docs: DataFrame, path: str, cache_path: str, *, id_col: str = "
     written twice for one digest (two writers at once) holds equal counts, so any of them is taken.
     """
     spark = docs.sparkSession
-    version = tokenizer_digest(path)
+    tokenizer = tokenizer_digest(path)
     rows = texts(docs, id_col=id_col, text_col=text_col).withColumn("content_digest", F.sha2(F.col("text"), 256))
-    stored = read_cache(spark, cache_path).where(F.col("tokenizer_digest") == version)
+    stored = read_cache(spark, cache_path).where(F.col("tokenizer_digest") == tokenizer)
 
-    misses = rows.groupBy("content_digest").agg(F.first("text").alias("text")).join(stored, "content_digest", "left_anti")
+    sized = rows.select("doc_id", "content_digest", F.octet_length("text").cast("long").alias("n_bytes"))
+    lacking = settle(sized.select("content_digest").distinct().join(stored, "content_digest", "left_anti"), "lacking")
+    # Equal digests are equal texts, so whichever comes first is the one.
+    misses = rows.join(lacking, "content_digest", "left_semi").groupBy("content_digest").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         count = counter(path)
         schema = pa.schema([("tokenizer_digest", pa.string()), ("content_digest", pa.string()), ("n_tokens", pa.int64())])
-        for batch in batches:
+        for batch in portions(batches):
             counts = count(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array([version] * len(counts), pa.string()), batch.column(0), pa.array(counts, pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([tokenizer] * len(counts), pa.string()), batch.column(0), pa.array(counts, pa.int64())], schema=schema)
 
     misses.select("content_digest", "text").mapInArrow(run, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
-    known = read_cache(spark, cache_path).where(F.col("tokenizer_digest") == version).groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
+    known = read_cache(spark, cache_path).where(F.col("tokenizer_digest") == tokenizer).groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
     known = settle(known, "known_counts")  # read anew, so that a digest with very many rows can be split in the join
-    sized = rows.select("doc_id", "content_digest", F.octet_length("text").cast("long").alias("n_bytes"))
+    discard(lacking)
     return sized.join(known, "content_digest").select("doc_id", "n_bytes", "n_tokens")

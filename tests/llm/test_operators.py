@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from convolens.llm import bpe, decontamination, html_text, langid, pii, quality_rules, queries, quotations, simhash, substring_dedup, token_counts
+from convolens.llm import bpe, decontamination, html_text, langid, near_copies, pii, quality_rules, queries, quotations, simhash, substring_dedup, token_counts
 from convolens.llm.shared import fresh_path
 
 from . import reference_versions as plain
@@ -113,7 +113,7 @@ def test_simhash_crowded_groups(spark):
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     df = spark.createDataFrame([(signed(x),) for x in set(prints.values())], "fp long")
     edges = simhash.links(df, tile=16)
-    from convolens.llm.components import connected_components
+    from convolens.operators.components import connected_components
 
     roots = {r.node: r.root for r in connected_components(edges).collect()}
     by_root = {}
@@ -134,12 +134,12 @@ def test_simhash_edges(spark):
     assert by[1] == by[2] == by[3] == {(0, 1)}
     assert {c for _, c in by[7]} == {6} and len(by[7]) == 1
     assert simhash.near_duplicates(documents(spark, [])).count() == 0
-    kept = sorted(r.doc_id for r in simhash.keep_one(documents(spark, [(3, "a b c d"), (2, "a b c d"), (2, "a b c d"), (9, "quite another text here")])).collect())
+    kept = sorted(r.doc_id for r in near_copies.keep_one(documents(spark, [(3, "a b c d"), (2, "a b c d"), (2, "a b c d"), (9, "quite another text here")])).collect())
     assert kept == [2, 9]
 
 
 def test_components_of_a_long_chain(spark):
-    from convolens.llm.components import connected_components
+    from convolens.operators.components import connected_components
 
     df = spark.createDataFrame([(k + 1, k) for k in range(40)] + [(100, 101), (5, 5)], "u long, v long")
     got = {r.node: r.root for r in connected_components(df).collect()}
