@@ -25,7 +25,7 @@ from .shared import texts as _texts
 
 #: Bytes, as estimated, that a worker's tables of encodings may hold before they are emptied, and entries of the table of
 #: token pairs.
-MEMO_BYTES = 100_000_000
+MEMO_BYTES = 64_000_000
 PAIRS_LIMIT = 400_000
 #: Characters of text encoded together; ids and decoded texts of more than these are never held at once.
 PORTION = 1_000_000

@@ -60,15 +60,12 @@ class _Hashes(dict):
         return h
 
 
-_hash_of = _Hashes().__getitem__
-
-
-def codes(text: str | None):
-    """64-bit hashes of the tokens."""
+def codes(text: str | None, hashes: _Hashes | None = None):
+    """64-bit hashes of the tokens; ``hashes`` remembers those of earlier texts."""
     import numpy as np
 
     words = tokens(text)
-    return np.fromiter(map(_hash_of, words), np.uint64, len(words))
+    return np.fromiter(map((_Hashes() if hashes is None else hashes).__getitem__, words), np.uint64, len(words))
 
 
 def rolling(words, width: int):
@@ -234,10 +231,11 @@ def contaminated(
         import pyarrow as pa
 
         bitmap, bits = shared.value
+        hashes = _Hashes()
         for batch in batches:
             rows, words, seeds = [], [], []
             for k, text in enumerate(batch.column(2)):
-                w = codes(text.as_py())
+                w = codes(text.as_py(), hashes)
                 found = [s[_possible(bitmap, bits, s)] for s in (rolling(w, width) for width in widths)]
                 if any(map(len, found)):
                     rows.append(k)
