@@ -1,6 +1,6 @@
 """Registered queries by name, and their oracles."""
 
-from . import batch, reporting, texts
+from . import batch, phrases, reporting, texts
 
-QUERIES = {**reporting.QUERIES, **texts.QUERIES, **batch.QUERIES}
-ORACLE_SQL = {**reporting.ORACLE_SQL, **texts.ORACLE_SQL, **batch.ORACLE_SQL}
+QUERIES = {**reporting.QUERIES, **texts.QUERIES, **phrases.QUERIES, **batch.QUERIES}
+ORACLE_SQL = {**reporting.ORACLE_SQL, **texts.ORACLE_SQL, **phrases.ORACLE_SQL, **batch.ORACLE_SQL}
