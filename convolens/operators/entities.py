@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import fold_accents, ngrams, normalize_alias, tokens
+from ..functions.text import fold_accents, let, ngrams, normalize_alias, tokens
+from ..tables import settle
 
 # Confidence of each way to find a candidate.
 CONFIDENCE = {"alias_scan": 0.95, "product_code": 0.68, "hashtag": 0.52, "title_span": 0.64, "token_ngram": 0.40}
@@ -24,28 +25,32 @@ PROMOTABLE = 3
 
 
 def _runs(text: Column, longest: int = LONGEST) -> Column:
-    t = tokens(normalize_alias(text))
-    return F.array_distinct(F.concat(*(ngrams(t, n) for n in range(1, longest + 1))))
+    return let(tokens(normalize_alias(text)), lambda t: F.array_distinct(F.concat(*(ngrams(t, n) for n in range(1, longest + 1)))))
+
+
+#: Rows up to which an alias table is broadcast; beyond, both sides are shuffled by the run.
+BROADCAST_ROWS = 50_000
 
 
 def alias_hits(mentions: DataFrame, aliases: DataFrame) -> DataFrame:
-    """(mention_id, text, canonical_entity_id, entity_type, entity_kind, signal): aliases whose words stand in the text."""
-    runs = mentions.select("mention_id", "raw_text", F.explode(_runs(F.col("raw_text"))).alias("run"))
-    by_words = runs.join(aliases, runs["run"] == aliases["normalized"])
-    exact = F.contains(F.lower("raw_text"), F.lower("alias"))
-    kind = F.when(exact, "exact").otherwise("normalized")
-    first = by_words.select("mention_id", F.col("run").alias("text"), "canonical_entity_id", "entity_type", "entity_kind", kind.alias("signal"))
-    # Words run together in the text, or a compact alias written apart.
-    joined = runs.withColumn("compact_run", F.replace("run", F.lit(" "), F.lit("")))
-    close = joined.join(aliases, (joined["compact_run"] == aliases["compact"]) & (joined["run"] != aliases["normalized"]))
-    second = close.select("mention_id", F.col("run").alias("text"), "canonical_entity_id", "entity_type", "entity_kind", F.lit("compact").alias("signal"))
-    return first.unionByName(second).distinct()
-
-
-def candidates(mentions: DataFrame, aliases: DataFrame, noise: list[str] | None = None, repeated: DataFrame | None = None) -> DataFrame:
-    """(mention_id, text, method, confidence) from aliases, hashtags, product codes, titles and repeated phrases."""
+    """(mention_id, text, canonical_entity_id, entity_type, entity_kind, signal): aliases whose words stand in the text, also run
+    together there or written apart.
+
+    Only runs that are aliases meet their texts again; the runs carry no text."""
+    table = settle(aliases, "aliases")
+    table = F.broadcast(table) if table.count() <= BROADCAST_ROWS else table.hint("shuffle_merge")
+    runs = mentions.select("mention_id", F.explode(_runs(F.col("raw_text"))).alias("run")).withColumn("compact", F.replace("run", F.lit(" "), F.lit("")))
+    found = settle(runs.join(table, "compact").distinct(), "alias_runs")
+    texts = mentions.select("mention_id", F.lower("raw_text").alias("__text"))
+    exact = F.contains("__text", F.lower("alias"))
+    signal = F.when(F.col("run") != F.col("normalized"), "compact").when(exact, "exact").otherwise("normalized")
+    return found.join(texts, "mention_id").select("mention_id", F.col("run").alias("text"), "canonical_entity_id", "entity_type", "entity_kind", signal.alias("signal")).distinct()
+
+
+def candidates(mentions: DataFrame, hits: DataFrame, noise: list[str] | None = None, repeated: DataFrame | None = None) -> DataFrame:
+    """(mention_id, text, method, confidence) from alias hits, hashtags, product codes, titles and repeated phrases."""
     make = lambda df, method: df.select("mention_id", "text", F.lit(method).alias("method"), F.lit(CONFIDENCE[method]).alias("confidence"))
-    out = make(alias_hits(mentions, aliases).select("mention_id", "text").distinct(), "alias_scan")
+    out = make(hits.select("mention_id", "text").distinct(), "alias_scan")
     if "hashtags" in mentions.columns:
         out = out.unionByName(make(mentions.select("mention_id", F.explode("hashtags").alias("h")).select("mention_id", normalize_alias(F.col("h")).alias("text")), "hashtag"))
     codes = mentions.select("mention_id", F.explode(F.array_distinct(F.regexp_extract_all("raw_text", F.lit(CODE), 1))).alias("c"))
@@ -61,8 +66,8 @@ def candidates(mentions: DataFrame, aliases: DataFrame, noise: list[str] | None
 
 def repeated_phrases(mentions: DataFrame, aliases: DataFrame, noise: list[str] | None = None, least: int = LEAST_MENTIONS, shortest: int = 2) -> DataFrame:
     """(text, mentions): runs of two or three tokens in enough mentions that are no alias and no noise."""
-    t = tokens(normalize_alias(F.col("raw_text")))
-    runs = mentions.select("mention_id", F.explode(F.array_distinct(F.concat(*(ngrams(t, n) for n in range(shortest, 4))))).alias("text"))
+    phrases = let(tokens(normalize_alias(F.col("raw_text"))), lambda t: F.array_distinct(F.concat(*(ngrams(t, n) for n in range(shortest, 4)))))
+    runs = mentions.select("mention_id", F.explode(phrases).alias("text"))
     counts = runs.groupBy("text").agg(F.count(F.lit(1)).alias("mentions")).where(F.col("mentions") >= least)
     counts = counts.join(aliases.select(F.col("normalized").alias("text")).distinct(), "text", "left_anti")
     return counts.where(~F.col("text").isin(*noise)) if noise else counts
@@ -123,5 +128,6 @@ def variants(aliases: DataFrame) -> DataFrame:
 def link(mentions: DataFrame, aliases: DataFrame, noise: list[str] | None = None, repeated: bool = False) -> DataFrame:
     """From mentions (mention_id, raw_text, and hashtags and title if there) to entity facts."""
     phrases = repeated_phrases(mentions, aliases, noise) if repeated else None
-    merged = merge(candidates(mentions, aliases, noise, phrases))
-    return facts(resolve(merged, alias_hits(mentions, aliases), noise))
+    hits = settle(alias_hits(mentions, aliases), "alias_hits")
+    merged = merge(candidates(mentions, hits, noise, phrases))
+    return facts(resolve(merged, hits, noise))

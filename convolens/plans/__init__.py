@@ -1,6 +1,7 @@
 """Registered queries by name, and their oracles."""
 
-from . import batch, phrases, reporting, texts
+from . import batch, linking, phrases, reporting, texts
 
-QUERIES = {**reporting.QUERIES, **texts.QUERIES, **phrases.QUERIES, **batch.QUERIES}
-ORACLE_SQL = {**reporting.ORACLE_SQL, **texts.ORACLE_SQL, **phrases.ORACLE_SQL, **batch.ORACLE_SQL}
+_MODULES = (reporting, texts, phrases, linking, batch)
+QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
+ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}

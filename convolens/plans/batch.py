@@ -60,15 +60,27 @@ def demo_ontology() -> dict:
 
 
 WORDS = r"list_filter(string_split(trim(regexp_replace(regexp_replace(lower(raw_text), '[^\p{L}\p{N}_\s\x0b]', ' ', 'g'), '[\s\x0b]+', ' ', 'g')), ' '), lambda z: z <> '')"
+ALIASES = f"b AS (SELECT * FROM (VALUES {', '.join(f"('brand.b{k}', '{n.lower()}', '{n.lower().replace(' ', '')}')" for k, n in enumerate(BRANDS))}) v(canonical_entity_id, alias, compact))"
+RUN = "list_transform(range(1, greatest(len(t) - {n}, 0) + 1), lambda i: array_to_string(list_slice(t, i, i + {n}), ' '))"
+#: Every run of up to five words whose letters are those of an alias.
+HITS = f"""{ALIASES}, t AS (SELECT mention_id, raw_text, {WORDS} AS t FROM doc_mentions), r AS (SELECT DISTINCT mention_id, unnest(list_concat(list_concat(list_concat(list_concat({RUN.format(n=0)}, {RUN.format(n=1)}), {RUN.format(n=2)}), {RUN.format(n=3)}), {RUN.format(n=4)})) AS text FROM t),
+    hits AS (SELECT r.mention_id, text, canonical_entity_id, CASE WHEN text <> alias THEN 0.94::DOUBLE WHEN contains(lower(raw_text), alias) THEN 1.0::DOUBLE ELSE 0.97::DOUBLE END AS s FROM r JOIN b ON replace(text, ' ', '') = compact JOIN t USING (mention_id))"""
+query("alias_scan", f"+{HITS} SELECT DISTINCT mention_id, canonical_entity_id, CASE s WHEN 1.0 THEN 'exact' WHEN 0.97 THEN 'normalized' ELSE 'compact' END AS signal FROM hits", "doc_mentions")(
+    lambda s, d: entities.alias_hits(a.doc_mentions(s, d), ontology.aliases(s, demo_ontology())).select("mention_id", "canonical_entity_id", "signal").distinct()
+)
 query(
-    "alias_scan",
-    f"""+t AS (SELECT mention_id, ' ' || array_to_string({WORDS}, ' ') || ' ' AS t FROM doc_mentions), b AS (SELECT * FROM (VALUES {', '.join(f"('brand.b{k}', '{n.lower()}')" for k, n in enumerate(BRANDS))}) v(canonical_entity_id, alias))
-    SELECT mention_id, canonical_entity_id FROM t JOIN b ON contains(t.t, ' ' || alias || ' ')""",
+    "entity_facts",
+    f"""+{HITS}, codes AS (SELECT DISTINCT mention_id, trim(regexp_replace(regexp_replace(lower(c), '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS text FROM (SELECT mention_id, unnest(regexp_extract_all(raw_text, '{entities.CODE}', 1)) AS c FROM doc_mentions)),
+    found AS (SELECT DISTINCT mention_id, text, 'alias_scan' AS method, 0.95::DOUBLE AS c FROM hits UNION ALL SELECT mention_id, text, 'product_code', 0.68::DOUBLE FROM codes WHERE length(text) > 1),
+    merged AS (SELECT mention_id, text, CASE WHEN count(*) > 1 THEN greatest(max(c), least(max(c) + 0.03::DOUBLE, 0.96::DOUBLE)) ELSE max(c) END AS confidence FROM found GROUP BY ALL),
+    best AS (SELECT mention_id, text, canonical_entity_id, max(s) AS s FROM hits GROUP BY ALL), placed AS (SELECT *, row_number() OVER (PARTITION BY mention_id, text ORDER BY s DESC, canonical_entity_id) AS p, lead(s) OVER (PARTITION BY mention_id, text ORDER BY s DESC, canonical_entity_id) AS second FROM best),
+    res AS (SELECT m.mention_id, m.text, confidence, CASE WHEN p.s IS NOT NULL AND NOT coalesce(p.s - second < 0.05, false) THEN canonical_entity_id END AS canonical_entity_id, p.s AS s FROM merged m LEFT JOIN (SELECT * FROM placed WHERE p = 1) p USING (mention_id, text)),
+    linked AS (SELECT *, row_number() OVER (PARTITION BY mention_id, canonical_entity_id ORDER BY confidence * s DESC, length(text) DESC, text) AS p FROM res WHERE canonical_entity_id IS NOT NULL),
+    open_ AS (SELECT *, row_number() OVER (PARTITION BY mention_id ORDER BY confidence DESC, length(text) DESC, text) AS p FROM res WHERE canonical_entity_id IS NULL AND mention_id NOT IN (SELECT mention_id FROM linked))
+    SELECT mention_id, text, confidence, canonical_entity_id, NULL::VARCHAR AS concept_entity_id, CASE WHEN canonical_entity_id IS NOT NULL THEN 'brand' END AS entity_type, CASE WHEN canonical_entity_id IS NOT NULL THEN confidence * s ELSE 0.0::DOUBLE END AS link_confidence,
+    CASE WHEN canonical_entity_id IS NOT NULL THEN NULL WHEN s IS NULL THEN 'no_candidate_found' ELSE 'ambiguous_multi_candidate' END AS unresolved_reason FROM (SELECT * FROM linked WHERE p = 1 UNION ALL SELECT * FROM open_ WHERE p <= 2)""",
     "doc_mentions",
-)(lambda s, d: entities.alias_hits(a.doc_mentions(s, d), ontology.aliases(s, demo_ontology())).where("signal <> 'compact'").select("mention_id", "canonical_entity_id").distinct())
-# All signals, also words run together or written apart, which the SQL of alias_scan does not know.
-query("alias_scan_all")(lambda s, d: entities.alias_hits(a.doc_mentions(s, d), ontology.aliases(s, demo_ontology())).select("mention_id", "canonical_entity_id").distinct())
-query("entity_facts")(lambda s, d: entities.link(a.doc_mentions(s, d), ontology.aliases(s, demo_ontology())).drop("methods"))
+)(lambda s, d: entities.link(a.doc_mentions(s, d), ontology.aliases(s, demo_ontology())).drop("methods"))
 query(
     "repeated_phrases",
     f"""+t AS (SELECT mention_id, {WORDS} AS t FROM doc_mentions), w AS (SELECT mention_id, unnest(t) AS w1, unnest(list_concat(t[2:], [NULL])) AS w2, unnest(list_concat(t[3:], [NULL, NULL])) AS w3 FROM t),

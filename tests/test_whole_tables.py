@@ -30,10 +30,10 @@ def brute_force(rows):
     return out
 
 
-def test_alias_scan_all(spark, tmp_path):
+def test_alias_scan_compact(spark, tmp_path):
     texts = ["we saw There Th today", "we saw thereth today", "el le is apart", "KeitEin, twice: keit ein", "nothing here", "The Of", "theof", "other elle", None]
     docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    got = {tuple(r) for r in plans.QUERIES["alias_scan_all"](spark, str(tmp_path)).collect()}
+    got = {tuple(r)[:2] for r in plans.QUERIES["alias_scan"](spark, str(tmp_path)).collect()}
     assert got == brute_force(enumerate(texts))
     assert {("1", "brand.b0"), ("6", "brand.b3")} <= got
