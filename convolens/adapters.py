@@ -50,8 +50,10 @@ SQL = {
 
 
 def sql(query: str, *names: str) -> str:
-    """An oracle query over the named projections."""
-    return "WITH " + ", ".join(f"{n} AS ({SQL[n]})" for n in names) + (", " if query.lstrip().startswith("+") else " ") + query.lstrip().removeprefix("+")
+    """An oracle query over the named projections; one that begins with a plus goes on with the WITH, if need be recursively."""
+    recursive = query.lstrip().startswith("+RECURSIVE ")
+    query = query.replace("+RECURSIVE ", "+", 1) if recursive else query
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ", ".join(f"{n} AS ({SQL[n]})" for n in names) + (", " if query.lstrip().startswith("+") else " ") + query.lstrip().removeprefix("+")
 
 
 def mentions(spark: SparkSession, sf: str) -> DataFrame:

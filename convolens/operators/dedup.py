@@ -66,7 +66,8 @@ def _signatures(rows: DataFrame) -> DataFrame:
 
 
 def similar_pairs(mentions: DataFrame, cap: int = BUCKET_CAP, threshold: float = SIMILARITY) -> DataFrame:
-    """(left, right, similarity) with left < right of near texts that share a bucket of at most ``cap`` mentions.
+    """(left, right, similarity) with left < right of near texts that share a bucket; in one of more than ``cap`` mentions
+    each is only compared with the first.
 
     Tables of at most EXHAUSTIVE mentions are compared pair by pair instead."""
     rows = mentions.where(F.length("text") >= LEAST_LENGTH).select("mention_id", shingles(F.col("text")).alias("shingles")).where(F.size("shingles") > 0)
@@ -76,10 +77,13 @@ def similar_pairs(mentions: DataFrame, cap: int = BUCKET_CAP, threshold: float =
         pairs = a.join(b, F.col("left") < F.col("right"))
     else:
         bands = settle(_signatures(rows), "bands")
-        sizes = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n").between(2, cap))
-        crowded = settle(bands.join(settle(sizes, "buckets"), ["band", "key"]).select("band", "key", "mention_id"), "crowded")
-        two = crowded.withColumnRenamed("mention_id", "right")
-        pairs = crowded.withColumnRenamed("mention_id", "left").join(two, ["band", "key"]).where("left < right").select("left", "right").distinct()
+        sizes = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("mention_id").alias("first")).where("n > 1")
+        held = settle(bands.join(settle(sizes, "buckets"), ["band", "key"]), "held")
+        small = held.where(F.col("n") <= cap).select("band", "key", "mention_id")
+        pairs = small.withColumnRenamed("mention_id", "left").join(small.withColumnRenamed("mention_id", "right"), ["band", "key"]).where("left < right").select("left", "right")
+        # A crowded bucket gives no all-pairs: everything in it meets its first mention.
+        crowded = held.where((F.col("n") > cap) & (F.col("mention_id") != F.col("first"))).select(F.col("first").alias("left"), F.col("mention_id").alias("right"))
+        pairs = pairs.unionByName(crowded).distinct()
         pairs = pairs.join(rows.select(F.col("mention_id").alias("left"), F.col("shingles").alias("x")), "left").join(rows.select(F.col("mention_id").alias("right"), F.col("shingles").alias("y")), "right")
     return pairs.select("left", "right", round_to(jaccard(F.col("x"), F.col("y"))).alias("similarity")).where(F.col("similarity") >= threshold)
 

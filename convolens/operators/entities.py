@@ -17,6 +17,7 @@ from ..tables import settle
 CONFIDENCE = {"alias_scan": 0.95, "product_code": 0.68, "hashtag": 0.52, "title_span": 0.64, "token_ngram": 0.40}
 SIGNAL = {"exact": 1.0, "normalized": 0.97, "compact": 0.94}
 BONUS, MOST = 0.03, 0.96
+#: Words of a run, at least; as many as the longest alias has otherwise.
 LONGEST = 5
 CODE = r"\b([A-Za-z]{1,6}[- ]?[0-9]{1,4}[A-Za-z]{0,3})\b"
 AMBIGUITY_GAP = 0.05
@@ -38,8 +39,11 @@ def alias_hits(mentions: DataFrame, aliases: DataFrame) -> DataFrame:
 
     Only runs that are aliases meet their texts again; the runs carry no text."""
     table = settle(aliases, "aliases")
-    table = F.broadcast(table) if table.count() <= BROADCAST_ROWS else table.hint("shuffle_merge")
-    runs = mentions.select("mention_id", F.explode(_runs(F.col("raw_text"))).alias("run")).withColumn("compact", F.replace("run", F.lit(" "), F.lit("")))
+    # As many words as the longest alias has, and no more letters, so that few runs leave their text.
+    rows, words, letters = table.agg(F.count(F.lit(1)), F.max(F.size(F.split("normalized", " "))), F.max(F.length("compact"))).first()
+    table = F.broadcast(table) if rows <= BROADCAST_ROWS else table.hint("shuffle_merge")
+    found = F.filter(_runs(F.col("raw_text"), max(LONGEST, words or 0)), lambda r: F.length(F.translate(r, " ", "")) <= (letters or 0))
+    runs = mentions.select("mention_id", F.explode(found).alias("run")).withColumn("compact", F.translate("run", " ", ""))
     found = settle(runs.join(table, "compact").distinct(), "alias_runs")
     texts = mentions.select("mention_id", F.lower("raw_text").alias("__text"))
     exact = F.contains("__text", F.lower("alias"))

@@ -98,10 +98,126 @@ def anchored(s, d):
     return semantics.anchors(a.doc_mentions(s, d), None, CUES)
 
 
-query("segment_polarity")(lambda s, d: semantics.segments(anchored(s, d)).select("mention_id", "segment", "score", "cues", "negated"))
-query("mention_sentiment")(lambda s, d: semantics.mention_sentiment(semantics.segments(anchored(s, d))))
-query("aspect_opinions")(lambda s, d: semantics.aspects(anchored(s, d), semantics.segments(anchored(s, d))))
-query("issue_signals")(lambda s, d: semantics.issues(anchored(s, d), semantics.segments(anchored(s, d)), CUES))
+query("anchored_text")(lambda s, d: anchored(s, d))
+#: Events as anchors: twelve to a mention, in three segments, of every kind.
+KINDS = ("polarity", "negation", "aspect", "issue", "target", "polarity", "uncertainty", "polarity", "comparison", "polarity", "hearsay", "escalation", "first_person")
+ANCHORS = f"""e AS (SELECT (event_id // 12)::VARCHAR AS mention_id, ((event_id // 4) % 3)::INTEGER AS segment, ([{', '.join(repr(k) for k in KINDS)}])[event_id % {len(KINDS)} + 1] AS kind, user_id, event_id, ((event_id * 37) % 60)::INTEGER AS start FROM events),
+    anchors AS (SELECT mention_id, segment, kind, CASE kind WHEN 'aspect' THEN 'aspect' || user_id % 3 WHEN 'issue' THEN CASE user_id % 3 WHEN 0 THEN 'safety_concern' ELSE 'other_issue' END WHEN 'target' THEN 'target' || user_id % 2 ELSE kind END AS label,
+        CASE WHEN kind = 'polarity' THEN ((event_id * 7919) % 21 - 10)::DOUBLE / 10.0::DOUBLE ELSE 0.0::DOUBLE END AS score, start, start + 4 AS stop FROM e
+        UNION ALL SELECT mention_id, segment, 'segment', CASE min(event_id) % 4 WHEN 0 THEN 'contrast' WHEN 1 THEN 'question' WHEN 2 THEN 'contrast question' ELSE '' END, 0.0::DOUBLE, 0, 80 FROM e GROUP BY ALL),
+    signed AS (SELECT p.mention_id, p.segment, p.label, p.score, p.start, p.stop, count(n.start) > 0 AS negated FROM anchors p LEFT JOIN anchors n ON n.kind = 'negation' AND n.mention_id = p.mention_id AND n.segment = p.segment AND p.start - n.start BETWEEN 0 AND 14
+        WHERE p.kind = 'polarity' GROUP BY ALL), cues AS (SELECT mention_id, segment, start, stop, CASE WHEN negated THEN -score ELSE score END AS score, negated FROM signed),
+    flags AS (SELECT mention_id, segment, bool_or(kind = 'segment' AND contains(label, 'contrast')) AS contrast, bool_or((kind = 'segment' AND contains(label, 'question')) OR kind = 'uncertainty') AS uncertain, bool_or(kind = 'hearsay') AS hearsay,
+        bool_or(kind = 'comparison') AS comparison, bool_or(kind = 'escalation') AS escalation, bool_or(kind = 'first_person') AS first_person FROM anchors GROUP BY ALL),
+    sums AS (SELECT mention_id, segment, sum(score::DECIMAL(10, 4))::DOUBLE AS score, count(*) AS cues, bool_or(negated) AS negated FROM cues GROUP BY ALL),
+    segs AS (SELECT f.*, coalesce(score, 0.0::DOUBLE) AS score, coalesce(cues, 0) AS cues, coalesce(negated, false) AS negated FROM flags f LEFT JOIN sums USING (mention_id, segment))"""
+
+
+def anchor_rows(s, d):
+    e = load(s, d, "events")
+    i, u = F.col("event_id"), F.col("user_id")
+    kind = F.get(F.array(*map(F.lit, KINDS)), (i % len(KINDS)).cast("int"))
+    rows = e.select(F.floor(i / 12).cast("string").alias("mention_id"), (F.floor(i / 4) % 3).cast("int").alias("segment"), kind.alias("kind"), u.alias("u"), i.alias("i"), ((i * 37) % 60).cast("int").alias("start"))
+    label = F.when(F.col("kind") == "aspect", F.concat(F.lit("aspect"), (F.col("u") % 3).cast("string"))).when(F.col("kind") == "issue", F.when(F.col("u") % 3 == 0, "safety_concern").otherwise("other_issue"))
+    label = label.when(F.col("kind") == "target", F.concat(F.lit("target"), (F.col("u") % 2).cast("string"))).otherwise(F.col("kind"))
+    score = F.when(F.col("kind") == "polarity", ((F.col("i") * 7919) % 21 - 10).cast("double") / 10.0).otherwise(0.0)
+    own = rows.select("mention_id", "segment", "kind", label.alias("label"), score.alias("score"), "start", (F.col("start") + 4).alias("stop"))
+    first = F.min("i") % 4
+    whole = rows.groupBy("mention_id", "segment").agg(F.when(first == 0, "contrast").when(first == 1, "question").when(first == 2, "contrast question").otherwise("").alias("label"))
+    return own.unionByName(whole.select("mention_id", "segment", F.lit("segment").alias("kind"), "label", F.lit(0.0).alias("score"), F.lit(0).alias("start"), F.lit(80).alias("stop")))
+
+
+MOOD = "CASE WHEN {0} >= 0.35 THEN 'positive' WHEN {0} <= -0.35 THEN 'negative' WHEN abs({0}) < 0.15 THEN 'neutral' ELSE 'mixed' END"
+MERGED = "CASE WHEN (list_contains({0}, 'positive') AND list_contains({0}, 'negative')) OR list_contains({0}, 'mixed') THEN 'mixed' WHEN list_contains({0}, 'positive') THEN 'positive' WHEN list_contains({0}, 'negative') THEN 'negative' ELSE 'neutral' END"
+
+
+def thousandths(sql: str) -> str:
+    return f"floor(({sql}) * 1000.0 + 0.5) / 1000.0"
+
+
+def clamp_sql(base: float, *parts: tuple[str, str]) -> str:
+    total = f"{base}::DOUBLE" + "".join(f" + CASE WHEN {c} THEN {v} ELSE 0.0::DOUBLE END" for c, v in parts)
+    return thousandths(f"greatest(0.05::DOUBLE, least(0.99::DOUBLE, {total}))")
+
+
+def sentiment_sql(base: float, explicit: str, inherited: str, support: str, mood: str, contrast: str, negated: str, unsure: str) -> str:
+    return clamp_sql(
+        base, (explicit, "0.12::DOUBLE"), (inherited, "-0.12::DOUBLE"), (f"{support} > 1", f"least(0.04::DOUBLE * ({support} - 1), 0.14::DOUBLE)"), (f"{mood} = 'mixed'", "-0.1::DOUBLE"), (contrast, "-0.04::DOUBLE"), (negated, "-0.03::DOUBLE"), (unsure, "-0.1::DOUBLE")
+    )
+
+
+def near_sql(kind: str) -> str:
+    gap = "least(abs(c.start - t.start), abs(c.stop - t.stop))"
+    return f"""SELECT t.mention_id, t.segment, t.label, t.start, sum((c.score * greatest(0.35::DOUBLE, 1.0::DOUBLE - {gap} / 48.0::DOUBLE))::DECIMAL(20, 8))::DOUBLE AS score, count(*) AS support, bool_or(c.negated) AS negated
+        FROM (SELECT * FROM anchors WHERE kind = '{kind}') t JOIN cues c USING (mention_id, segment) WHERE {gap} <= 48 GROUP BY ALL"""
+
+
+def first_sql(rows: str) -> str:
+    return f"SELECT * FROM ({rows}) QUALIFY row_number() OVER (PARTITION BY mention_id, segment, label ORDER BY start) = 1"
+
+
+query("segment_polarity", f"WITH {ANCHORS} SELECT * FROM segs")(lambda s, d: semantics.segments(anchor_rows(s, d)))
+query(
+    "mention_sentiment",
+    f"""WITH {ANCHORS}, l AS (SELECT *, {MOOD.format('score')} AS l, uncertain OR hearsay OR comparison OR contrast AS u FROM segs WHERE cues > 0),
+    g AS (SELECT mention_id, list(l) AS ls, sum(score::DECIMAL(10, 4))::DOUBLE AS t, sum(cues)::BIGINT AS n, bool_or(contrast) AS c, bool_or(negated) AS neg, bool_or(u) AS u FROM l GROUP BY mention_id), m AS (SELECT *, {MERGED.format('ls')} AS sentiment FROM g)
+    SELECT mention_id, sentiment, {thousandths('abs(t)')} AS score, {sentiment_sql(0.5, 'false', 'false', 'n', 'sentiment', 'c', 'neg', 'u')} AS confidence FROM m""",
+)(lambda s, d: semantics.mention_sentiment(semantics.segments(anchor_rows(s, d))))
+query(
+    "aspect_opinions",
+    f"""WITH {ANCHORS}, n AS ({first_sql(near_sql('aspect'))}), j AS (SELECT n.*, contrast, uncertain, {MOOD.format('n.score')} AS sentiment FROM n JOIN segs USING (mention_id, segment) WHERE abs(n.score) >= 0.18)
+    SELECT mention_id, segment, label AS aspect, score, sentiment, {sentiment_sql(0.48, 'false', 'false', 'support', 'sentiment', 'contrast', 'negated', 'uncertain')} AS confidence FROM j""",
+)(lambda s, d: (lambda r: semantics.aspects(r, semantics.segments(r)))(anchor_rows(s, d)))
+MODE = "CASE WHEN escalation THEN 'escalation_signal' WHEN hearsay THEN 'hearsay_or_rumor' WHEN uncertain THEN 'question_or_uncertainty' WHEN comparison AND score < 0 THEN 'comparison_based_critique' WHEN score < 0 AND first_person THEN 'direct_complaint' ELSE 'direct_observation' END"
+HOW_BAD = """CASE WHEN issue_category = 'safety_concern' AND evidence_mode IN ('escalation_signal', 'direct_complaint') THEN 'critical_like_proxy' WHEN evidence_mode = 'escalation_signal' OR abs(score) >= 1.05 THEN 'high'
+    WHEN evidence_mode IN ('question_or_uncertainty', 'hearsay_or_rumor') THEN 'low' WHEN abs(score) >= 0.55 THEN 'medium' ELSE 'low' END"""
+FOLLOWS = semantics.Cues(aspect_issue={"aspect0": "other_issue", "aspect1": "pricing_value_concern"})
+ISSUES = f"""named AS (SELECT mention_id, segment, label AS issue_category, coalesce(score, 0.0::DOUBLE) AS score FROM ({first_sql(f"SELECT a.mention_id, a.segment, a.label, a.start, n.score FROM anchors a LEFT JOIN ({near_sql('issue')}) n USING (mention_id, segment, label, start) WHERE a.kind = 'issue'")})),
+    derived AS (SELECT mention_id, segment, CASE label WHEN 'aspect0' THEN 'other_issue' WHEN 'aspect1' THEN 'pricing_value_concern' END AS issue_category, score FROM ({first_sql(near_sql('aspect'))}) WHERE score < -0.2),
+    both_ AS (SELECT * FROM named UNION ALL SELECT * FROM derived d WHERE issue_category IS NOT NULL AND NOT EXISTS (SELECT 1 FROM named n WHERE n.mention_id = d.mention_id AND n.segment = d.segment AND n.issue_category = d.issue_category)),
+    one AS (SELECT mention_id, segment, issue_category, min(score) AS score FROM both_ GROUP BY ALL), moded AS (SELECT o.*, hearsay, uncertain, {MODE.replace('score', 'o.score')} AS evidence_mode FROM one o JOIN segs USING (mention_id, segment)),
+    issues AS (SELECT mention_id, segment, issue_category, score, evidence_mode, {HOW_BAD} AS severity, uncertain OR hearsay AS unsure FROM moded)"""
+query("issue_signals", f"WITH {ANCHORS}, {ISSUES} SELECT * FROM issues")(lambda s, d: (lambda r: semantics.issues(r, semantics.segments(r), FOLLOWS))(anchor_rows(s, d)))
+THREADS = "SELECT DISTINCT mention_id, 'r' || CAST(mention_id AS BIGINT) % 20 AS root_id, 't' || CAST(mention_id AS BIGINT) % 3 AS normalized_text FROM e"
+
+
+def threaded(s, d):
+    k = F.col("mention_id").cast("long")
+    return anchor_rows(s, d).select("mention_id").distinct().select("mention_id", F.concat(F.lit("r"), (k % 20).cast("string")).alias("root_id"), F.concat(F.lit("t"), (k % 3).cast("string")).alias("normalized_text"))
+
+
+query(
+    "issue_corroboration",
+    f"""WITH {ANCHORS}, {ISSUES}, t AS ({THREADS}), c AS (SELECT *, count(*) OVER (PARTITION BY root_id, issue_category, normalized_text) AS n FROM issues JOIN t USING (mention_id))
+    SELECT mention_id, segment, issue_category, score, evidence_mode, unsure, root_id, n AS corroboration_count, CASE WHEN n >= 3 AND NOT unsure THEN CASE severity WHEN 'low' THEN 'medium' WHEN 'medium' THEN 'high' ELSE severity END ELSE severity END AS severity,
+    {clamp_sql(0.44, ('unsure', '-0.22::DOUBLE'), ('n > 1 AND NOT unsure', 'least(0.05::DOUBLE * (n - 1), 0.16::DOUBLE)'), ("evidence_mode = 'escalation_signal'", '0.08::DOUBLE'), ("evidence_mode IN ('direct_complaint', 'direct_observation')", '0.06::DOUBLE'))} AS confidence FROM c""",
+)(lambda s, d: (lambda r: semantics.corroborate(semantics.issues(r, semantics.segments(r), FOLLOWS), threaded(s, d)))(anchor_rows(s, d)))
+TARGETS = "t AS (SELECT DISTINCT mention_id, label AS target_key FROM anchors WHERE kind = 'target'), mentions AS (SELECT DISTINCT mention_id FROM e)"
+query(
+    "inherited_targets",
+    f"""WITH {ANCHORS}, {TARGETS}, one AS (SELECT mention_id AS ancestor_id, min(target_key) AS target_key FROM t GROUP BY mention_id HAVING count(*) = 1),
+    up AS (SELECT m.mention_id, (CAST(m.mention_id AS BIGINT) - k)::VARCHAR AS ancestor_id, k AS distance FROM mentions m, range(1, 4) r(k) WHERE CAST(m.mention_id AS BIGINT) % 4 >= k) SELECT mention_id, arg_min(target_key, distance) AS target_key FROM up JOIN one USING (ancestor_id) GROUP BY mention_id""",
+)(lambda s, d: semantics.inherited_targets(anchor_targets(s, d), uplinks(s, d)))
+
+
+def anchor_targets(s, d):
+    return anchor_rows(s, d).where("kind = 'target'").select("mention_id", F.col("label").alias("target_key")).distinct()
+
+
+def uplinks(s, d):
+    k = F.col("mention_id").cast("long")
+    return anchor_rows(s, d).select("mention_id").distinct().select("mention_id", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("distance")).where(k % 4 >= F.col("distance")).select("mention_id", (k - F.col("distance")).cast("string").alias("ancestor_id"), "distance")
+
+
+INHERITED = "i AS (" + ORACLE_SQL["inherited_targets"].split(", one AS", 1)[1].join(("WITH one AS", "")) + ")"
+TARGETED = f"""own AS (SELECT mention_id, segment, label, score, support, negated, false AS inherited FROM ({first_sql(near_sql('target'))})),
+    taken AS (SELECT mention_id, segment, target_key AS label, score * 0.75::DOUBLE AS score, cues AS support, negated, true AS inherited FROM i JOIN segs USING (mention_id) WHERE cues > 0 AND mention_id NOT IN (SELECT mention_id FROM t)),
+    rows_ AS (SELECT r.*, contrast, uncertain OR hearsay OR comparison OR contrast AS unsure, {MOOD.format('r.score')} AS l FROM (SELECT * FROM own UNION ALL SELECT * FROM taken) r JOIN segs USING (mention_id, segment)),
+    sure AS (SELECT *, {sentiment_sql(0.48, 'NOT inherited', 'inherited', 'support', 'l', 'contrast', 'negated', 'unsure')} AS confidence FROM rows_)"""
+query(
+    "target_sentiment",
+    f"""WITH {ANCHORS}, {TARGETS}, {INHERITED}, {TARGETED} SELECT mention_id, label AS target_key, {MERGED.format('list(l)')} AS sentiment, {thousandths('max(abs(score))')} AS score, {thousandths('avg(confidence)')} AS confidence, bool_or(inherited) AS inherited FROM sure GROUP BY mention_id, label""",
+)(lambda s, d: (lambda r: semantics.target_sentiment(r, semantics.segments(r), semantics.inherited_targets(anchor_targets(s, d), uplinks(s, d))))(anchor_rows(s, d)))
 
 
 def tagged(s, d):
@@ -129,6 +245,7 @@ def snapshots(s, d):
     return out
 
 
+# quality and signature of languages as topics: terms by rank, how few topics share them, and spread over authors.
 query("topic_artifacts")(lambda s, d: snapshots(s, d)[0].select("topic_key", "topic_size", "authors", "quality_score", "reporting_status", "signature"))
 TERMS = """terms AS (SELECT {k} AS topic_key, list(term ORDER BY n DESC, term) AS terms, any_value(size) AS topic_size FROM (SELECT {k}, term, count(*) AS n, any_value(size) AS size, row_number() OVER (PARTITION BY {k} ORDER BY count(*) DESC, term) AS place
     FROM (SELECT {k}, mention_id, unnest(list_distinct({t})) AS term, count(DISTINCT mention_id) OVER (PARTITION BY {k}) AS size FROM docs) WHERE length(term) > 2 GROUP BY {k}, term) WHERE place <= 8 GROUP BY {k})"""
