@@ -165,3 +165,23 @@ def quality_score(flags: Column) -> Column:
     for flag, penalty in PENALTY.items():
         score = score - F.when(F.array_contains(flags, flag), penalty).otherwise(0.0)
     return round_to(F.greatest(score, F.lit(0.05)))
+
+
+def blended(model: Column, text: Column, hints: dict[str, tuple[str, ...]] | None = None, mixed_confidence: float = 0.55, mixed_gap: float = 0.12, share: float = 0.72) -> Column:
+    """struct<language, confidence> from a model's best two labels (``model``: array<struct<label, probability>>) and the hints, which
+    count for ``share`` of their score; each language has the better of both, and the choice is that of best_hint."""
+    zero = F.array().cast("array<struct<l: string, s: double>>")
+    top = F.slice(F.array_sort(F.transform(F.coalesce(model, F.array().cast("array<struct<label: string, probability: double>>")), lambda x: F.struct((-x["probability"]).alias("n"), canonical_label(x["label"]).alias("l")))), 1, 2)
+    given = F.transform(top, lambda x: F.struct(x["l"].alias("l"), round_to(-x["n"]).alias("s")))
+    guessed = F.filter(F.array(*(F.struct(F.lit(k).alias("l"), round_to(v * share).alias("s")) for k, v in hint_scores(text, hints).items())), lambda x: x["s"] > 0)
+    both = F.concat(given, guessed, zero)
+    names = F.array_distinct(F.transform(both, lambda x: x["l"]))
+    best = F.array_sort(F.transform(names, lambda n: F.struct((-F.array_max(F.transform(F.filter(both, lambda x: x["l"] == n), lambda x: x["s"]))).alias("s"), n.alias("l"))))
+    one, two = F.get(best, F.lit(0)), F.get(best, F.lit(1))
+    mixed = F.coalesce((-two["s"] >= mixed_confidence * 0.45) & (two["s"] - one["s"] <= mixed_gap), F.lit(False))
+    none = F.struct(F.lit("unknown").alias("language"), F.lit(0.0).alias("confidence"))
+    return (
+        F.when((F.size(best) == 0) | (F.trim(text) == ""), none)
+        .when(mixed, F.struct(F.lit("mixed").alias("language"), round_to(F.greatest((-one["s"] - two["s"]) / 2.0, F.lit(mixed_confidence))).alias("confidence")))
+        .otherwise(F.struct(one["l"].alias("language"), (-one["s"]).alias("confidence")))
+    )

@@ -182,3 +182,43 @@ def interaction_structure(threads: DataFrame) -> DataFrame:
     return row.select(
         ratio(F.col("reply_count"), F.col("comment_count")).alias("reply_to_comment_ratio_proxy"), ratio(F.col("max_depth_observed"), F.col("total_mentions")).alias("interaction_recursion_proxy")
     )
+
+
+def source_ratios(mentions: DataFrame, column: str = "language_source", explicit: str = "explicit") -> DataFrame:
+    """One row: shares of mentions whose language was given, and inferred."""
+    row = mentions.agg(_n().alias("n"), F.count_if(F.col(column) == explicit).alias("given"), F.count_if(F.col(column).isNotNull() & (F.col(column) != explicit)).alias("guessed"))
+    return row.select(ratio(F.col("given"), F.col("n")).alias("explicit_language_ratio"), ratio(F.col("guessed"), F.col("n")).alias("inferred_language_ratio"))
+
+
+def batch_totals(clusters: DataFrame, aspects: DataFrame) -> DataFrame:
+    """One row: batch_candidate_cluster_count and aspect_fact_total (facts that name an aspect)."""
+    return with_total(clusters.agg(_n().alias("batch_candidate_cluster_count")), aspects.agg(F.count("aspect").alias("aspect_fact_total")))
+
+
+def representative_text(df: DataFrame, keys: list[str], text: str, order: list[str]) -> DataFrame:
+    """(keys, count, representative): rows of each group and its first text that isn't null by ``order``."""
+    first = F.min_by(F.col(text), F.when(F.col(text).isNotNull(), F.struct(*order)))
+    return df.groupBy(*keys).agg(_n().alias("count"), first.alias("representative"))
+
+
+def with_columns_as_null(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """``df`` with those of ``columns`` (name: type) that it lacks, as null."""
+    return df.withColumns({name: F.lit(None).cast(kind) for name, kind in columns.items() if name not in df.columns})
+
+
+def window_label(start: Column, end: Column) -> Column:
+    """``start`` to ``end`` as ISO dates and times, or all_time where one is missing."""
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.coalesce(F.concat(iso(start), F.lit(" to "), iso(end)), F.lit("all_time"))
+
+
+def ranked_authors(profiles: DataFrame, limit: int | None = None) -> DataFrame:
+    """profiles by author_inorganic_score, then mentions, then id."""
+    rows = profiles.orderBy(F.desc("author_inorganic_score"), F.desc("mention_count"), "author_id")
+    return rows if limit is None else rows.limit(limit)
+
+
+def ranked_clusters(clusters: DataFrame, limit: int | None = None) -> DataFrame:
+    """Clusters of open texts by mentions, then text."""
+    rows = clusters.orderBy(F.desc("mention_count"), "text")
+    return rows if limit is None else rows.limit(limit)

@@ -159,3 +159,43 @@ def dimension_tables(spark: SparkSession, o: dict) -> dict[str, DataFrame]:
         "dim_taxonomy": spark.createDataFrame(nodes, "node_id string, name string, parent_id string"),
         "dim_sources": spark.createDataFrame(sources, "channel_id string, name string"),
     }
+
+
+def prototype_texts(o: dict, entity_id: str) -> dict[str, list[str]]:
+    """Texts that stand for an entity, by kind: its own names; names of its neighbours; and labels and phrases of the topics that name it,
+    with the aspects and issues these lead to.  Each text once, under the first kind that has it."""
+    by = {name: {x["id"]: x for x in o.get(name, [])} for name in ("entities", "aspect_categories", "issue_categories", "topics")}
+    own = by["entities"][entity_id]
+    topics = [t for t in o.get("topics", []) if entity_id in t.get("related_entity_ids", ())]
+    aspects = [by["aspect_categories"][i] for t in topics for i in t.get("related_aspect_ids", ()) if i in by["aspect_categories"]]
+    issues = [i for x in (*topics, *aspects) for i in x.get("related_issue_ids", ())]
+    names = lambda x: [x["name"], *x.get("aliases", ()), *x.get("compact_aliases", ())]
+    found = {
+        "name": names(own), "neighbor": [by["entities"][i]["name"] for i in own.get("neighbor_entity_ids", ()) if i in by["entities"]], "aspect": [x["name"] for x in aspects],
+        "issue": [by["issue_categories"][i]["name"] for i in issues if i in by["issue_categories"]], "topic": [t["name"] for t in topics],
+        "phrase": [p for x in (*topics, *aspects) for p in x.get("seed_phrases", ())],
+    }
+    seen: set[str] = set()
+    out: dict[str, list[str]] = {}
+    for kind, texts in found.items():
+        kept = []
+        for text in texts:
+            key = normalize(text)
+            if key and key not in seen:
+                seen.add(key)
+                kept.append(text)
+        out[kind] = kept
+    return out
+
+
+def prototype_table(spark: SparkSession, o: dict) -> DataFrame:
+    """(canonical_entity_id, kind, place, text) of all entities."""
+    rows = [(x["id"], kind, k, text) for x in o["entities"] for kind, texts in prototype_texts(o, x["id"]).items() for k, text in enumerate(texts)]
+    return spark.createDataFrame(rows, "canonical_entity_id string, kind string, place int, text string")
+
+
+def phrase_lexicon(o: dict) -> list[str]:
+    """All names and seed phrases of two words or more, normalised and sorted: what segmentation keeps together."""
+    texts = [n for x in o["entities"] for n in (x["name"], *x.get("aliases", ()))]
+    texts += [p for name in ("aspect_categories", "issue_categories", "topics") for x in o.get(name, []) for p in (x["name"], *x.get("seed_phrases", ()))]
+    return sorted({n for n in map(normalize, texts) if " " in n})

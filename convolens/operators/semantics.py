@@ -247,3 +247,69 @@ def corroborate(found: DataFrame, mentions: DataFrame, text: str = "normalized_t
     parts = [on(unsure, -0.22), F.when((n > 1) & ~unsure, F.least(0.05 * (n - 1), F.lit(0.16))).otherwise(0.0), on(F.col("evidence_mode") == "escalation_signal", 0.08), on(F.col("evidence_mode").isin("direct_complaint", "direct_observation"), 0.06)]
     up = F.when((n >= 3) & ~unsure, F.when(F.col("severity") == "low", "medium").when(F.col("severity") == "medium", "high").otherwise(F.col("severity"))).otherwise(F.col("severity"))
     return rows.withColumn("confidence", clamp(0.44, parts)).withColumn("severity", up).drop(text)
+
+
+# Kinds of entities that can be targets, how specific they are, and what makes a link sure.
+SPECIFICITY = {"product": 4, "product_line": 4, "brand": 3, "retailer": 3, "organization": 3, "campaign": 2, "influencer": 2, "category": 1, "concept": 1, "person": 1, "location": 1}
+SURE_MATCHES = ("exact_alias", "normalized_alias", "compact_alias")
+CONTEXT_TYPES = ("brand", "organization", "retailer", "location", "facility", "person")
+CONTEXT_LAYERS = ("domain", "domain_overlay", "review_overlay")
+CONTEXT_FINDS = ("alias_scan", "title_span", "model_code_pattern")
+CONCEPT_FINDS = ("alias_scan", "brand_context", "product_code", "ner")
+
+
+def eligible_targets(facts: DataFrame, seed_terms: list[str] | None = None) -> DataFrame:
+    """(mention_id, target_key, target_text, target_kind, entity_type, grounding): the entities of a mention that opinions can be about,
+    each once by its first text; concepts only where it has no other.
+
+    ``facts`` has mention_id, text, canonical_entity_id, concept_entity_id, entity_type, confidence, matched_by, methods, specificity,
+    knowledge_layer and target_eligible."""
+    c, m = F.col("confidence"), F.col("methods")
+    found = lambda names: F.exists(m, lambda x: x.isin(*names))
+    own = (
+        (c >= 0.78) | (F.col("matched_by").isin(*SURE_MATCHES) & (c >= 0.72)) | ((F.col("specificity") >= 0.2) & (c >= 0.68))
+        | ((F.col("matched_by") == "contextual_support") & F.col("entity_type").isin(*CONTEXT_TYPES) & (c >= 0.74) & F.col("knowledge_layer").isin(*CONTEXT_LAYERS) & found(CONTEXT_FINDS))
+    )
+    general = (c >= 0.88) & (F.col("specificity") >= 0.34)
+    here = (F.size(m) == 0) | (F.exists(m, lambda x: x != "context_span") & (F.col("concept_entity_id").isNull() | found(CONCEPT_FINDS)))
+    entity = F.col("canonical_entity_id").isNotNull()
+    rows = facts.where(here & F.col("target_eligible") & F.col("entity_type").isin(*SPECIFICITY) & F.when(entity, own).when(F.col("concept_entity_id").isNotNull(), general).otherwise(False))
+    if seed_terms:
+        rows = rows.where(~F.lower("text").isin(*seed_terms))
+    rows = rows.select(
+        "mention_id", F.coalesce("canonical_entity_id", "concept_entity_id").alias("target_key"), "text", F.when(entity, "canonical_entity").otherwise("concept").alias("target_kind"), "entity_type",
+        F.when(entity, round_to(F.greatest(F.lit(0.84), F.least(c, F.lit(0.96))), 3)).otherwise(0.74).alias("grounding"),
+    )
+    one = rows.groupBy("mention_id", "target_key", "target_kind").agg(F.min_by(F.struct(F.col("text").alias("target_text"), "entity_type", "grounding"), "text").alias("b")).select("mention_id", "target_key", "target_kind", "b.*")
+    named = one.where("target_kind = 'canonical_entity'").select("mention_id").distinct()
+    return one.where("target_kind = 'canonical_entity'").unionByName(one.where("target_kind = 'concept'").join(named, "mention_id", "left_anti"))
+
+
+def preferred_targets(targets: DataFrame) -> DataFrame:
+    """(mention_id, target_key): the target of the most specific kind, where only one has it."""
+    rank = F.lit(0)
+    for name, value in SPECIFICITY.items():
+        rank = F.when(F.col("entity_type") == name, value).otherwise(rank)
+    rows = targets.withColumn("rank", rank)
+    best = rows.groupBy("mention_id").agg(F.max(F.struct("rank", F.length("target_text").alias("n"), "target_key")).alias("b"), F.max("rank").alias("top"))
+    ties = rows.groupBy("mention_id", "rank").agg(F.count(F.lit(1)).alias("n"))
+    return best.join(ties, (best["mention_id"] == ties["mention_id"]) & (best["top"] == ties["rank"])).where(ties["n"] == 1).select(best["mention_id"], F.col("b.target_key").alias("target_key"))
+
+
+def corroborate_aspects(found: DataFrame, mentions: DataFrame, text: str = "normalized_text") -> DataFrame:
+    """Aspect opinions (mention_id, aspect, target_key, sentiment, confidence) with corroboration_count - opinions of the same thread, aspect,
+    target, sentiment and equal normalised text, themselves included - and .03 more confidence for each further one, at most .97."""
+    rows = found.join(mentions.select("mention_id", "root_id", text), "mention_id")
+    counts = rows.groupBy("root_id", "aspect", "target_key", "sentiment", text).agg(F.count(F.lit(1)).alias("corroboration_count"))
+    keys = [F.col(f"f.{c}").eqNullSafe(F.col(f"c.{c}")) for c in ("root_id", "aspect", "target_key", "sentiment", text)]
+    joined = rows.alias("f").join(counts.alias("c"), keys).select("f.*", "c.corroboration_count")
+    return joined.withColumn("confidence", round_to(F.least(F.col("confidence") + (F.col("corroboration_count") - 1) * 0.03, F.lit(0.97)), 3)).drop(text)
+
+
+def override_by_feedback(facts: DataFrame, promoted: DataFrame) -> DataFrame:
+    """``facts`` (kind, normalized_text, label, confidence) with the label of promoted feedback (kind, normalized_text, label, votes) of their
+    text, full confidence and label_source ``feedback``; others keep theirs with ``model``."""
+    best = promoted.groupBy("kind", "normalized_text").agg(F.max_by("label", F.struct("votes", "label")).alias("told"))
+    rows = facts.join(best, ["kind", "normalized_text"], "left")
+    told = F.col("told").isNotNull()
+    return rows.withColumns({"label": F.coalesce("told", "label"), "confidence": F.when(told, 1.0).otherwise(F.col("confidence")), "label_source": F.when(told, "feedback").otherwise("model")}).drop("told")

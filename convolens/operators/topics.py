@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.numbers import round_to
-from ..functions.text import jaccard, tokens
+from ..functions.text import jaccard, normalize_alias, tokens
 
 # Shares of the assignment score, its threshold, and the quality thresholds.
 LEXICAL, ENTITY, ASPECT, ISSUE = 0.54, 0.12, 0.08, 0.08
@@ -139,3 +139,23 @@ def lineage(now: DataFrame, known: DataFrame) -> DataFrame:
 
 def with_reporting_key(rows: DataFrame) -> DataFrame:
     return rows.withColumn("reporting_topic_key", F.coalesce("effective_key", "topic_key"))
+
+
+def documents(mentions: DataFrame, segments: DataFrame, entities: DataFrame, aspects: DataFrame, issues: DataFrame) -> DataFrame:
+    """(document_id, mention_id, segment_id, text, entities, aspects, issues): a topic document for each segment (mention_id, segment, text),
+    the whole mention where it has none.  The first has the mention's title hint in front of nothing else said; labels are the mention's.
+
+    ``mentions`` has mention_id, text (compact) and summary_title, which may be null."""
+    hint = normalize_alias(F.coalesce("summary_title", F.lit("")))
+    hint = F.when((hint != "") & ~F.contains(F.col("text"), hint), hint).otherwise("")
+    own = mentions.select("mention_id", F.col("text").alias("whole"), hint.alias("hint"))
+    rows = own.join(segments.select("mention_id", "segment", F.col("text").alias("part")), "mention_id", "left")
+    name = F.coalesce(F.concat(F.lit("seg-"), F.col("segment").cast("string")), F.lit("whole"))
+    first = F.coalesce(F.col("segment") == 0, F.lit(True))
+    text = F.concat_ws(" ", F.array_distinct(F.filter(F.array(F.trim(F.coalesce("part", "whole")), F.when(first, F.col("hint")).otherwise("")), lambda x: x != "")))
+    labels = [df.where(F.col(c).isNotNull()).groupBy("mention_id").agg(F.array_sort(F.collect_set(c)).alias(alias)) for df, c, alias in ((entities, "entity_id", "entities"), (aspects, "aspect", "aspects"), (issues, "issue_category", "issues"))]
+    rows = rows.select(F.concat("mention_id", F.lit(":"), name).alias("document_id"), "mention_id", F.when(F.col("segment").isNotNull(), name).alias("segment_id"), text.alias("text"))
+    for table in labels:
+        rows = rows.join(table, "mention_id", "left")
+    none = F.array().cast("array<string>")
+    return rows.select("document_id", "mention_id", "segment_id", "text", *(F.coalesce(c, none).alias(c) for c in ("entities", "aspects", "issues")))

@@ -293,3 +293,79 @@ query(
     SELECT signature, scope_id, decision_id FROM (SELECT *, row_number() OVER (PARTITION BY signature, scope_id ORDER BY created_at DESC, decision_id DESC) AS place FROM alive) WHERE place = 1 AND action <> 'terminate'""",
 )(lambda s, d: review.in_force(decisions(s, d)).select("signature", "scope_id", "decision_id"))
 query("hashtags")(lambda s, d: a.doc_mentions(s, d).select("mention_id", F.size(x.hashtags(F.col("raw_text"))).alias("tags"), F.size(x.emojis(F.col("raw_text"))).alias("emoji_runs")))
+
+
+#: Hits with what makes a link sure, made of their numbers.
+FACTS = """f AS (SELECT mention_id, target_text AS text, CASE WHEN seq % 5 = 0 THEN NULL ELSE canonical_entity_id END AS canonical_entity_id, CASE WHEN seq % 5 = 0 OR canonical_entity_id IS NULL THEN 'concept:' || entity_type END AS concept_entity_id,
+    ['product', 'brand', 'concept', 'location', 'facility'][seq % 5 + 1] AS entity_type, 0.6::DOUBLE + confidence / 2.5::DOUBLE AS confidence, ['exact_alias', 'contextual_support', 'fuzzy_support'][seq % 3 + 1] AS matched_by,
+    CASE seq % 4 WHEN 0 THEN ['alias_scan'] WHEN 1 THEN ['context_span'] WHEN 2 THEN ['title_span', 'ner'] ELSE [] END AS methods, (seq % 6) / 10.0::DOUBLE AS specificity, CASE WHEN seq % 2 = 0 THEN 'domain' ELSE 'base' END AS layer, seq % 7 <> 6 AS eligible FROM hits)"""
+
+
+def linked_facts(s, d):
+    h, q = a.hits(s, d), F.col("seq")
+    choose = lambda values, n: F.get(F.array(*map(F.lit, values)), (q % n).cast("int"))
+    text = lambda *v: F.array(*map(F.lit, v)).cast("array<string>")
+    concept = F.when((q % 5 == 0) | F.col("canonical_entity_id").isNull(), F.concat(F.lit("concept:"), "entity_type"))
+    return h.select(
+        "mention_id", F.col("target_text").alias("text"), F.when(q % 5 != 0, F.col("canonical_entity_id")).alias("canonical_entity_id"), concept.alias("concept_entity_id"), choose(("product", "brand", "concept", "location", "facility"), 5).alias("entity_type"),
+        (F.lit(0.6) + F.col("confidence") / 2.5).alias("confidence"), choose(("exact_alias", "contextual_support", "fuzzy_support"), 3).alias("matched_by"),
+        F.when(q % 4 == 0, text("alias_scan")).when(q % 4 == 1, text("context_span")).when(q % 4 == 2, text("title_span", "ner")).otherwise(text()).alias("methods"), ((q % 6) / 10.0).alias("specificity"),
+        F.when(q % 2 == 0, "domain").otherwise("base").alias("knowledge_layer"), (q % 7 != 6).alias("target_eligible"),
+    )
+
+
+def any_in(values) -> str:
+    return f"len(list_intersect(methods, [{', '.join(repr(v) for v in values)}])) > 0"
+
+
+TARGET_ROWS = f"""k AS (SELECT mention_id, coalesce(canonical_entity_id, concept_entity_id) AS target_key, text, CASE WHEN canonical_entity_id IS NOT NULL THEN 'canonical_entity' ELSE 'concept' END AS target_kind, entity_type,
+    CASE WHEN canonical_entity_id IS NOT NULL THEN floor(greatest(0.84::DOUBLE, least(confidence, 0.96::DOUBLE)) * 1000.0 + 0.5) / 1000.0 ELSE 0.74::DOUBLE END AS grounding FROM f
+    WHERE eligible AND entity_type <> 'facility' AND (len(methods) = 0 OR (len(list_filter(methods, lambda z: z <> 'context_span')) > 0 AND (concept_entity_id IS NULL OR {any_in(semantics.CONCEPT_FINDS)})))
+    AND CASE WHEN canonical_entity_id IS NOT NULL THEN confidence >= 0.78 OR (matched_by = 'exact_alias' AND confidence >= 0.72) OR (specificity >= 0.2 AND confidence >= 0.68)
+        OR (matched_by = 'contextual_support' AND entity_type IN ('brand', 'organization', 'retailer', 'location', 'facility', 'person') AND confidence >= 0.74 AND layer = 'domain' AND {any_in(semantics.CONTEXT_FINDS)})
+        ELSE confidence >= 0.88 AND specificity >= 0.34 END),
+    one AS (SELECT mention_id, target_key, target_kind, min(text) AS target_text, arg_min(entity_type, (text, entity_type, grounding)) AS entity_type, arg_min(grounding, (text, entity_type, grounding)) AS grounding FROM k GROUP BY ALL),
+    targets AS (SELECT * FROM one WHERE target_kind = 'canonical_entity' OR mention_id NOT IN (SELECT mention_id FROM one WHERE target_kind = 'canonical_entity'))"""
+query("eligible_targets", f"+{FACTS}, {TARGET_ROWS} SELECT mention_id, target_key, target_kind, target_text FROM targets", "hits")(lambda s, d: semantics.eligible_targets(linked_facts(s, d)).select("mention_id", "target_key", "target_kind", "target_text"))
+RANK = "CASE entity_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in semantics.SPECIFICITY.items()) + " ELSE 0 END"
+query(
+    "preferred_targets",
+    f"+{FACTS}, r AS (SELECT DISTINCT mention_id, canonical_entity_id AS target_key, entity_type, {RANK} AS rank FROM f WHERE canonical_entity_id IS NOT NULL), t AS (SELECT *, max(rank) OVER (PARTITION BY mention_id) AS top FROM r) SELECT mention_id, min(target_key) AS target_key FROM t WHERE rank = top GROUP BY mention_id HAVING count(*) = 1",
+    "hits",
+)(lambda s, d: semantics.preferred_targets(linked_facts(s, d).where("canonical_entity_id is not null").select("mention_id", F.col("canonical_entity_id").alias("target_key"), "entity_type").distinct().withColumn("target_text", F.col("target_key"))))
+query(
+    "aspect_corroboration",
+    """+o AS (SELECT mention_id, aspect, canonical_entity_id AS target_key, sentiment, 0.5::DOUBLE + confidence / 4.0::DOUBLE AS confidence, 'r' || CAST(mention_id AS BIGINT) % 50 AS root_id, 't' || CAST(mention_id AS BIGINT) % 2 AS t FROM hits WHERE aspect IS NOT NULL),
+    c AS (SELECT *, count(*) OVER (PARTITION BY root_id, aspect, target_key, sentiment, t) AS n FROM o) SELECT mention_id, aspect, target_key, sentiment, root_id, n AS corroboration_count, floor(least(confidence + (n - 1) * 0.03::DOUBLE, 0.97::DOUBLE) * 1000.0 + 0.5) / 1000.0 AS confidence FROM c""",
+    "hits",
+)(lambda s, d: semantics.corroborate_aspects(
+    a.hits(s, d).where("aspect is not null").select("mention_id", "aspect", F.col("canonical_entity_id").alias("target_key"), "sentiment", (F.lit(0.5) + F.col("confidence") / 4.0).alias("confidence")),
+    a.mentions(s, d).select("mention_id", F.concat(F.lit("r"), (F.col("mention_id").cast("long") % 50).cast("string")).alias("root_id"), F.concat(F.lit("t"), (F.col("mention_id").cast("long") % 2).cast("string")).alias("normalized_text")),
+))
+query(
+    "feedback_override",
+    """+v AS (SELECT 'k' || o_custkey % 3 AS kind, 't' || o_custkey % 20 AS normalized_text, o_orderpriority AS label, count(*) AS votes FROM orders GROUP BY ALL), b AS (SELECT kind, normalized_text, max_by(label, (votes, label)) AS told FROM v WHERE votes >= 3 GROUP BY ALL)
+    SELECT mention_id, coalesce(told, issue_category) AS label, CASE WHEN told IS NULL THEN confidence ELSE 1.0::DOUBLE END AS confidence, CASE WHEN told IS NULL THEN 'model' ELSE 'feedback' END AS label_source
+    FROM (SELECT *, 'k' || CAST(mention_id AS BIGINT) % 4 AS kind, 't' || CAST(mention_id AS BIGINT) % 23 AS normalized_text FROM facts) f LEFT JOIN b USING (kind, normalized_text)""",
+    "facts",
+)(lambda s, d: semantics.override_by_feedback(
+    a.facts(s, d).select("mention_id", F.concat(F.lit("k"), (F.col("mention_id").cast("long") % 4).cast("string")).alias("kind"), F.concat(F.lit("t"), (F.col("mention_id").cast("long") % 23).cast("string")).alias("normalized_text"), F.col("issue_category").alias("label"), "confidence"),
+    load(s, d, "orders").groupBy(F.concat(F.lit("k"), (F.col("o_custkey") % 3).cast("string")).alias("kind"), F.concat(F.lit("t"), (F.col("o_custkey") % 20).cast("string")).alias("normalized_text"), F.col("o_orderpriority").alias("label")).agg(F.count(F.lit(1)).alias("votes")).where("votes >= 3"),
+).select("mention_id", "label", "confidence", "label_source"))
+query(
+    "topic_documents",
+    f"""+{DOCS}, m AS (SELECT mention_id, text, CASE WHEN CAST(mention_id AS BIGINT) % 3 = 0 THEN 'Big Hint!' WHEN CAST(mention_id AS BIGINT) % 3 = 1 THEN left(text, 3) END AS title FROM docs), s AS (SELECT mention_id, k AS segment, 'part ' || k AS part FROM m, range(0, 3) r(k) WHERE CAST(mention_id AS BIGINT) % 4 > k),
+    h AS (SELECT *, CASE WHEN title = 'Big Hint!' THEN 'big hint' ELSE '' END AS hint FROM m), j AS (SELECT h.*, segment, trim(coalesce(part, text)) AS part FROM h LEFT JOIN s USING (mention_id))
+    SELECT mention_id || ':' || coalesce('seg-' || segment, 'whole') AS document_id, mention_id, 'seg-' || segment AS segment_id, array_to_string(list_filter([part, CASE WHEN coalesce(segment, 0) = 0 THEN hint ELSE '' END], lambda z: z <> ''), ' ') AS text,
+    CASE WHEN CAST(mention_id AS BIGINT) % 2 = 0 THEN language ELSE '' END AS entities, author_id AS aspects, '' AS issues FROM j JOIN (SELECT mention_id, language, author_id FROM docs) USING (mention_id)""",
+    "doc_mentions",
+)(lambda s, d: _topic_documents(s, d))
+
+
+def _topic_documents(s, d):
+    rows, k = docs(s, d), F.col("mention_id").cast("long")
+    mentions = rows.withColumn("summary_title", F.when(k % 3 == 0, "Big Hint!").when(k % 3 == 1, F.left("text", F.lit(3))))
+    parts = rows.select("mention_id", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("segment")).where(k % 4 > F.col("segment")).withColumn("text", F.concat(F.lit("part "), F.col("segment").cast("string")))
+    even = rows.select("mention_id", F.when(k % 2 == 0, F.col("language")).alias("entity_id"))
+    out = topics.documents(mentions, parts, even.unionByName(even), rows.select("mention_id", F.col("author_id").alias("aspect")), rows.select("mention_id", F.lit(None).cast("string").alias("issue_category")))
+    return out.select("document_id", "mention_id", "segment_id", "text", *(F.array_join(c, "|").alias(c) for c in ("entities", "aspects", "issues")))

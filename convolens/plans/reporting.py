@@ -286,3 +286,28 @@ def taxonomy_paths(spark, folder):
     named = up.join(nodes.select(F.col("mention_id").alias("ancestor_id"), "name"), "ancestor_id")
     path = F.array_join(F.transform(F.reverse(F.array_sort(F.collect_list(F.struct("distance", "name")))), lambda x: x["name"]), " > ")
     return named.groupBy(F.col("mention_id").alias("id")).agg(path.alias("path"))
+
+
+query("language_source_ratios", f"SELECT {R('count_if(user_id % 3 = 0)', 'count(*)')} AS explicit_language_ratio, {R('count_if(user_id % 3 = 1)', 'count(*)')} AS inferred_language_ratio FROM events")(
+    lambda s, d: m.source_ratios(load(s, d, "events").withColumn("language_source", F.when(F.col("user_id") % 3 == 0, "explicit").when(F.col("user_id") % 3 == 1, "model")))
+)
+query("batch_totals", "+c AS (SELECT target_text FROM hits WHERE canonical_entity_id IS NULL GROUP BY target_text HAVING count(DISTINCT mention_id) > 1) SELECT (SELECT count(*) FROM c) AS batch_candidate_cluster_count, count(aspect) AS aspect_fact_total FROM hits", "hits")(
+    lambda s, d: m.batch_totals(a.hits(s, d).where("canonical_entity_id is null").groupBy("target_text").agg(F.count_distinct("mention_id").alias("n")).where("n > 1"), a.hits(s, d))
+)
+query(
+    "representative_texts",
+    "+h AS (SELECT *, CASE WHEN seq % 2 = 0 THEN target_text END AS shown FROM hits) SELECT canonical_entity_id, sentiment, count(*) AS count, arg_min(shown, (mention_id, seq)) FILTER (shown IS NOT NULL) AS representative FROM h GROUP BY canonical_entity_id, sentiment",
+    "hits",
+)(lambda s, d: m.representative_text(a.hits(s, d).withColumn("shown", F.when(F.col("seq") % 2 == 0, F.col("target_text"))), ["canonical_entity_id", "sentiment"], "shown", ["mention_id", "seq"]))
+query("missing_columns_as_null", "SELECT event_id, event_type AS kind, NULL::VARCHAR AS missing_text, NULL::BIGINT AS missing_number FROM events")(
+    lambda s, d: m.with_columns_as_null(load(s, d, "events").select("event_id", F.col("event_type").alias("kind")), {"kind": "string", "missing_text": "string", "missing_number": "long"})
+)
+query("window_labels", "SELECT user_id, CASE WHEN user_id % 4 = 0 THEN 'all_time' ELSE strftime(min(ts), '%Y-%m-%dT%H:%M:%S') || ' to ' || strftime(max(ts), '%Y-%m-%dT%H:%M:%S') END AS label FROM events GROUP BY user_id")(
+    lambda s, d: load(s, d, "events").groupBy("user_id").agg(F.min("ts").alias("first"), F.max("ts").alias("last")).select("user_id", m.window_label(F.when(F.col("user_id") % 4 > 0, F.col("first")), F.col("last")).alias("label"))
+)
+query("ranked_authors", "SELECT author_id, count(*) AS mention_count, max(confidence) AS author_inorganic_score FROM facts GROUP BY author_id ORDER BY author_inorganic_score DESC, mention_count DESC, author_id LIMIT 10", "facts")(
+    lambda s, d: m.ranked_authors(a.facts(s, d).groupBy("author_id").agg(F.count(F.lit(1)).alias("mention_count"), F.max("confidence").alias("author_inorganic_score")), 10)
+)
+query("ranked_clusters", "SELECT target_text AS text, count(DISTINCT mention_id) AS mention_count FROM hits WHERE canonical_entity_id IS NULL GROUP BY target_text ORDER BY mention_count DESC, text LIMIT 10", "hits")(
+    lambda s, d: m.ranked_clusters(a.hits(s, d).where("canonical_entity_id is null").groupBy(F.col("target_text").alias("text")).agg(F.count_distinct("mention_id").alias("mention_count")), 10)
+)

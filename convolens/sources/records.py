@@ -149,6 +149,16 @@ def write_text_if_changed(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def copy_if_different(spark: SparkSession, source: str, target: str) -> bool:
+    """Copy a file unless both paths name the same one; says whether it copied."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    here, there = a.getFileSystem(conf), b.getFileSystem(conf)
+    if here.makeQualified(a).equals(there.makeQualified(b)):
+        return False
+    return jvm.org.apache.hadoop.fs.FileUtil.copy(here, a, there, b, False, True, conf)
+
+
 def upsert_latest(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Rows of both, the newest of each key; on equal times the new table's."""
     both = old.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)), allowMissingColumns=True)
