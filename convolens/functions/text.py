@@ -128,6 +128,29 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def runs(ordered: Column) -> Column:
+    """array<struct<start, n>>: runs of equal neighbours of a sorted array."""
+
+    def lengths(s: Column, size: Column) -> Column:
+        return F.transform(s, lambda p, k: F.struct(p.alias("start"), (F.coalesce(F.get(s, k + 1), size) - p).alias("n")))
+
+    def starts(t: Column) -> Column:
+        return F.array_compact(F.transform(t, lambda x, i: F.when((i == 0) | (x != F.get(t, i - 1)), i)))
+
+    return let(ordered, lambda t: let(starts(t), lambda s: lengths(s, F.size(t))))
+
+
+def counted(items: Column) -> Column:
+    """array<struct<item, n, first>>: each different item with how often and where it first stands."""
+    placed = F.array_sort(F.transform(items, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+
+    def rows(t: Column) -> Column:
+        same = runs(F.transform(t, lambda p: p["x"]))
+        return F.transform(same, lambda r: F.struct(F.get(t, r["start"])["x"].alias("item"), r["n"].alias("n"), F.get(t, r["start"])["i"].alias("first")))
+
+    return let(placed, rows)
+
+
 def ngrams(items: Column, n: int) -> Column:
     """All runs of n items joined by a space; none when there are fewer."""
 

@@ -35,7 +35,8 @@ def _representative() -> Column:
 
 def exact_clusters(mentions: DataFrame) -> DataFrame:
     """(fingerprint, cluster_id, cluster_size, representative_id) of texts that occur twice or more."""
-    rows = mentions.withColumn("fingerprint", fingerprint(F.col("text"))).where("fingerprint is not null")
+    # Settled, as a condition on a computed column would have it computed twice.
+    rows = settle(mentions.select("mention_id", "depth", "text", fingerprint(F.col("text")).alias("fingerprint")), "fingerprints").where("fingerprint is not null")
     out = rows.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("cluster_size"), _representative().alias("representative_id"))
     return out.where("cluster_size > 1").withColumn("cluster_id", F.concat(F.lit("exact:"), F.left("fingerprint", F.lit(16))))
 
@@ -91,6 +92,7 @@ def similar_pairs(mentions: DataFrame, cap: int = BUCKET_CAP, threshold: float =
 def near_clusters(mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members (mention_id, cluster_id), clusters (cluster_id, cluster_size, representative_id, similarity)) among
     mentions that are in no exact cluster; similarity is the mean over the cluster's linked pairs."""
+    mentions = settle(mentions.select("mention_id", "text", "depth"), "texts")
     rows = mentions.withColumn("fingerprint", fingerprint(F.col("text")))
     exact = settle(exact_clusters(mentions).select("fingerprint"), "exact")
     single = settle(rows.join(exact, "fingerprint", "left_anti").select("mention_id", "text", "depth"), "single")
@@ -104,6 +106,7 @@ def near_clusters(mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def annotate(mentions: DataFrame, near: bool = True) -> DataFrame:
     """mentions with dedup_kind, dedup_cluster_id, dedup_cluster_size, dedup_representative_id, dedup_similarity and dedup_weight."""
+    mentions = settle(mentions, "mentions")
     exact = settle(exact_clusters(mentions), "exact_clusters")
     rows = mentions.withColumn("fingerprint", fingerprint(F.col("text"))).join(
         exact.select("fingerprint", F.col("cluster_id").alias("e_id"), F.col("cluster_size").alias("e_size"), F.col("representative_id").alias("e_rep")), "fingerprint", "left"

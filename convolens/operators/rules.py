@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import tokens
+from ..functions.text import counted, tokens
 
 # Cues of each label, in the order the rules are tried.
 STOPWORDS = ("và", "là", "của", "cho", "the", "and", "with", "that", "this", "mấy", "bác")
@@ -102,22 +102,25 @@ def issue_facts(mentions: DataFrame, issues=None) -> DataFrame:
     return mentions.select("mention_id", F.explode(marked(F.col("text"), issues or ISSUES)).alias("issue_category"), severity.alias("severity"), F.lit(0.66).alias("confidence"))
 
 
+def top_tokens(text: Column, stopwords=STOPWORDS, top: int = 3) -> Column:
+    """array<struct<n, first, item>> of the commonest tokens, -n in front: counted inside the row, the earlier one first on ties."""
+    kept = F.filter(tokens(text), lambda t: (F.length(t) > 2) & ~t.isin(*stopwords, "url"))
+    return F.slice(F.array_sort(F.transform(counted(kept), lambda c: F.struct((-c["n"]).alias("n"), c["first"].alias("first"), c["item"].alias("item")))), 1, top)
+
+
 def keywords(mentions: DataFrame, stopwords=STOPWORDS, top: int = 3) -> DataFrame:
     """(mention_id, place, token, count): the commonest tokens of each mention, the earlier one first on ties."""
-    rows = mentions.select("mention_id", F.posexplode(tokens(F.col("text"))).alias("at", "token")).where((F.length("token") > 2) & ~F.col("token").isin(*stopwords, "url"))
-    counts = rows.groupBy("mention_id", "token").agg(F.count(F.lit(1)).alias("count"), F.min("at").alias("at"))
-    ranked = counts.withColumn("place", F.row_number().over(Window.partitionBy("mention_id").orderBy(F.desc("count"), "at")))
-    return ranked.where(F.col("place") <= top).select("mention_id", "place", "token", "count")
+    rows = mentions.select("mention_id", F.posexplode(top_tokens(F.col("text"), stopwords, top)).alias("at", "t"))
+    return rows.select("mention_id", (F.col("at") + 1).alias("place"), F.col("t.item").alias("token"), (-F.col("t.n")).cast("long").alias("count"))
 
 
 def keyphrases(mentions: DataFrame, stopwords=STOPWORDS, limit: int = 5) -> DataFrame:
     """(mention_id, keyphrase, confidence): top tokens, then three hashtags, then two given keywords, each once.
 
     ``mentions`` carries hashtags and keywords arrays."""
-    top = keywords(mentions, stopwords).groupBy("mention_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "token"))), lambda x: x["token"]).alias("toks"))
     none = F.array().cast("array<string>")
     part = lambda c, n: F.slice(F.coalesce(c, none), 1, n)
-    joined = mentions.join(top, "mention_id", "left")
+    joined = mentions.withColumn("toks", F.transform(top_tokens(F.col("text"), stopwords), lambda t: t["item"]))
     phrases = F.filter(F.transform(F.concat(part(F.col("toks"), 3), part(F.col("hashtags"), 3), part(F.col("keywords"), 2)), lambda x: F.lower(F.trim(x))), lambda x: x != "")
     rows = joined.select("mention_id", F.explode(F.slice(F.array_distinct(phrases), 1, limit)).alias("keyphrase"), F.coalesce("keywords", none).alias("keywords"))
     return rows.select("mention_id", "keyphrase", F.when(F.array_contains("keywords", F.col("keyphrase")), 0.55).otherwise(0.42).alias("confidence"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.numbers import round_to
-from ..functions.text import repost_like, template_key, words
+from ..functions.text import repost_like, runs, template_key, words
 
 SUSPICIOUS = 0.65
 WINDOW_MINUTES = 60
@@ -41,16 +41,7 @@ def mention_features(mentions: DataFrame) -> DataFrame:
     """Adds token_count, top_share, template, repost, mention_spam_score (whole ten-thousandths are exact) and reason_codes."""
     rows = mentions.withColumn("toks", words(F.col("text")))
     n = F.size("toks")
-    ordered = F.array_sort("toks")
-    # Lengths of runs in the sorted tokens give the count of the commonest one.
-    longest = F.aggregate(
-        ordered, F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("most")),
-        lambda acc, t: F.struct(
-            t.alias("last"), F.when(t == acc["last"], acc["run"] + 1).otherwise(F.lit(1)).alias("run"),
-            F.greatest(acc["most"], F.when(t == acc["last"], acc["run"] + 1).otherwise(F.lit(1))).alias("most"),
-        ),
-        lambda acc: acc["most"],
-    )
+    longest = F.coalesce(F.array_max(F.transform(runs(F.array_sort("toks")), lambda r: r["n"])), F.lit(0))
     rows = rows.withColumns({"token_count": n, "distinct_count": F.size(F.array_distinct("toks")), "most_count": longest, "template": template_key(F.col("normalized")), "repost": repost_like(F.col("text"))}).drop("toks")
     count = F.col("token_count")
     diversity = F.when(count > 0, F.col("distinct_count") / F.greatest(count, F.lit(1))).otherwise(F.lit(1.0))
