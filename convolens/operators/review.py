@@ -131,11 +131,11 @@ def decide(item: dict, action: str, scope_level: str = "mention", **fields) -> d
 def match_feedback(facts: DataFrame, feedback: DataFrame) -> DataFrame:
     """facts with the label of the best feedback row of their kind: one that names the mention before one that names the
     normalised text, then the latest."""
-    hit = (F.col("f.kind") == F.col("b.kind")) & ((F.col("f.mention_id") == F.col("b.mention_id")) | (F.col("b.mention_id").isNull() & (F.col("f.normalized_text") == F.col("b.normalized_text"))))
-    joined = facts.alias("f").join(feedback.alias("b"), hit)
-    order = F.struct(F.col("b.mention_id").isNotNull().cast("int"), F.col("b.created_at"), F.col("b.feedback_id"))
-    best = joined.groupBy(F.col("f.fact_id").alias("fact_id")).agg(F.max_by(F.col("b.label"), order).alias("feedback_label"))
-    return facts.join(best, "fact_id", "left").withColumn("label", F.coalesce("feedback_label", "label"))
+    own = feedback.where("mention_id is not null").groupBy("kind", "mention_id").agg(F.max_by("label", F.struct("created_at", "feedback_id")).alias("own_label"))
+    general = feedback.where("mention_id is null").groupBy("kind", "normalized_text").agg(F.max_by("label", F.struct("created_at", "feedback_id")).alias("general_label"))
+    rows = facts.join(own, ["kind", "mention_id"], "left").join(general, ["kind", "normalized_text"], "left")
+    rows = rows.withColumn("feedback_label", F.coalesce("own_label", "general_label")).withColumn("label", F.coalesce("feedback_label", "label"))
+    return rows.select(*facts.columns, "feedback_label")
 
 
 def promote(annotations: DataFrame, least_agreement: int = 2) -> DataFrame:

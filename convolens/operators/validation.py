@@ -6,6 +6,9 @@ Records are JSON lines (source_path, line_number, value).  A line that isn't JSO
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,33 +125,81 @@ def counts(rows: DataFrame, field: str, valid_only: bool = False) -> DataFrame:
     return rows.where(F.col(f"identity.{field}").isNotNull()).groupBy(F.col(f"identity.{field}").alias("value")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def flatten(lines: DataFrame, depth: int = 4) -> DataFrame:
-    """(source_path, line_number, field, value): leaves of each JSON object by dotted path; lists stay one value."""
-    level = lines.select("source_path", "line_number", F.lit("").alias("field"), F.col("value"))
-    out: DataFrame | None = None
-    for _ in range(depth):
-        inner = F.from_json("value", "map<string, string>")
-        level = level.select("source_path", "line_number", F.col("field").alias("up"), F.explode_outer(inner).alias("k", "value"))
-        level = level.select("source_path", "line_number", F.when(F.col("up") == "", F.col("k")).otherwise(F.concat_ws(".", "up", "k")).alias("field"), "value").where("field is not null")
-        nested = F.col("value").startswith("{") & (F.col("value") != "{}")
-        leaves = level.where(F.col("value").isNull() | ~nested)
-        out = leaves if out is None else out.unionByName(leaves)
-        level = level.where(nested)
-    return out.unionByName(level)
+class _Number(str):
+    """A JSON number as it was written."""
+
+
+def _written(x) -> str:
+    if isinstance(x, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_written(v)}" for k, v in x.items()) + "}"
+    if isinstance(x, list):
+        return "[" + ",".join(map(_written, x)) + "]"
+    return str(x) if isinstance(x, _Number) else json.dumps(x, ensure_ascii=False)
+
+
+def _leaves(value: str | None) -> Iterator[tuple[str, str | None]]:
+    """(dotted path, text) of the leaves of a JSON object, at any depth; lists and empty objects stay one value."""
+    try:
+        whole = json.loads(value or "", parse_float=_Number, parse_int=_Number)
+    except (ValueError, RecursionError):
+        return
+    stack = [("", whole)] if isinstance(whole, dict) else []
+    while stack:
+        path, x = stack.pop()
+        if isinstance(x, dict) and (x or not path):
+            stack.extend((f"{path}.{k}" if path else k, v) for k, v in reversed(x.items()))
+        else:
+            yield path, None if x is None else str(x) if isinstance(x, str) else _written(x)
+
+
+def flatten(lines: DataFrame) -> DataFrame:
+    """(source_path, line_number, field, value): leaves of each JSON object by dotted path, read once; lists stay one value, and what is
+    no object has none."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for part in (batch.slice(k, 512) for k in range(0, batch.num_rows, 512)):
+                out = [(path, line, field, value) for path, line, text in zip(*(c.to_pylist() for c in part.columns), strict=True) for field, value in _leaves(text)]
+                cols = list(zip(*out, strict=True)) if out else [()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.string(), pa.string()), strict=True)], names=["source_path", "line_number", "field", "value"])
+
+    rows = lines.select("source_path", F.col("line_number").cast("long").alias("line_number"), "value")
+    return rows.mapInArrow(run, "source_path string, line_number long, field string, value string")
 
 
 def field_profile(lines: DataFrame, examples: int = 3, width: int = 80) -> DataFrame:
     """(field, present_count, missing_count, example_values): null, blank and empty values are missing; a record without
-    the path counts as neither.  Examples are the first in file and line order, joined by a bar."""
-    leaves = flatten(lines)
-    there = ~(F.col("value").isNull() | F.col("value").isin("", "[]", "{}"))
-    counts_ = leaves.groupBy("field").agg(F.count_if(there).alias("present_count"), F.count_if(~there).alias("missing_count"))
-    from pyspark.sql.window import Window
-
-    place = F.row_number().over(Window.partitionBy("field").orderBy("source_path", "line_number"))
-    first = leaves.where(there).withColumn("place", place).where(F.col("place") <= examples)
-    first = first.groupBy("field").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", F.left("value", F.lit(width)).alias("v")))), lambda x: x["v"]), "|").alias("example_values"))
-    return counts_.join(first, "field", "left").withColumn("example_values", F.coalesce("example_values", F.lit("")))
+    the path counts as neither.  Examples are the first in file and line order, joined by a bar.
+
+    Each task reduces its lines to one row a field, with no more examples than are wanted."""
+
+    def run(batches: Iterator) -> Iterator:
+        import heapq
+
+        import pyarrow as pa
+
+        found: dict[str, list] = {}
+        for batch in batches:
+            for path, line, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for field, value in _leaves(text):
+                    row = found.setdefault(field, [0, 0, []])
+                    if value is None or value in ("", "[]", "{}"):
+                        row[1] += 1
+                        continue
+                    row[0] += 1
+                    row[2].append((path or "", line or 0, value[:width]))
+                    if len(row[2]) > 16 * examples:
+                        row[2] = heapq.nsmallest(examples, row[2])
+        example = pa.struct([("path", pa.string()), ("line", pa.int64()), ("value", pa.string())])
+        shown = [[{"path": p, "line": n, "value": v} for p, n, v in heapq.nsmallest(examples, x[2])] for x in found.values()]
+        cols = [pa.array(list(found), pa.string()), pa.array([x[0] for x in found.values()], pa.int64()), pa.array([x[1] for x in found.values()], pa.int64()), pa.array(shown, pa.list_(example))]
+        yield pa.RecordBatch.from_arrays(cols, names=["field", "present", "missing", "shown"])
+
+    rows = lines.select("source_path", F.col("line_number").cast("long").alias("line_number"), "value").mapInArrow(run, "field string, present long, missing long, shown array<struct<path: string, line: long, value: string>>")
+    out = rows.groupBy("field").agg(F.sum("present").alias("present_count"), F.sum("missing").alias("missing_count"), F.slice(F.array_sort(F.flatten(F.collect_list("shown"))), 1, examples).alias("shown"))
+    return out.select("field", "present_count", "missing_count", F.array_join(F.transform("shown", lambda x: x["value"]), "|").alias("example_values"))
 
 
 def text_lengths(rows: DataFrame) -> DataFrame:

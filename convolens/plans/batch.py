@@ -33,15 +33,40 @@ def event_lines(s, d):
 
 query(
     "field_profile",
-    """SELECT 'identity.uap_id' AS field, count(*) AS present_count, 0 AS missing_count FROM events UNION ALL SELECT 'identity.platform', count(*), 0 FROM events
-    UNION ALL SELECT 'content.text', count_if(user_id % 3 <> 0), count_if(user_id % 3 = 0) FROM events""",
-)(lambda s, d: validation.field_profile(event_lines(s, d)).drop("example_values"))
-query("validation_report", "SELECT count(*) AS total_records, 0::BIGINT AS valid_records, count(*) AS invalid_records FROM events")(lambda s, d: validation.report(validation.validated(event_lines(s, d))))
+    """WITH t AS (SELECT event_id, event_type, CASE WHEN user_id % 3 <> 0 THEN 'note' END AS note FROM events), f AS (SELECT 'identity.uap_id' AS field, event_id, event_id::VARCHAR AS v FROM t UNION ALL SELECT 'identity.platform', event_id, event_type FROM t UNION ALL SELECT 'content.text', event_id, note FROM t)
+    SELECT field, count(v) AS present_count, count(*) - count(v) AS missing_count, array_to_string(list(v ORDER BY event_id) FILTER (v IS NOT NULL)[1:3], '|') AS example_values FROM f GROUP BY field""",
+)(lambda s, d: validation.field_profile(event_lines(s, d)))
+def record_lines(s, d):
+    """Events as records: a third valid posts, comments and replies each in turn, the others wrong in different ways."""
+    e, k = load(s, d, "events"), F.col("event_id") % 6
+    key = F.col("event_id").cast("string")
+    is_post, is_comment = k.isin(0, 3), k.isin(1, 4)
+    parent = F.when(k.isin(1, 2, 3), F.concat(F.lit("up"), key))
+    identity = F.struct(key.alias("uap_id"), F.lit("o").alias("origin_id"), F.lit("t").alias("task_id"), F.lit("p").alias("project_id"), F.when(is_post, "POST").when(is_comment, "COMMENT").otherwise("REPLY").alias("uap_type"), F.lit("tiktok").alias("platform"), F.lit("http://u").alias("url"))
+    depth = F.when(k == 0, 0).when(k.isin(1, 3), 1).otherwise(2)
+    hierarchy = F.struct(parent.alias("parent_id"), F.when(k == 0, key).otherwise("root").alias("root_id"), depth.alias("depth"))
+    whole = F.struct(identity.alias("identity"), hierarchy.alias("hierarchy"), F.struct(F.col("user_id").cast("string").alias("id")).alias("author"), F.struct(F.col("event_type").alias("text")).alias("content"))
+    bare = F.struct(F.struct(key.alias("uap_id"), F.col("event_type").alias("platform")).alias("identity"), F.struct(F.lit("note").alias("text")).alias("content"))
+    value = F.when(k == 5, F.to_json(bare)).otherwise(F.to_json(whole))
+    return e.select(F.lit("events").alias("source_path"), F.col("event_id").alias("line_number"), value.alias("value"))
+
+
+query("validation_report", "SELECT count(*) AS total_records, count_if(event_id % 6 < 3) AS valid_records, count_if(event_id % 6 >= 3) AS invalid_records FROM events")(lambda s, d: validation.report(validation.validated(record_lines(s, d))))
 query(
     "validation_errors",
-    """SELECT error, count(*) AS records FROM (SELECT unnest(['identity.origin_id is blank', 'identity.task_id is blank', 'identity.project_id is blank', 'identity.uap_type is unknown', 'identity.platform is unknown',
-    'author.id is missing', 'hierarchy.depth is missing or negative', 'root_id is missing']) AS error FROM events) GROUP BY error""",
-)(lambda s, d: validation.error_items(validation.validated(event_lines(s, d))).groupBy("error").agg(F.count(F.lit(1)).alias("records")))
+    """SELECT error, count(*) AS records FROM (SELECT unnest(CASE event_id % 6 WHEN 3 THEN ['POST has a parent', 'POST must be its own root', 'POST must have depth 0'] WHEN 4 THEN ['COMMENT needs a parent', 'COMMENT must have depth 1']
+    WHEN 5 THEN ['identity.origin_id is blank', 'identity.task_id is blank', 'identity.project_id is blank', 'identity.uap_type is unknown', 'identity.platform is unknown', 'author.id is missing', 'hierarchy.depth is missing or negative', 'root_id is missing'] ELSE [] END) AS error FROM events) GROUP BY error""",
+)(lambda s, d: validation.error_items(validation.validated(record_lines(s, d))).groupBy("error").agg(F.count(F.lit(1)).alias("records")))
+query("validation_counts", "SELECT CASE event_id % 6 WHEN 0 THEN 'POST' WHEN 1 THEN 'COMMENT' ELSE 'REPLY' END AS value, count(*) AS count FROM events WHERE event_id % 6 < 3 GROUP BY 1")(
+    lambda s, d: validation.counts(validation.validated(record_lines(s, d)), "uap_type", valid_only=True)
+)
+query(
+    "record_mentions",
+    "SELECT event_id::VARCHAR AS mention_id, CASE event_id % 6 WHEN 0 THEN 'POST' WHEN 1 THEN 'COMMENT' ELSE 'REPLY' END AS uap_type, CASE WHEN event_id % 6 > 0 THEN 'up' || event_id END AS parent_id, (event_id % 6)::INTEGER AS depth, user_id::VARCHAR AS author_id, event_type AS source_text, 0 AS likes_known FROM events WHERE event_id % 6 < 3",
+)(lambda s, d: validation.mentions(validation.validated(record_lines(s, d))).select("mention_id", "uap_type", "parent_id", "depth", "author_id", "source_text", F.when(F.col("likes").isNull(), 0).otherwise(1).alias("likes_known")))
+query("text_lengths", "SELECT floor(avg(length(event_type)) * 100 + 0.5) / 100 AS avg, min(length(event_type))::DOUBLE AS min, max(length(event_type))::DOUBLE AS max FROM events WHERE event_id % 6 < 5")(
+    lambda s, d: validation.text_lengths(validation.validated(record_lines(s, d)).where("cast(line_number as bigint) % 6 < 5"))
+)
 query("flatten_props", "SELECT event_id, k AS field, json_extract_string(props, k) AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)")(
     lambda s, d: validation.flatten(load(s, d, "events").select(F.lit("e").alias("source_path"), F.col("event_id").alias("line_number"), F.col("props").alias("value"))).select(F.col("line_number").alias("event_id"), "field", "value")
 )

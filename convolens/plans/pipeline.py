@@ -24,6 +24,8 @@ class Settings:
     weighting: str = "quality"
     near_duplicates: bool = True
     require_supported_language: bool = False
+    #: A line that is no JSON object ends the run; otherwise it counts as an invalid record.
+    strict: bool = True
     gate: language.Gate = field(default_factory=lambda: language.Gate("fr", "en", frozenset(language.HINTS["fr"]), frozenset(language.HINTS["en"]), frozenset(language.HINTS["de"]), "de", "èêéàçù"))
     cues: semantics.Cues = field(default_factory=semantics.Cues)
 
@@ -147,7 +149,7 @@ def run(spark: SparkSession, source: str, ontology_path: str, out: str, settings
     with timing.stage("ingest"):
         lines = records.read_records(spark, source)
         records.tee_lines(lines, f"{out}/bronze")
-        checked = settle(validation.validated(lines), "checked")
+        checked = settle(validation.validated(lines, settings.strict), "checked")
         report = validation.report(checked).first().asDict()
         records.write_tables({"invalid": validation.error_items(checked), "field_profile": validation.field_profile(lines)}, f"{out}/bronze_checks")
     with timing.stage("normalize"):

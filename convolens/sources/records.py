@@ -9,6 +9,7 @@ from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.util import inheritable_thread_target
 
 #: Tables written at the same time.
@@ -20,13 +21,31 @@ LINES = "source_path string, line_number long, value string"
 def read_jsonl(spark: SparkSession, path: str, numbered: bool = True) -> DataFrame:
     """(source_path, line_number, value) of the non-blank lines under ``path``: a file, or a folder at any depth.
 
-    Numbering lines needs whole files (of at most 2 GB), so files are then the unit of parallel work; without numbers
-    (null) large files are split."""
+    Large files are split.  Line numbers, blank lines counted, take a pass of their own that counts the lines of each split; without
+    them (null) the lines are read once."""
+    rows = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").option("lineSep", "\n").text(path)
+    rows = rows.select(F.col("_metadata.file_path").alias("source_path"), F.col("_metadata.file_block_start").alias("block"), F.rtrim("value", F.lit("\r")).alias("value"))
     if not numbered:
-        rows = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").text(path)
-        return rows.where(F.trim("value") != "").select(F.col("_metadata.file_path").alias("source_path"), F.lit(None).cast("long").alias("line_number"), "value")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").load(path).select("path", "content")
-    return files.mapInArrow(_lines, LINES)
+        return rows.where(F.trim("value") != "").select("source_path", F.lit(None).cast("long").alias("line_number"), "value")
+    placed = rows.mapInArrow(_placed, "source_path string, block long, place long, value string")
+    ends = rows.groupBy("source_path", "block").agg(F.count(F.lit(1)).alias("lines"))
+    before = F.sum("lines").over(Window.partitionBy("source_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = ends.select("source_path", "block", F.coalesce(before, F.lit(0)).alias("before"))
+    return placed.where(F.trim("value") != "").join(offsets, ["source_path", "block"]).select("source_path", (F.col("before") + F.col("place")).alias("line_number"), "value")
+
+
+def _placed(batches: Iterator) -> Iterator:
+    """Lines numbered from 1 within their split; a task reads each of its splits from its start in order."""
+    import pyarrow as pa
+
+    last, n = None, 0
+    for batch in batches:
+        places = []
+        for split in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            n = n + 1 if split == last else 1
+            last = split
+            places.append(n)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(places, pa.int64()), batch.column(2)], names=["source_path", "block", "place", "value"])
 
 
 def _numbered(name: str, data: bytes, encoding: str = "utf-8") -> Iterator[tuple[str, int, str]]:
@@ -53,12 +72,6 @@ def _chunks(rows: Iterator, size: int = 20_000) -> Iterator:
         yield _batch(held)
 
 
-def _lines(batches: Iterator) -> Iterator:
-    for batch in batches:
-        for path, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            yield from _chunks(_numbered(path, data.as_py()))
-
-
 def read_zip(spark: SparkSession, path: str) -> DataFrame:
     """The same from the .jsonl members of ZIP archives, by name; archive clutter is skipped, non-UTF-8 is an error."""
 

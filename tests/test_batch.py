@@ -76,6 +76,26 @@ def test_sources_and_validation(spark, batch):
         validation.read_validated(lines).count()
 
 
+def test_split_files_are_numbered(spark, tmp_path):
+    lines = [json.dumps({"n": k, "pad": "x" * (k % 90)}) if k % 7 else "" for k in range(1, 3001)]
+    (tmp_path / "big.jsonl").write_text("\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = records.read_jsonl(spark, str(tmp_path / "big.jsonl"))
+        got = {r.line_number: json.loads(r.value)["n"] for r in rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {k: k for k in range(1, 3001) if k % 7}
+
+
+def test_deep_records(spark):
+    deep = '{"a": {"b": {"c": {"d": {"e": {"f": 1.50, "g": [1, {"h": "x"}]}}}}}, "n": null, "t": true, "o": {}}'
+    lines = spark.createDataFrame([("f", 1, deep), ("f", 2, "[1]"), ("f", 3, "{oops"), ("f", 4, None)], "source_path string, line_number long, value string")
+    got = {(r.line_number, r.field): r.value for r in validation.flatten(lines).collect()}
+    assert got == {(1, "a.b.c.d.e.f"): "1.50", (1, "a.b.c.d.e.g"): '[1,{"h":"x"}]', (1, "n"): None, (1, "t"): "true", (1, "o"): "{}"}
+
+
 def test_malformed_line(spark, tmp_path):
     (tmp_path / "m.jsonl").write_text(json.dumps(GOOD[0]) + "\n{oops\n")
     lines = records.read_records(spark, str(tmp_path / "m.jsonl"))
