@@ -142,3 +142,50 @@ def contaminated(rows, items, seed=5, threshold=0.5):
             if sum(t[2] for t in naive_tiles(part, items[k][1], seed)) >= threshold * len(items[k][1]):
                 out.add((doc, items[k][0]))
     return out
+
+
+def mixture(text, table, unknown, languages, temper):
+    """(language, share) by expectation-maximisation over one text's words, a set of languages at a time."""
+    import math
+
+    like, weight = [], []
+    for word, n in sorted({w: (text or "").lower().split().count(w) for w in (text or "").lower().split()}.items()):
+        clean = "".join(c for c in word if c.isalpha())
+        if clean:
+            marked = f"^{clean}$"
+            rows = [table.get(marked[k : k + size], unknown) for size in (2, 3) for k in range(len(marked) - size + 1)]
+            like.append([temper * sum(r[x] for r in rows) for x in range(len(languages))])
+            weight.append(n)
+    if not like:
+        return "und", 0.0
+
+    def fit(chosen):
+        shares = [1 / len(chosen)] * len(chosen)
+        for _ in range(25):
+            new = [0.0] * len(chosen)
+            for row, n in zip(like, weight, strict=True):
+                top = max(row)
+                parts = [s * math.exp(row[x] - top) for s, x in zip(shares, chosen, strict=True)]
+                for k, p in enumerate(parts):
+                    new[k] += n * p / max(sum(parts), 1e-300)
+            new = [v / sum(weight) for v in new]
+            still = max(abs(a - b) for a, b in zip(new, shares, strict=True)) < 1e-4
+            shares = new
+            if still:
+                break
+        value = sum(n * (max(row) + math.log(max(sum(s * math.exp(row[x] - max(row)) for s, x in zip(shares, chosen, strict=True)), 1e-300))) for row, n in zip(like, weight, strict=True))
+        return [s / sum(shares) for s in shares], value
+
+    every = list(range(len(languages)))
+    alone = [sum(n * row[x] for row, n in zip(like, weight, strict=True)) for x in every]
+    single = max(every, key=lambda x: alone[x])
+    best, shares, value = [single], [1.0], alone[single]
+    full = fit(every)[0]
+    order = sorted(every, key=lambda x: -full[x])
+    for k in range(2, len(every) + 1):
+        part, got = fit(order[:k])
+        got -= (k - 1) * math.log(sum(weight) + 1)
+        if got > value:
+            best, shares, value = order[:k], part, got
+    share, name = min((-s, languages[x]) for s, x in zip(shares, best, strict=True))
+    return name, -share

@@ -34,11 +34,30 @@ def test_bpe_matches_library(spark, sf_dir, small):
     library = LIBRARY.Tokenizer.from_file(queries.tokenizer_path())
     got = {r.doc_id: r for r in queries.op3_bpe_round_trip(spark, sf_dir).collect()}
     assert len(got) == len(small)
-    for i, text in small[:120]:
+    for i, text in small:
+        text = text or ""
         ids = library.encode(text, add_special_tokens=False).ids
         assert (got[i].n_tokens, got[i].ids_sha256, got[i].decoded_sha256) == (len(ids), plain.sha(",".join(map(str, ids))), plain.sha(text))
 
 
+def test_token_counts_of_all_rows(spark, sf_dir, small):
+    library = LIBRARY.Tokenizer.from_file(queries.tokenizer_path())
+    want = sorted((i, len((t or "").encode()), n := len(library.encode(t or "", add_special_tokens=False).ids), n > 1024) for i, t in small)
+    got = queries.op6_token_counts(spark, sf_dir).select("doc_id", "n_bytes", "n_tokens", "over_limit").collect()
+    assert sorted(map(tuple, got)) == want
+
+
+def test_warm_cache_encodes_misses_only(spark, monkeypatch):
+    """Texts of known digests neither move nor are encoded again."""
+    cache = fresh_path(spark, "cache")
+    old = [(k, f"known text number {k}") for k in range(20)]
+    token_counts.count_tokens(documents(spark, old), queries.tokenizer_path(), cache)
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(documents(spark, [*old, (99, "a new one")]), queries.tokenizer_path(), cache).collect()}
+    library = LIBRARY.Tokenizer.from_file(queries.tokenizer_path())
+    assert got == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in [*old, (99, "a new one")]}
+    assert token_counts.read_cache(spark, cache).count() == 21
+
+
 def test_bpe_hard_texts():
     library, own = LIBRARY.Tokenizer.from_file(queries.tokenizer_path()), bpe.byte_bpe(queries.tokenizer_path())
     rng = random.Random(7)
@@ -333,6 +352,17 @@ def test_language_held_out_accuracy(spark, sf_dir):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_language_query_against_plain_mixture(spark, sf_dir, small):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = langid.train(langid.training_rows(docs))
+    table = {"".join(chr(c) for c in (code >> 42, code >> 21 & 0x1FFFFF, code & 0x1FFFFF) if c): row for code, row in zip(model.codes.tolist(), model.table.tolist(), strict=False)}
+    got = {r.doc_id: (r.lang_pred, r.score) for r in queries.op9_language_mixture(spark, sf_dir).collect()}
+    assert len(got) == len(small)
+    for i, text in small:
+        pred, score = plain.mixture(text, table, model.table[-1].tolist(), model.languages, langid.TEMPER)
+        assert got[i][0] == pred and abs(got[i][1] - score) < 0.01
+
+
 def test_language_mixture_and_edges(spark):
     en, de = "the and that with this from there which", "und der die nicht eine werden auch sich"
     train = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate([(en, "en"), (de, "de")] * 30)], "doc_id long, text string, lang string")
