@@ -29,7 +29,7 @@ def boundary_spans(text: Column, needle: str) -> Column:
     if not needle:
         return empty
     quoted = "\\Q" + needle.replace("\\E", "\\E\\\\E\\Q") + "\\E"
-    mark = ""
+    mark = "\ue000"
     marked = F.regexp_replace(F.translate(text, mark, ""), rf"(?iu)(?<![{W}])({quoted})(?![{W}])", f"{mark}$1{mark}")
 
     def step(acc: Column, piece: Column) -> Column:

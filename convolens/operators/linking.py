@@ -186,6 +186,77 @@ def ranked(candidates: DataFrame, found: DataFrame, verify: bool = True) -> Data
     return rows.withColumn("place", place).where(F.col("place") <= RANKED).drop("entity_type_hint", "confidence", "methods", "specificity", "__")
 
 
+# Shares of the signals, and of the likeness of a candidate's views, in the score of a prototype.
+PROTOTYPE_WEIGHT = {"exact_alias": 0.29, "normalized_alias": 0.16, "compact_alias": 0.22, "boundary_support": 0.12, "contextual_support": 0.1, "unique_prefix_support": 0.06, "fuzzy_support": 0.04, "alias_surface_support": 0.14}
+VIEW_WEIGHT = {"span": 0.11, "local": 0.1, "full": 0.07, "thread": 0.04}
+CONSENSUS = {"span": 0.34, "local": 0.28, "full": 0.2, "thread": 0.12}
+
+
+def ranked_by_prototypes(candidates: DataFrame, found: DataFrame, likeness: DataFrame) -> DataFrame:
+    """The best ``RANKED`` entities of each candidate by its signals (see signals; none count as 0) and by the likeness of its views to the
+    entity's prototype: (candidate_id, canonical_entity_id, entity_type, entity_kind, span, local, full, thread, context_support).
+
+    The score blends a verifier, which weighs agreement of the views, and the sum of all parts, .62 and .38."""
+    none = F.lit(0.0)
+    rows = likeness.join(found.drop("entity_type", "entity_kind"), ["candidate_id", "canonical_entity_id"], "left").join(candidates.select("candidate_id", "entity_type_hint", "confidence", "methods", "specificity"), "candidate_id")
+    rows = rows.withColumns({c: F.coalesce(c, none) for c in PROTOTYPE_WEIGHT} | {c: F.greatest(F.coalesce(c, none), none) for c in VIEW_WEIGHT})
+    hint, entity = F.col("entity_type_hint"), F.col("entity_kind") == "entity"
+    type_bonus = F.when(hint.isNull(), 0.0).when(hint == F.col("entity_type"), 0.14).otherwise(-0.16)
+    bonus = F.greatest(none, *(F.when(F.array_contains("methods", m), v).otherwise(0.0) for m, v in SOURCE_BONUS.items()))
+    kind = F.when(entity, 0.03).otherwise(0.0)
+    concept = F.when((F.col("entity_kind") == "concept") & (F.col("specificity") >= 0.34) & (F.col("exact_alias") <= 0) & (F.col("compact_alias") <= 0), 0.18).otherwise(0.0)
+    generic = F.when((F.col("specificity") < 0.15) & entity, 0.08).otherwise(0.0)
+    confidence = F.least(F.col("confidence"), F.lit(1.0))
+    weighed = lambda table: sum((F.col(c) * w for c, w in table.items()), none)
+    heuristic = weighed(PROTOTYPE_WEIGHT) + weighed(VIEW_WEIGHT) + confidence * 0.05 + bonus + F.col("context_support") + kind + type_bonus - concept - generic
+    anchor = F.least(bonus + F.col("context_support") + kind, F.lit(0.32))
+    verifier = (
+        weighed(CONSENSUS) * 0.34 + F.greatest(*PROTOTYPE_WEIGHT) * 0.34 + confidence * 0.05 + F.col("specificity") * 0.08 + anchor + F.greatest(type_bonus, none) * 0.08 + F.when(entity, 0.04).otherwise(0.0)
+        - F.greatest(-type_bonus, none) * 0.22 - concept * 0.72 - generic * 0.8
+    )
+    rows = rows.withColumns({"heuristic_score": round_to(heuristic, 6), "verifier_score": _clamped(verifier)}).withColumn("score", _clamped(F.col("verifier_score") * 0.62 + heuristic * 0.38))
+    place = F.row_number().over(Window.partitionBy("candidate_id").orderBy(F.desc("score"), "canonical_entity_id"))
+    return rows.withColumn("place", place).where(F.col("place") <= RANKED).select("candidate_id", "place", "canonical_entity_id", "score", "heuristic_score", "verifier_score")
+
+
+#: What a name looks like: up to four words in a row that begin with a capital, or a word with a digit in it.
+PROPOSED = r"(?:\p{Lu}[\p{L}\p{N}-]*(?: \p{Lu}[\p{L}\p{N}-]*){0,3}|\p{L}+[0-9][\p{L}\p{N}-]*)"
+LEAST_LIKENESS, SURE_ALIAS, DIGIT_BONUS = 0.62, 0.66, 0.08
+
+
+def proposals(mentions: DataFrame) -> DataFrame:
+    """(mention_id, text, start, stop): spans of ``raw_text`` that look like names; code points, stop exclusive, overlapping none."""
+    mark = "\ue000"
+    text = F.translate(F.coalesce("raw_text", F.lit("")), mark, "")
+    pieces = F.split(F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}])({PROPOSED})(?![\p{{L}}\p{{N}}])", f"{mark}$1{mark}"), mark)
+    # Pieces stand outside and inside marks by turns; what comes before each gives its place.
+    empty = F.array().cast("array<struct<text: string, start: int, stop: int>>")
+
+    def step(acc: Column, piece: Column) -> Column:
+        stop = acc["at"] + F.length(piece)
+        hit = F.struct(piece.alias("text"), acc["at"].alias("start"), stop.alias("stop"))
+        return F.struct((acc["n"] + 1).alias("n"), stop.alias("at"), F.when(acc["n"] % 2 == 1, F.concat(acc["out"], F.array(hit))).otherwise(acc["out"]).alias("out"))
+
+    found = F.aggregate(pieces, F.struct(F.lit(0).alias("n"), F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+    return mentions.select("mention_id", F.explode(found).alias("s")).select("mention_id", "s.*")
+
+
+def recognised(spans: DataFrame, pool: DataFrame, type_pool: DataFrame) -> DataFrame:
+    """``spans`` in the columns of ``MERGED`` with a type: that of the nearest alias when it is near enough, else the nearest type, surer
+    with a digit.  ``pool`` has text, score and entity_type of each different text's best alias, ``type_pool`` text, score and entity_type of its
+    best type; both come from vector_store.rank_pool.  Generic words and spans near nothing are left out."""
+    rows = spans.withColumn("normalized", normalize_alias(F.col("text"))).where((F.col("normalized") != "") & ~F.col("normalized").isin(*GENERIC_SURFACES))
+    near = pool.select("text", F.col("score").alias("alias_score"), F.col("entity_type").alias("alias_type"))
+    kind = type_pool.select("text", F.col("score").alias("type_score"), "entity_type")
+    rows = rows.join(near, "text", "left").join(kind, "text", "left")
+    by_alias = F.coalesce(F.col("alias_score") >= SURE_ALIAS, F.lit(False))
+    score = F.col("type_score") + F.when(F.col("normalized").rlike(r"\p{Nd}"), DIGIT_BONUS).otherwise(0.0)
+    sure = F.when(by_alias, F.least(F.greatest("alias_score", F.lit(0.72)), F.lit(0.99))).otherwise(F.least(score, F.lit(0.92)))
+    return rows.where(by_alias | F.coalesce(score >= LEAST_LIKENESS, F.lit(False))).select(
+        "mention_id", "text", "normalized", "start", "stop", F.when(by_alias, F.col("alias_type")).otherwise(F.col("entity_type")).alias("entity_type_hint"), round_to(sure, 3).alias("confidence"), F.array(F.lit("ner")).alias("methods")
+    )
+
+
 def worthy(rows: DataFrame) -> Column:
     """Is a candidate worth linking?  ``rows`` has a candidate and ``strongest``, the maxima of its signals over all entities."""
     n = F.size(significant(F.col("normalized")))

@@ -128,3 +128,79 @@ def _spans(s, d, text, start, confidence, method):
         F.col("p_partkey").cast("string").alias("mention_id"), text.alias("text"), F.lower(text).alias("normalized"), F.lit(start).alias("start"), (start + F.length(text)).alias("stop"), F.lit(None).cast("string").alias("entity_type_hint"),
         F.lit(confidence).alias("confidence"), F.array(method).alias("methods"),
     )
+
+
+#: Signals and likeness of two entities to each candidate, made of the parts' numbers.
+FOUND = """cand AS (SELECT p_partkey::VARCHAR AS candidate_id, CASE p_size % 3 WHEN 0 THEN 'brand' WHEN 1 THEN 'product' END AS hint, 0.4::DOUBLE + (p_size % 6) / 10.0::DOUBLE AS confidence, CASE p_size % 4 WHEN 0 THEN ['alias_scan'] WHEN 1 THEN ['title_span', 'hashtag'] ELSE ['token_ngram'] END AS methods,
+    (p_size % 10) / 10.0::DOUBLE AS specificity, p_size, p_partkey FROM part), two AS (SELECT cand.*, 'e' || k AS canonical_entity_id, CASE WHEN (p_size + k) % 2 = 0 THEN 'brand' ELSE 'product' END AS entity_type, CASE WHEN (p_partkey + k) % 4 = 0 THEN 'concept' ELSE 'entity' END AS entity_kind,
+    CASE WHEN (p_partkey + k) % 7 = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS exact_alias, CASE WHEN (p_partkey + k) % 5 = 0 THEN 0.97::DOUBLE ELSE 0.0::DOUBLE END AS normalized_alias, CASE WHEN (p_partkey + k) % 5 < 2 THEN 0.94::DOUBLE ELSE 0.0::DOUBLE END AS compact_alias,
+    ((p_size * k) % 9) / 10.0::DOUBLE AS boundary_support, ((p_size + k) % 8) / 10.0::DOUBLE AS contextual_support, CASE WHEN k = 2 THEN 0.72::DOUBLE ELSE 0.0::DOUBLE END AS unique_prefix_support, 0.5::DOUBLE AS fuzzy_support, ((p_partkey + k) % 11) / 11.0::DOUBLE AS alias_surface_support,
+    ((p_size + k) % 10) / 10.0::DOUBLE - 0.2::DOUBLE AS span, ((p_size + 2 * k) % 10) / 10.0::DOUBLE AS local, ((p_size + 3 * k) % 10) / 10.0::DOUBLE AS full_, 0.3::DOUBLE AS thread, (k % 3) / 20.0::DOUBLE AS context_support FROM cand, range(1, 8) r(k))"""
+
+
+def found(s, d):
+    size, key, k = F.col("p_size"), F.col("p_partkey"), F.col("k")
+    text = lambda *v: F.array(*map(F.lit, v))
+    if_ = lambda c, v: F.when(c, v).otherwise(0.0)
+    cand = load(s, d, "part").select(
+        key.cast("string").alias("candidate_id"), F.when(size % 3 == 0, "brand").when(size % 3 == 1, "product").alias("entity_type_hint"), ((size % 6) / 10.0 + 0.4).alias("confidence"),
+        F.when(size % 4 == 0, text("alias_scan")).when(size % 4 == 1, text("title_span", "hashtag")).otherwise(text("token_ngram")).alias("methods"), ((size % 10) / 10.0).alias("specificity"), "p_size", "p_partkey",
+    )
+    two = cand.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(7)))).select(
+        "candidate_id", F.concat(F.lit("e"), k.cast("string")).alias("canonical_entity_id"), F.when((size + k) % 2 == 0, "brand").otherwise("product").alias("entity_type"), F.when((key + k) % 4 == 0, "concept").otherwise("entity").alias("entity_kind"),
+        if_((key + k) % 7 == 0, 1.0).alias("exact_alias"), if_((key + k) % 5 == 0, 0.97).alias("normalized_alias"), if_((key + k) % 5 < 2, 0.94).alias("compact_alias"), (((size * k) % 9) / 10.0).alias("boundary_support"), (((size + k) % 8) / 10.0).alias("contextual_support"),
+        if_(k == 2, 0.72).alias("unique_prefix_support"), F.lit(0.5).alias("fuzzy_support"), (((key + k) % 11) / 11.0).alias("alias_surface_support"), (((size + k) % 10) / 10.0 - 0.2).alias("span"), (((size + 2 * k) % 10) / 10.0).alias("local"),
+        (((size + 3 * k) % 10) / 10.0).alias("full"), F.lit(0.3).alias("thread"), ((k % 3) / 20.0).alias("context_support"),
+    )
+    return cand, two
+
+
+BONUS = "greatest(0.0::DOUBLE, " + ", ".join(f"CASE WHEN list_contains(methods, '{m}') THEN {v}::DOUBLE ELSE 0.0::DOUBLE END" for m, v in linking.SOURCE_BONUS.items()) + ")"
+BASE = f"""b AS (SELECT *, CASE WHEN hint IS NULL THEN 0.0::DOUBLE WHEN hint = entity_type THEN 0.14::DOUBLE ELSE -0.16::DOUBLE END AS tb, {BONUS} AS sb, CASE WHEN specificity < 0.15 AND entity_kind = 'entity' THEN 0.08::DOUBLE ELSE 0.0::DOUBLE END AS gp,
+    CASE WHEN entity_kind = 'entity' THEN 1 ELSE 0 END AS ent FROM two)"""
+
+
+def rounded6(x: str) -> str:
+    return f"floor(({x}) * 1000000.0 + 0.5) / 1000000.0"
+
+
+def clamp6(x: str) -> str:
+    return rounded6(f"greatest(least({x}, 0.995::DOUBLE), 0.0::DOUBLE)")
+
+
+LINES = {"exact_alias": (0.94, 0.04), "normalized_alias": (0.88, 0.08), "compact_alias": (0.84, 0.12), "boundary_support": (0.52, 0.38), "contextual_support": (0.5, 0.34), "unique_prefix_support": (0.5, 0.3), "fuzzy_support": (0.42, 0.24)}
+SURE = "greatest(" + ", ".join(f"CASE WHEN {c} > 0 THEN {v}::DOUBLE + {c} * {w}::DOUBLE ELSE 0.0::DOUBLE END" for c, (v, w) in LINES.items()) + ")"
+TOP = f"greatest({', '.join(linking.SIGNALS)}, alias_surface_support)"
+VERIFIED = "+ {c} * 0.05::DOUBLE + specificity * 0.08::DOUBLE + {anchor} + greatest(tb, 0.0::DOUBLE) * 0.08::DOUBLE + ent * 0.04::DOUBLE - greatest(-tb, 0.0::DOUBLE) * 0.22::DOUBLE - cp * 0.72::DOUBLE - gp * 0.8::DOUBLE".format
+CONF = "least(confidence, 1.0::DOUBLE)"
+query(
+    "entity_ranking",
+    f"""WITH {FOUND}, {BASE}, c AS (SELECT *, CASE WHEN entity_kind = 'concept' AND specificity >= 0.34 AND compact_alias <= 0 THEN 0.18::DOUBLE ELSE 0.0::DOUBLE END AS cp FROM b),
+    h AS (SELECT *, {SURE} + alias_surface_support * 0.08::DOUBLE + {CONF} * 0.04::DOUBLE + sb + tb - gp - cp AS heur, {clamp6(f"{TOP} * 0.34::DOUBLE {VERIFIED(c=CONF, anchor='least(sb + ent * 0.03::DOUBLE, 0.32::DOUBLE)')}")} AS ver FROM c),
+    f AS (SELECT candidate_id, canonical_entity_id, {clamp6('ver * 0.58::DOUBLE + heur * 0.42::DOUBLE')} AS score, ver AS verifier_score, hint IS NULL OR hint = entity_type AS type_consistent FROM h)
+    SELECT *, place::INTEGER AS place FROM (SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY score DESC, canonical_entity_id) AS place_ FROM f) t(candidate_id, canonical_entity_id, score, verifier_score, type_consistent, place) WHERE place <= 5""".replace("SELECT *, place::INTEGER AS place FROM", "SELECT candidate_id, canonical_entity_id, score, verifier_score, type_consistent, place::INTEGER AS place FROM"),
+)(lambda s, d: (lambda c, f: linking.ranked(c, f).select("candidate_id", "canonical_entity_id", "score", "verifier_score", "type_consistent", "place"))(*found(s, d)))
+ALL_PARTS = " + ".join(f"{c} * {w}::DOUBLE" for c, w in linking.PROTOTYPE_WEIGHT.items()) + " + " + " + ".join(f"{'full_' if c == 'full' else c} * {w}::DOUBLE" for c, w in linking.VIEW_WEIGHT.items())
+AGREED = " + ".join(f"{'full_' if c == 'full' else c} * {w}::DOUBLE" for c, w in linking.CONSENSUS.items())
+query(
+    "prototype_ranking",
+    f"""WITH {FOUND}, {BASE}, c AS (SELECT * REPLACE (greatest(span, 0.0::DOUBLE) AS span), CASE WHEN entity_kind = 'concept' AND specificity >= 0.34 AND exact_alias <= 0 AND compact_alias <= 0 THEN 0.18::DOUBLE ELSE 0.0::DOUBLE END AS cp FROM b),
+    h AS (SELECT *, 0.0::DOUBLE + {ALL_PARTS} + {CONF} * 0.05::DOUBLE + sb + context_support + ent * 0.03::DOUBLE + tb - cp - gp AS heur, {clamp6(f"(0.0::DOUBLE + {AGREED}) * 0.34::DOUBLE + {TOP} * 0.34::DOUBLE {VERIFIED(c=CONF, anchor='least(sb + context_support + ent * 0.03::DOUBLE, 0.32::DOUBLE)')}")} AS ver FROM c),
+    f AS (SELECT candidate_id, canonical_entity_id, {clamp6('ver * 0.62::DOUBLE + heur * 0.38::DOUBLE')} AS score, {rounded6('heur')} AS heuristic_score, ver AS verifier_score FROM h)
+    SELECT candidate_id, canonical_entity_id, score, heuristic_score, verifier_score, place::INTEGER AS place FROM (SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY score DESC, canonical_entity_id) AS place FROM f) WHERE place <= 5""",
+)(lambda s, d: (lambda c, f: linking.ranked_by_prototypes(c, f.drop("span", "local", "full", "thread", "context_support"), f.select("candidate_id", "canonical_entity_id", "entity_type", "entity_kind", "span", "local", "full", "thread", "context_support")))(*found(s, d)))
+query("span_proposals", rf"SELECT mention_id, text, count(*) AS n FROM (SELECT doc_id::VARCHAR AS mention_id, unnest(regexp_extract_all(text, '(?:^|[^\p{{L}}\p{{N}}])({linking.PROPOSED})', 1)) AS text FROM documents) GROUP BY ALL")(
+    lambda s, d: linking.proposals(a.doc_mentions(s, d)).groupBy("mention_id", "text").agg(F.count(F.lit(1)).alias("n"))
+)
+query(
+    "recognised_spans",
+    """WITH p AS (SELECT p_partkey::VARCHAR AS mention_id, p_name || ' ' || p_size AS text, (p_size % 10) / 10.0::DOUBLE AS a, (p_partkey % 10) / 10.0::DOUBLE AS t FROM part), one AS (SELECT text, max(a) AS a, max(t) AS t FROM p GROUP BY text), j AS (SELECT p.mention_id, p.text, one.a, one.t + 0.08::DOUBLE AS t FROM p JOIN one USING (text))
+    SELECT mention_id, text, CASE WHEN a >= 0.66 THEN 'brand' ELSE 'product' END AS entity_type_hint, floor((CASE WHEN a >= 0.66 THEN least(greatest(a, 0.72::DOUBLE), 0.99::DOUBLE) ELSE least(t, 0.92::DOUBLE) END) * 1000.0 + 0.5) / 1000.0 AS confidence FROM j WHERE a >= 0.66 OR t >= 0.62""",
+)(lambda s, d: _recognised(s, d))
+
+
+def _recognised(s, d):
+    text = F.concat_ws(" ", "p_name", F.col("p_size").cast("string"))
+    p = load(s, d, "part").select(F.col("p_partkey").cast("string").alias("mention_id"), text.alias("text"), F.lit(0).alias("start"), F.length(text).alias("stop"), ((F.col("p_size") % 10) / 10.0).alias("a"), ((F.col("p_partkey") % 10) / 10.0).alias("t"))
+    best = lambda c, kind: p.groupBy("text").agg(F.max(c).alias("score")).withColumn("entity_type", F.lit(kind))
+    return linking.recognised(p.drop("a", "t"), best("a", "brand"), best("t", "product")).select("mention_id", "text", "entity_type_hint", "confidence")
