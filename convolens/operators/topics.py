@@ -1,7 +1,6 @@
 """Topics: assignment, terms, quality, identity across runs, lineage, reporting status.
 
-Prototypes are an ontology's topics: few and bounded, so they ride along as literals; documents are never paired with
-each other.
+Prototypes are an ontology's topics, met in blocks of a set size; documents are never paired with each other.
 """
 
 from __future__ import annotations
@@ -12,33 +11,66 @@ from pyspark.sql.window import Window
 
 from ..functions.numbers import round_to
 from ..functions.text import jaccard, normalize_alias, tokens
+from ..tables import settle
 
 # Shares of the assignment score, its threshold, and the quality thresholds.
-LEXICAL, ENTITY, ASPECT, ISSUE = 0.54, 0.12, 0.08, 0.08
-LEAST_SCORE = 0.32
+LEXICAL, SEMANTIC, ENTITY, ASPECT, ISSUE, PRIMARY = 0.54, 0.2, 0.12, 0.08, 0.08, 0.1
+NEGATIVE, LEAK, BOTH, CLEAR = 0.18, 0.14, 0.08, 0.08
+LEAST_SCORE, MOST_SCORE = 0.32, 0.98
+#: Topics that are broadcast together.
+TOPICS_AT_ONCE = 2000
 LEAST_SUPPORT, LEAST_STABILITY, GROWTH = 3, 0.35, 0.2
 LINEAGE = ("profile", "signature", "term", "key")
 
 
 def prototypes(spark: SparkSession, ontology: dict) -> DataFrame:
-    """(topic_key, label, phrases, words, entities)."""
+    """(topic_key, label, phrases, negatives, entities, aspects, issues, primary, issue_centric) of an ontology's reportable topics."""
     rows = []
     for t in ontology["topics"]:
-        phrases = [p.lower() for p in t.get("seed_phrases", ())] or [t["name"].lower()]
-        words = sorted({w for p in phrases for w in p.split()})
-        rows.append((t["id"], t["name"], phrases, words, t.get("related_entity_ids", [])))
-    return spark.createDataFrame(rows, "topic_key string, label string, phrases array<string>, words array<string>, entities array<string>")
-
-
-def assignments(docs: DataFrame, topics: DataFrame) -> DataFrame:
-    """(mention_id, topic_key, score): every topic of every document (mention_id, text, entities) that reaches the threshold."""
-    rows = docs.select("mention_id", "text", tokens(F.col("text")).alias("toks"), F.col("entities").alias("own")).crossJoin(F.broadcast(topics))
-    phrase = F.size(F.filter("phrases", lambda p: F.contains(F.col("text"), p))) / F.greatest(F.size("phrases"), F.lit(1))
-    word = F.size(F.array_intersect(F.array_distinct("toks"), F.col("words"))) / F.greatest(F.size("words"), F.lit(1))
-    lexical = F.least(F.greatest(word, F.when(phrase > 0, 0.6 + 0.4 * phrase).otherwise(0.0)), F.lit(1.0))
-    shared = F.arrays_overlap(F.coalesce("own", F.array().cast("array<string>")), F.coalesce("entities", F.array().cast("array<string>")))
-    score = round_to(lexical * (LEXICAL + ASPECT + ISSUE) + F.when(F.coalesce(shared, F.lit(False)), ENTITY).otherwise(0.0))
-    return rows.select("mention_id", "topic_key", score.alias("score")).where(F.col("score") >= LEAST_SCORE)
+        if not t.get("reportable", True) or t.get("main_path_policy") == "discovery_only":
+            continue
+        low = lambda name, t=t: [p.lower().strip() for p in t.get(name, ()) if p.strip()]
+        rows.append((t["id"], t["name"], low("seed_phrases") or [t["name"].lower()], low("negative_phrases"), *(list(t.get(f"related_{k}_ids", [])) for k in ("entity", "aspect", "issue")), t.get("main_path_policy") == "domain_primary", bool(t.get("issue_centric"))))
+    schema = "topic_key string, label string, phrases array<string>, negatives array<string>, entities array<string>, aspects array<string>, issues array<string>, primary boolean, issue_centric boolean"
+    return spark.createDataFrame(rows, schema)
+
+
+def assignments(docs: DataFrame, topics: DataFrame, likeness: DataFrame | None = None) -> DataFrame:
+    """(mention_id, topic_key, score): every topic of every document that reaches the threshold.
+
+    ``docs`` has mention_id and text, and the labels entities, aspects and issues if there; ``likeness`` (mention_id, topic_key,
+    semantic) that of their vectors.  A topic is scored by its seed phrases in the text, likeness, and labels that it names; phrases that
+    speak against it and a lone issue cost.  Topics are an ontology's; they are met in blocks of ``TOPICS_AT_ONCE``, each small enough to be
+    broadcast."""
+    none = F.array().cast("array<string>")
+    own = {k: F.coalesce(F.col(k).cast("array<string>"), none) if k in docs.columns else none for k in ("entities", "aspects", "issues")}
+    rows = docs.select("mention_id", F.lower(F.trim("text")).alias("text"), *(c.alias(f"own_{k}") for k, c in own.items())).where("text <> ''")
+    place = topics.withColumn("__block", F.floor((F.row_number().over(Window.orderBy("topic_key")) - 1) / TOPICS_AT_ONCE))
+    place = settle(place, "prototypes")
+    met: DataFrame | None = None
+    for block in range(-(-place.count() // TOPICS_AT_ONCE)):
+        part = rows.crossJoin(F.broadcast(place.where(F.col("__block") == block)))
+        met = part if met is None else met.unionByName(part)
+    if met is None:
+        return rows.select("mention_id", F.lit("").alias("topic_key"), F.lit(0.0).alias("score")).where(F.lit(False))
+    here = lambda p: F.contains(F.col("text"), p)
+    hits = F.aggregate("phrases", F.lit(0.0), lambda acc, p: acc + F.when(here(p), F.when(F.contains(p, F.lit(" ")), 1.0).otherwise(0.65)).otherwise(0.0))
+    met = met.withColumn("hits", hits)
+    wanted = F.greatest(F.least(F.size("phrases"), F.lit(4)) * 0.65, F.lit(1.0))
+    met = met.withColumn("lexical", F.when(F.col("hits") > 0, F.least(F.col("hits") / wanted + 0.18, F.lit(1.0))).otherwise(0.0))
+    some = F.size("own_entities") + F.size("own_aspects") + F.size("own_issues") > 0
+    met = met.where((F.col("lexical") > 0) | some)
+    if likeness is not None:
+        met = met.join(likeness.select("mention_id", "topic_key", "semantic"), ["mention_id", "topic_key"], "left")
+    semantic = F.greatest(F.coalesce("semantic", F.lit(0.0)), F.lit(0.0)) if likeness is not None else F.lit(0.0)
+    on = lambda c, v: F.when(F.coalesce(c, F.lit(False)), v).otherwise(0.0)
+    entity, aspect, issue = (F.arrays_overlap(f"own_{k}", k) for k in ("entities", "aspects", "issues"))
+    lexical = F.col("lexical")
+    labelled = on(entity, ENTITY) + on(aspect, ASPECT) + on(issue, ISSUE)
+    primary = on(F.col("primary") & ((lexical >= 0.2) | (labelled > 0)), PRIMARY)
+    leak = on(F.coalesce(issue, F.lit(False)) & ~F.col("issue_centric") & ~F.coalesce(aspect, F.lit(False)) & ~F.coalesce(entity, F.lit(False)) & (lexical < 0.42), LEAK)
+    score = lexical * LEXICAL + semantic * SEMANTIC + labelled + primary - on(F.exists("negatives", here), NEGATIVE) - leak + on((lexical > 0) & (semantic > 0), BOTH) + on(lexical >= 0.45, CLEAR)
+    return met.select("mention_id", "topic_key", round_to(F.least(score, F.lit(MOST_SCORE))).alias("score")).where(F.col("score") >= LEAST_SCORE)
 
 
 def family(key: Column) -> Column:

@@ -74,10 +74,17 @@ query("flatten_props", "SELECT event_id, k AS field, json_extract_string(props,
 BRANDS = ("There Th", "Elle", "Keit Ein", "The Of", "Ción")
 
 
+#: Seed phrases of three topics, and a phrase against each.
+TOPICS = ((("the of", "that", "with it"), "qui"), (("de la", "les", "des", "sur", "dans le"), "the of"), (("der die", "und"), "nicht"))
+
+
 def demo_ontology() -> dict:
     """A small ontology over the invented languages of the test documents."""
     names = [{"id": f"brand.b{k}", "name": n, "entity_type": "brand", "aliases": [], "taxonomy_ids": []} for k, n in enumerate(BRANDS)]
-    seeds = [{"id": f"topic.t{k}", "name": f"T{k}", "seed_phrases": [p], "related_entity_ids": []} for k, p in enumerate(("the of", "de la", "der die"))]
+    seeds = [
+        {"id": f"topic.t{k}", "name": f"T{k}", "seed_phrases": list(p), "negative_phrases": [n], "related_entity_ids": [f"l{k}"], "related_aspect_ids": ["a1"], "related_issue_ids": ["i0"], "main_path_policy": "domain_primary" if k == 2 else "core"}
+        for k, (p, n) in enumerate(TOPICS)
+    ]
     out = {"domain_id": "demo", "entities": names, "topics": seeds}
     for name in ontology.LISTS:
         out.setdefault(name, [])
@@ -246,17 +253,28 @@ query(
 
 
 def tagged(s, d):
-    return docs(s, d).withColumn("entities", F.array().cast("array<string>"))
+    k = F.col("mention_id").cast("long")
+    one = lambda c, v: F.when(c, F.array(v)).otherwise(F.array().cast("array<string>"))
+    return docs(s, d).withColumns({"entities": one(k % 4 == 0, F.concat(F.lit("l"), (k % 3).cast("string"))), "aspects": one(k % 5 == 0, F.lit("a1")), "issues": one(k % 3 == 0, F.lit("i0"))})
 
 
-query(
-    "topic_assignment_best",
-    f"""+{DOCS}, p(topic_key, phrase) AS (VALUES ('topic.t0', 'the of'), ('topic.t1', 'de la'), ('topic.t2', 'der die')),
-    s AS (SELECT mention_id, topic_key, greatest(len(list_filter(list_distinct({TOKENS}), lambda z: list_contains(string_split(phrase, ' '), z)))::DOUBLE / 2, CASE WHEN contains(text, phrase) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 0.7::DOUBLE AS raw FROM docs, p),
-    r AS (SELECT mention_id, topic_key, floor(raw * 10000.0 + 0.5) / 10000.0 AS score FROM s)
-    SELECT mention_id, topic_key, score FROM r WHERE score >= 0.32 QUALIFY row_number() OVER (PARTITION BY mention_id ORDER BY score DESC, topic_key) = 1""",
-    "doc_mentions",
-)(lambda s, d: topics.best(topics.assignments(tagged(s, d), topics.prototypes(s, demo_ontology()))))
+def likeness(s, d):
+    k = F.col("mention_id").cast("long")
+    return docs(s, d).select("mention_id", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("t")).select("mention_id", F.concat(F.lit("topic.t"), F.col("t").cast("string")).alias("topic_key"), (((k + F.col("t")) % 5) / 10.0).alias("semantic"))
+
+
+SEEDS = ", ".join(f"('topic.t{k}', {k}, [{', '.join(repr(x_) for x_ in p)}], '{n}')" for k, (p, n) in enumerate(TOPICS))
+SCORED = f"""{DOCS}, p(topic_key, k, phrases, negative) AS (VALUES {SEEDS}), j AS (SELECT mention_id, topic_key, k, text, phrases, negative, CAST(mention_id AS BIGINT) AS m, ((CAST(mention_id AS BIGINT) + k) % 5)::DOUBLE / 10.0::DOUBLE AS semantic,
+    list_sum(list_transform(phrases, lambda z: CASE WHEN contains(text, z) THEN CASE WHEN contains(z, ' ') THEN 1.0::DOUBLE ELSE 0.65::DOUBLE END ELSE 0.0::DOUBLE END)) AS hits FROM docs, p WHERE text <> ''),
+    l AS (SELECT *, CASE WHEN hits > 0 THEN least(hits / greatest(least(len(phrases), 4) * 0.65::DOUBLE, 1.0::DOUBLE) + 0.18::DOUBLE, 1.0::DOUBLE) ELSE 0.0::DOUBLE END AS lexical, m % 4 = 0 AND m % 3 = k AS e, m % 5 = 0 AS a, m % 3 = 0 AS i FROM j),
+    s AS (SELECT mention_id, topic_key, lexical * 0.54::DOUBLE + semantic * 0.2::DOUBLE + (CASE WHEN e THEN 0.12::DOUBLE ELSE 0.0::DOUBLE END + CASE WHEN a THEN 0.08::DOUBLE ELSE 0.0::DOUBLE END + CASE WHEN i THEN 0.08::DOUBLE ELSE 0.0::DOUBLE END)
+        + CASE WHEN k = 2 AND (lexical >= 0.2 OR e OR a OR i) THEN 0.1::DOUBLE ELSE 0.0::DOUBLE END - CASE WHEN contains(text, negative) THEN 0.18::DOUBLE ELSE 0.0::DOUBLE END - CASE WHEN i AND NOT a AND NOT e AND lexical < 0.42 THEN 0.14::DOUBLE ELSE 0.0::DOUBLE END
+        + CASE WHEN lexical > 0 AND semantic > 0 THEN 0.08::DOUBLE ELSE 0.0::DOUBLE END + CASE WHEN lexical >= 0.45 THEN 0.08::DOUBLE ELSE 0.0::DOUBLE END AS raw FROM l WHERE lexical > 0 OR m % 4 = 0 OR a OR i),
+    r AS (SELECT mention_id, topic_key, floor(least(raw, 0.98::DOUBLE) * 10000.0 + 0.5) / 10000.0 AS score FROM s)"""
+query("topic_scores", f"+{SCORED} SELECT * FROM r WHERE score >= 0.32", "doc_mentions")(lambda s, d: topics.assignments(tagged(s, d), topics.prototypes(s, demo_ontology()), likeness(s, d)))
+query("topic_assignment_best", f"+{SCORED} SELECT mention_id, topic_key, score FROM r WHERE score >= 0.32 QUALIFY row_number() OVER (PARTITION BY mention_id ORDER BY score DESC, topic_key) = 1", "doc_mentions")(
+    lambda s, d: topics.best(topics.assignments(tagged(s, d), topics.prototypes(s, demo_ontology()), likeness(s, d)))
+)
 
 
 def snapshots(s, d):

@@ -77,8 +77,11 @@ def facts(spark: SparkSession, mentions: DataFrame, onto: dict, settings: Settin
     parts = settle(semantics.segments(anchors), "segments")
     inherited = semantics.inherited_targets(targets, threads.lineage(mentions))
     mood = semantics.target_sentiment(anchors, parts, inherited)
-    issue = semantics.corroborate(semantics.issues(anchors, parts, settings.cues), mentions, "text")
-    tagged = mentions.join(targets.groupBy("mention_id").agg(F.collect_set("target_key").alias("entities")), "mention_id", "left").select("mention_id", "text", "entities")
+    issue = settle(semantics.corroborate(semantics.issues(anchors, parts, settings.cues), mentions, "text"), "issue_facts")
+    aspect = settle(semantics.aspects(anchors, parts), "aspect_facts")
+    tagged = mentions.select("mention_id", "text")
+    for table, column, name in ((targets, "target_key", "entities"), (aspect, "aspect", "aspects"), (issue, "issue_category", "issues")):
+        tagged = tagged.join(table.groupBy("mention_id").agg(F.collect_set(column).alias(name)), "mention_id", "left")
     topic = settle(topics.best(topics.assignments(tagged, topics.prototypes(spark, onto))), "topic_facts")
     artifact = topics.stability(topics.artifacts(topic, topics.top_terms(topic, tagged), mentions), previous_topics)
     artifact = settle(artifact, "topic_artifacts")
@@ -90,7 +93,7 @@ def facts(spark: SparkSession, mentions: DataFrame, onto: dict, settings: Settin
         "fact_dedup_clusters": mentions.where("dedup_cluster_id is not null").groupBy("dedup_cluster_id", "dedup_kind", "dedup_representative_id").agg(F.count(F.lit(1)).alias("cluster_size")),
         "fact_topics": topic.join(artifact.select("topic_key", "reporting_status"), "topic_key"),
         "fact_topic_artifacts": artifact,
-        "fact_aspects": semantics.aspects(anchors, parts),
+        "fact_aspects": aspect,
         "fact_sentiment": semantics.mention_sentiment(parts),
         "fact_target_sentiment": mood,
         "fact_intents": mentions.select("mention_id", rules.intent(F.col("raw_text"), F.col("normalized")).alias("r")).select("mention_id", F.col("r.label").alias("intent"), F.col("r.confidence").alias("confidence")),
