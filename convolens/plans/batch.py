@@ -288,10 +288,16 @@ def snapshots(s, d):
     return out
 
 
-# quality and signature of languages as topics: terms by rank, how few topics share them, and spread over authors.
-query("topic_artifacts")(lambda s, d: snapshots(s, d)[0].select("topic_key", "topic_size", "authors", "quality_score", "reporting_status", "signature"))
 TERMS = """terms AS (SELECT {k} AS topic_key, list(term ORDER BY n DESC, term) AS terms, any_value(size) AS topic_size FROM (SELECT {k}, term, count(*) AS n, any_value(size) AS size, row_number() OVER (PARTITION BY {k} ORDER BY count(*) DESC, term) AS place
     FROM (SELECT {k}, mention_id, unnest(list_distinct({t})) AS term, count(DISTINCT mention_id) OVER (PARTITION BY {k}) AS size FROM docs) WHERE length(term) > 2 GROUP BY {k}, term) WHERE place <= 8 GROUP BY {k})"""
+query(
+    "topic_artifacts",
+    f"""+{DOCS}, {TERMS.format(k='language', t=TOKENS).replace('terms AS (', 'now AS (', 1)}, e AS (SELECT topic_key, unnest(terms) AS term FROM now), shared AS (SELECT term, count(*)::DOUBLE AS n FROM e GROUP BY term),
+    own AS (SELECT topic_key, avg(1.0::DOUBLE / n) AS distinctness FROM e JOIN shared USING (term) GROUP BY topic_key), size AS (SELECT language AS topic_key, count(DISTINCT mention_id) AS topic_size, count(DISTINCT author_id) AS authors FROM docs GROUP BY language)
+    SELECT topic_key, topic_size, authors, floor((0.4::DOUBLE * least(topic_size / 10.0::DOUBLE, 1.0::DOUBLE) + 0.3::DOUBLE * distinctness + 0.3::DOUBLE * (authors::DOUBLE / topic_size::DOUBLE)) * 10000.0 + 0.5) / 10000.0 AS quality_score,
+    CASE WHEN topic_size < 3 THEN 'weak' WHEN distinctness < 0.25 THEN 'noisy' ELSE 'reportable' END AS reporting_status, left(sha256(array_to_string(list_sort(terms), '|')), 16) AS signature FROM size JOIN now USING (topic_key) JOIN own USING (topic_key)""".replace("any_value(size) AS topic_size", "any_value(size) AS size_"),
+    "doc_mentions",
+)(lambda s, d: snapshots(s, d)[0].select("topic_key", "topic_size", "authors", "quality_score", "reporting_status", "signature"))
 query(
     "topic_stability_best_match",
     f"""+{DOCS}, {TERMS.format(k='language', t=TOKENS).replace('terms AS (', 'now AS (', 1)}, {TERMS.format(k='author_id', t=TOKENS).replace('terms AS (', 'was AS (', 1)},
@@ -335,7 +341,8 @@ query(
     alive AS (SELECT * FROM d WHERE NOT EXISTS (SELECT 1 FROM d n WHERE n.supersedes = d.decision_id AND (n.created_at, n.decision_id) > (d.created_at, d.decision_id)))
     SELECT signature, scope_id, decision_id FROM (SELECT *, row_number() OVER (PARTITION BY signature, scope_id ORDER BY created_at DESC, decision_id DESC) AS place FROM alive) WHERE place = 1 AND action <> 'terminate'""",
 )(lambda s, d: review.in_force(decisions(s, d)).select("signature", "scope_id", "decision_id"))
-query("hashtags")(lambda s, d: a.doc_mentions(s, d).select("mention_id", F.size(x.hashtags(F.col("raw_text"))).alias("tags"), F.size(x.emojis(F.col("raw_text"))).alias("emoji_runs")))
+EMOJI = "[" + "".join(f"{chr(lo)}-{chr(hi)}" for lo, hi in ((0x1F300, 0x1F5FF), (0x1F600, 0x1F64F), (0x1F680, 0x1F6FF), (0x1F700, 0x1F77F), (0x1F900, 0x1F9FF), (0x1FA70, 0x1FAFF))) + "]+"
+query("hashtags", rf"SELECT mention_id, len(list_distinct(list_transform(regexp_extract_all(raw_text, '#([\p{{L}}\p{{N}}_-]+)', 1), lambda z: lower(z))))::INTEGER AS tags, len(regexp_extract_all(raw_text, '{EMOJI}'))::INTEGER AS emoji_runs FROM doc_mentions", "doc_mentions")(lambda s, d: a.doc_mentions(s, d).select("mention_id", F.size(x.hashtags(F.col("raw_text"))).alias("tags"), F.size(x.emojis(F.col("raw_text"))).alias("emoji_runs")))
 
 
 #: Hits with what makes a link sure, made of their numbers.
