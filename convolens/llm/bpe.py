@@ -25,10 +25,12 @@ from .shared import texts as _texts
 
 #: Bytes, as estimated, that a worker's tables of encodings may hold before they are emptied, and entries of the table of
 #: token pairs.
-MEMO_BYTES = 64_000_000
+MEMO_BYTES = 192_000_000
 PAIRS_LIMIT = 400_000
 #: Characters of text encoded together; ids and decoded texts of more than these are never held at once.
 PORTION = 1_000_000
+#: Bytes of a table's slot, its key and tuple without what they hold; a key has up to four bytes a character, a tuple eight an id.
+_ENTRY = 200
 #: Never a byte of a piece, so matches end at it.
 _GAP = "Ā"
 _BEGIN = -2
@@ -41,11 +43,6 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-def _entry_bytes(key: str, n: int) -> int:
-    """What a table entry takes: its slot, its key of up to four bytes a character, and a tuple of n."""
-    return 200 + 4 * len(key) + 8 * n
-
-
 class ByteBpe:
     """Encoder and decoder for a byte-level BPE ``tokenizer.json`` (see the module text)."""
 
@@ -145,7 +142,7 @@ class ByteBpe:
                 elif before == _BEGIN:
                     last[end] = token
         memo, id_of, widths = self._memo, self.id_of, self._widths
-        at = len(line) - 1
+        at, held = len(line) - 1, 0
         for piece in reversed(pieces):
             out: list[int] = []
             while (token := last[at]) >= 0:
@@ -153,7 +150,8 @@ class ByteBpe:
                 at -= widths[token]
             at -= 1
             memo[piece] = tuple(out[::-1])
-            self._memo_bytes += _entry_bytes(piece, len(out))
+            held += _ENTRY + 4 * len(piece) + 8 * len(out)
+        self._memo_bytes += held
 
     def _of_pieces(self, pieces: list[str]) -> list[int]:
         memo = self._memo
@@ -171,9 +169,11 @@ class ByteBpe:
         memo = self._memo
         if new := [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in memo]:
             self._learn(new)
+        held = 0
         for s, pieces in zip(missing, cut, strict=True):
             ids = known[s] = memo[pieces[0]] if len(pieces) == 1 else tuple(chain.from_iterable(map(memo.__getitem__, pieces)))
-            self._segment_bytes += _entry_bytes(s, len(ids))
+            held += _ENTRY + 4 * len(s) + 8 * len(ids)
+        self._segment_bytes += held
 
     def _plain(self, text: str) -> list[int]:
         """Ids of a text without special tokens.
