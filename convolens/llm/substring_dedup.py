@@ -25,25 +25,17 @@ CELL_BYTES = 4 << 20
 LEAST_CELLS = 128
 #: An estimate above this means that Spark knows no size; the rows are written once to get one.
 UNKNOWN_BYTES = 1 << 60
-#: Different words whose hashes a worker remembers.
-WORDS_KEPT = 1_000_000
 
 _A, _B = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _NO_ID = (1 << 63) - 1
 _WIRE = "to long, kind int, cell long, one binary, two binary, three binary, four binary"
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_words = _WordHashes()
+#: Bytes of text whose words are hashed together.
+PORTION = 1 << 20
+#: Odd numbers: the base of word hashes and its inverse modulo 2^64.
+_R = 0xD1342543DE82EF95
+_R_INVERSE = pow(_R, -1, 1 << 64)
 
 
 def _mix(h):
@@ -53,45 +45,106 @@ def _mix(h):
     return h ^ (h >> np.uint64(32))
 
 
-def _rolling(w, base: int, width: int):
-    """Polynomial hash of every ``width`` consecutive values."""
+def _at(w, places, base: int, width: int):
+    """Polynomial hash of the ``width`` values from each place on."""
     import numpy as np
 
-    n = len(w) - width + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    out = w[:n].copy()
+    out = w[places]
     for k in range(1, width):
         out *= np.uint64(base)
-        out += w[k : k + n]
+        out += w[places + k]
     return out
 
 
+def _powers(base: int, n: int):
+    import numpy as np
+
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+class _Words:
+    """64-bit hashes of words, for many texts at once: sums of byte values times powers of the base, taken between a word's borders and
+    divided by the power at its start."""
+
+    def __init__(self):
+        import numpy as np
+
+        self.space = np.zeros(256, bool)
+        self.space[[9, 10, 11, 12, 13, 32]] = True
+        self.value = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_A))
+        self.up, self.down = _powers(_R, PORTION + 2), _powers(_R_INVERSE, PORTION + 2)
+
+    def of(self, raw: bytes):
+        """(hashes, places of the first bytes) of the words of ``raw``, which begins and ends with white space."""
+        import numpy as np
+
+        bytes_ = np.frombuffer(raw, np.uint8)
+        n = len(bytes_)
+        if n > len(self.up):
+            self.up, self.down = _powers(_R, n), _powers(_R_INVERSE, n)
+        space = self.space[bytes_]
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+        start, stop = edge[::2], edge[1::2]
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.value[bytes_] * self.up[:n], out=total[1:])
+        h = (total[stop] - total[start]) * self.down[start]
+        return _mix(h ^ ((stop - start).astype(np.uint64) * np.uint64(_B))), start
+
+
+def _portions(texts: list[bytes]):
+    """(first text, bytes with white space around each text, where each text begins) of about ``PORTION`` bytes, one text at least."""
+    at = 0
+    while at < len(texts):
+        size, stop = 0, at
+        while stop < len(texts) and (stop == at or size + len(texts[stop]) < PORTION):
+            size += len(texts[stop]) + 1
+            stop += 1
+        yield at, b" " + b" ".join(texts[at:stop]) + b" "
+        at = stop
+
+
 class _Cell:
-    """Word hashes of a cell's documents and where each starts."""
+    """Word hashes of a cell's documents, one after another, and where each document's begin."""
 
     def __init__(self, table, window: int, block: int):
         import numpy as np
 
         self.window, self.block = window, block
         self.ids = [(_NO_ID if x is None else x) for x in table.column("doc_id").to_pylist()]
-        self.words = [t.as_py().encode().split() for t in table.column("text")]
-        self.grams: list = []
-        self.hashes: list = []
-        look = _words.__getitem__
-        for words in self.words:
-            w = np.fromiter(map(look, words), np.uint64, len(words)) if len(words) >= window else np.empty(0, np.uint64)
-            self.hashes.append(w)
-            self.grams.append(_rolling(w, _A, block))
+        self.texts = [t.as_py().encode() for t in table.column("text")]
+        maker = _Words()
+        hashes, counts = [np.empty(0, np.uint64)], np.zeros(len(self.texts), np.int64)
+        for first, raw in _portions(self.texts):
+            h, start = maker.of(raw)
+            hashes.append(h)
+            sizes = []
+            size = 0
+            while size < len(raw) - 1:
+                sizes.append(len(self.texts[first + len(sizes)]))
+                size += sizes[-1] + 1
+            begins = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64) + 1)])
+            counts[first : first + len(sizes)] = np.diff(np.searchsorted(start, begins + 1))
+        self.w = np.concatenate(hashes)
+        self.counts = counts
+        self.begin = np.concatenate([[0], np.cumsum(counts)])
+        self.doc = np.repeat(np.arange(len(counts)), counts)
+        self.place = np.arange(len(self.w)) - self.begin[self.doc] if len(self.w) else np.empty(0, np.int64)
+        left = counts[self.doc] - self.place if len(self.w) else self.place
+        #: Words from which a block and a window begin inside one document that is long enough for a window.
+        self.blocks = np.flatnonzero((left >= block) & (counts[self.doc] >= window)) if len(self.w) else self.place
+        self.windows = np.flatnonzero(left >= window)
+        self.gram = _at(self.w, self.blocks, _A, block)
 
     def probes(self):
         """(hash, is in the grid, occurs twice or more here) of the different rolling windows."""
         import numpy as np
 
-        if not any(map(len, self.grams)):
+        if not len(self.blocks):
             return np.empty(0, np.uint64), np.empty(0, bool), np.empty(0, bool)
-        h = _mix(np.concatenate(self.grams))
-        grid = np.concatenate([np.arange(len(g)) % self.block == 0 for g in self.grams])
+        h = _mix(self.gram)
+        grid = self.place[self.blocks] % self.block == 0
         order = np.argsort(h)
         h, grid = h[order], grid[order]
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
@@ -102,27 +155,16 @@ class _Cell:
         """Windows around the hits, as arrays (document's index, start, two hashes, is the cell's first of its words), sorted by hash."""
         import numpy as np
 
-        docs, starts, ones, twos = [], [], [], []
+        total = np.zeros(len(self.w) + 2, np.int64)
+        total[self.blocks + 1] = _member(_mix(self.gram), hits)
+        np.cumsum(total, out=total)
         span = self.window - self.block
-        for k, (w, g) in enumerate(zip(self.hashes, self.grams, strict=True)):
-            if not len(g):
-                continue
-            found = _member(_mix(g), hits)
-            if not found.any():
-                continue
-            total = np.concatenate([[0], np.cumsum(found)])
-            n = len(w) - self.window + 1
-            at = np.flatnonzero(total[span + 1 : span + 1 + n] > total[:n])
-            if len(at):
-                low, high = at[0], at[-1] + self.window
-                docs.append(np.full(len(at), k))
-                starts.append(at)
-                ones.append(_mix(_rolling(w[low:high], _A, self.window)[at - low]))
-                twos.append(_mix(_rolling(w[low:high], _B, self.window)[at - low]))
-        if not docs:
+        at = self.windows[total[self.windows + span + 1] > total[self.windows]]
+        if not len(at):
             none = np.empty(0, np.int64)
             return none, none, none.astype(np.uint64), none.astype(np.uint64), none.astype(bool)
-        doc, start, one, two = map(np.concatenate, (docs, starts, ones, twos))
+        doc, start = self.doc[at], self.place[at]
+        one, two = _mix(_at(self.w, at, _A, self.window)), _mix(_at(self.w, at, _B, self.window))
         ids = np.array(self.ids, np.int64)[doc]
         two = two >> np.uint64(32)  # 96 bits of hash tell windows apart
         order = np.lexsort((start, ids, two, one))
@@ -285,7 +327,8 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         doc, start = doc[drop][by], start[drop][by]
         edges = np.searchsorted(doc, np.arange(len(cell.ids) + 1))
         gone, kept, runs = [], [], []
-        for k, words in enumerate(cell.words):
+        for k, text in enumerate(cell.texts):
+            words = text.split()
             at = start[edges[k] : edges[k + 1]]
             if not len(at):
                 gone.append(0)
@@ -302,7 +345,7 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
             runs.append([{"start": s, "stop": e} for s, e in zip(turn[::2], turn[1::2], strict=True)])
         span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         return pa.Table.from_arrays(
-            [table.column("doc_id"), pa.array(map(len, cell.words), pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string()), pa.array(runs, span)],
+            [table.column("doc_id"), pa.array(cell.counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string()), pa.array(runs, span)],
             names=["doc_id", "n_words", "n_removed", "kept", "removed"],
         )
 
