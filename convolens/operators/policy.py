@@ -181,7 +181,10 @@ def export_reviews(rows: DataFrame, path: str) -> None:
     rows.select(*sorted(rows.columns)).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def import_decisions(spark: SparkSession, path: str, known: DataFrame, schema: str = "decision_id string, item_id string, group_id string, action string, created_at timestamp") -> DataFrame:
+DECISIONS = "decision_id string, item_id string, group_id string, action string, created_at timestamp"
+
+
+def import_decisions(spark: SparkSession, path: str, known: DataFrame, schema: str = DECISIONS) -> DataFrame:
     """``known`` with the decisions of JSON lines added; of one decision_id the latest stays, and lines without one or without an
     action are left out."""
     new = spark.read.schema(schema).json(path).where("decision_id is not null and action is not null")

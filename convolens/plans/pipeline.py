@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import time
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -11,6 +12,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import providers
 from ..functions import text as x
 from ..operators import dedup, entities, halves, language, metrics, ontology, reports, review, rules, semantics, spam, threads, topics, validation
 from ..sources import records
@@ -28,6 +30,23 @@ class Settings:
     strict: bool = True
     gate: language.Gate = field(default_factory=lambda: language.Gate("fr", "en", frozenset(language.HINTS["fr"]), frozenset(language.HINTS["en"]), frozenset(language.HINTS["de"]), "de", "èêéàçù"))
     cues: semantics.Cues = field(default_factory=semantics.Cues)
+    #: Names of registered enrichers; each adds a table fact_<name>.
+    enrichers: tuple[str, ...] = ()
+
+    @classmethod
+    def from_environment(cls, environment: dict[str, str] | None = None, prefix: str = "CONVOLENS_") -> Settings:
+        """Plain settings from variables such as CONVOLENS_WEIGHTING; what isn't named keeps its default."""
+        given = {k.removeprefix(prefix).lower(): v for k, v in (os.environ if environment is None else environment).items() if k.startswith(prefix)}
+        out = cls()
+        for name, value in given.items():
+            now = getattr(out, name, None)
+            if isinstance(now, bool):
+                setattr(out, name, value.strip().lower() in ("1", "true", "yes", "on"))
+            elif isinstance(now, str):
+                setattr(out, name, value)
+            elif isinstance(now, tuple):
+                setattr(out, name, tuple(x.strip() for x in value.split(",") if x.strip()))
+        return out
 
 
 class Timing:
@@ -164,6 +183,7 @@ def run(spark: SparkSession, source: str, ontology_path: str, out: str, settings
     with timing.stage("facts"):
         before = spark.read.parquet(previous_topics) if previous_topics else None
         tables = facts(spark, scored, onto, settings, before) | dimensions(spark, scored, onto)
+        tables |= {f"fact_{n.replace('-', '_')}": providers.make("enricher", n)(scored) for n in settings.enrichers}
         for key, column, known in (("fact_topics", "topic_key", [t["id"] for t in onto["topics"]]), ("fact_entity_mentions", "canonical_entity_id", [e["id"] for e in onto["entities"]])):
             if wrong := ontology.alignment_errors(tables[key], column, known).limit(5).collect():
                 raise ValueError(f"{key} names what the ontology lacks: {[r['label'] for r in wrong]}")

@@ -105,6 +105,41 @@ def test_copy_if_different(spark, tmp_path):
     assert records.copy_if_different(spark, str(tmp_path / "a.txt"), str(tmp_path / "b.txt")) and (tmp_path / "b.txt").read_text() == "x"
 
 
+def test_commands(spark, tmp_path, capsys, monkeypatch):
+    import json
+
+    from convolens import cli
+
+    monkeypatch.setattr(cli, "session", lambda *a: spark)
+    store, out = f"file://{tmp_path}/store", f"file://{tmp_path}/in"
+    assert cli.main(["db-current", store]) == 0 and cli.main(["db-upgrade", store]) == 0
+    said = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert said == [{"version": 0, "ready": False}, {"applied": [1, 2], "version": 2}]
+    spark.sql("select 'd1' decision_id, 'i1' item_id, cast(null as string) group_id, 'accept' action, timestamp '2024-01-01' created_at").write.json(out)
+    assert cli.main(["import-decisions", store, out]) == 0 and cli.main(["export-reviews", store, f"file://{tmp_path}/copy"]) == 0
+    assert [r.action for r in spark.read.json(f"file://{tmp_path}/copy/decisions").collect()] == ["accept"]
+    assert cli.main(["inspect-runtime"]) == 0 and json.loads(capsys.readouterr().out)["providers"]["encoder"] == ["hashed-ngrams"]
+
+
+def test_providers_and_settings(spark):
+    from convolens import providers
+    from convolens.plans.pipeline import Settings
+
+    encode = providers.make("encoder", "hashed-ngrams", dimensions=16)
+    assert len(encode(["x"])[0]) == 16 and providers.names("enricher") == []
+    providers.register("enricher", "lengths", lambda: lambda mentions: mentions.select("mention_id", F.length("text").alias("n")))
+    df = spark.createDataFrame([("a", "the cat and that of this")], "mention_id string, text string")
+    assert providers.make("enricher", "lengths")(df).first().n == 24
+    assert df.select(providers.make("language", "hints")(F.col("text")).alias("l")).first().l.language == "en"
+    for kind, name in (("encoder", "none"), ("planet", "x")):
+        with pytest.raises(ValueError):
+            providers.make(kind, name)
+    with pytest.raises(ValueError):
+        providers.register("planet", "x", dict)
+    s = Settings.from_environment({"CONVOLENS_WEIGHTING": "raw", "CONVOLENS_STRICT": "no", "CONVOLENS_ENRICHERS": "lengths, ", "CONVOLENS_NOBODY": "1", "OTHER": "x"})
+    assert (s.weighting, s.strict, s.enrichers) == ("raw", False, ("lengths",)) and Settings.from_environment({}) == Settings()
+
+
 def test_contracts():
     for table in (contracts.METRICS, contracts.REPORTS):
         for name, c in table.items():
