@@ -133,8 +133,10 @@ def document_frequency(mentions: DataFrame) -> DataFrame:
 def salient_terms(rows: DataFrame, group: str, top: int = 5) -> DataFrame:
     """(group, place, token, score): .7 specificity + .3 frequency of each group's tokens."""
     terms = rows.select(group, F.explode(tokens(F.col("text"))).alias("token")).groupBy(group, "token").agg(F.count(F.lit(1)).alias("n"))
-    everywhere, largest = Window.partitionBy("token"), Window.partitionBy(group)
-    score = 0.7 * (F.col("n") / F.sum("n").over(everywhere)) + 0.3 * (F.col("n") / F.max("n").over(largest))
-    scored = terms.withColumn("score", score)
+    # Sums by aggregation; only the ranking is a window, and its limit holds before rows move.
+    whole = terms.groupBy("token").agg(F.sum("n").alias("everywhere"))
+    largest = terms.groupBy(group).agg(F.max("n").alias("largest"))
+    score = 0.7 * (F.col("n") / F.col("everywhere")) + 0.3 * (F.col("n") / F.col("largest"))
+    scored = terms.join(whole, "token").join(largest, group).withColumn("score", score)
     ranked = scored.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(F.desc("score"), F.desc("n"), "token")))
     return ranked.where(F.col("place") <= top).select(group, "place", "token", "score")

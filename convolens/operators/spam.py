@@ -60,9 +60,13 @@ def mention_features(mentions: DataFrame) -> DataFrame:
 
 def burstiness(mentions: DataFrame) -> DataFrame:
     """(author_id, burstiness_score): most mentions in any trailing hour over all dated ones; 0 for fewer than two."""
-    rows = mentions.where("posted_at is not null").select("author_id", "posted_at")
-    hour = Window.partitionBy("author_id").orderBy(F.unix_micros(F.col("posted_at").cast("timestamp"))).rangeBetween(-60_000_000 * WINDOW_MINUTES, 0)
-    best = rows.select("author_id", F.count(F.lit(1)).over(hour).alias("n")).groupBy("author_id").agg(F.max("n").alias("best"), F.count(F.lit(1)).alias("total"))
+    width = 60_000_000 * WINDOW_MINUTES
+    rows = mentions.where("posted_at is not null").select("author_id", F.unix_micros(F.col("posted_at").cast("timestamp")).alias("at"))
+    # A mention counts for those of its own stretch of time and of the next one, so an author is sorted by stretches, not as a whole.
+    both = rows.select("author_id", "at", F.explode(F.array(F.lit(0), F.lit(1))).alias("later")).withColumn("stretch", F.floor(F.col("at") / width) + F.col("later"))
+    trailing = Window.partitionBy("author_id", "stretch").orderBy("at").rangeBetween(-width, 0)
+    counted = both.withColumn("n", F.count(F.lit(1)).over(trailing)).where("later = 0")
+    best = counted.groupBy("author_id").agg(F.max("n").alias("best"), F.count(F.lit(1)).alias("total"))
     return best.select("author_id", F.when(F.col("total") < 2, 0.0).otherwise(round_to(F.col("best") / F.col("total"))).alias("burstiness_score"))
 
 

@@ -35,24 +35,23 @@ def roots(posts: DataFrame) -> DataFrame:
     return rows.groupBy("root_id").agg(F.min_by("mention_id", order).alias("resolved_root_id"))
 
 
-def lineage(posts: DataFrame, max_depth: int = 1 << 16) -> DataFrame:
-    """(mention_id, ancestor_id, distance) for all ancestors, ids of parents missing from the table included.
+def lineage(posts: DataFrame) -> DataFrame:
+    """(mention_id, ancestor_id, distance) for all ancestors, each at its least distance, ids of parents missing from the table included.
 
-    Distances double each round, so depth d takes log2(d) joins; a cycle of parents ends at ``max_depth``."""
-    step = posts.where("parent_id is not null").select("mention_id", F.col("parent_id").alias("ancestor_id"), F.lit(1).alias("distance"))
-    found = settle(step.distinct(), "lineage")
+    Distances double each round, so depth d takes log2(d) joins.  It ends when a round finds no new ancestor, which a cycle of parents
+    comes to as well; no mention is its own ancestor."""
+    step = posts.where("parent_id is not null and parent_id <> mention_id").groupBy("mention_id", F.col("parent_id").alias("ancestor_id")).agg(F.lit(1).alias("distance"))
+    found = settle(step, "lineage")
     reach = 1
-    while reach < max_depth:
+    while True:
         far = found.where(F.col("distance") == reach).select("mention_id", F.col("ancestor_id").alias("mid"))
         near = found.select(F.col("mention_id").alias("mid"), F.col("ancestor_id"), F.col("distance").alias("d"))
-        new = far.join(near, "mid").select("mention_id", "ancestor_id", (F.col("d") + reach).alias("distance"))
-        # A mention that is its own ancestor closes a cycle; its chain stops there.
-        new = settle(new.where("ancestor_id <> mention_id"), "lineage")
+        new = far.join(near, "mid").where("ancestor_id <> mention_id").groupBy("mention_id", "ancestor_id").agg((F.min("d") + reach).alias("distance"))
+        new = settle(new.join(found, ["mention_id", "ancestor_id"], "left_anti"), "lineage")
         if new.isEmpty():
             return found
-        found = settle(found.unionByName(new).distinct(), "lineage")
+        found = settle(found.unionByName(new), "lineage")
         reach *= 2
-    return found
 
 
 def neighbours(posts: DataFrame) -> DataFrame:
