@@ -130,7 +130,17 @@ def anchored(s, d):
     return semantics.anchors(a.doc_mentions(s, d), None, CUES)
 
 
-query("anchored_text")(lambda s, d: anchored(s, d))
+CUE_ROWS = ", ".join(f"('{kind}', '{label}', '{cue}', {score}::DOUBLE)" for kind, label, cue, score in CUES.table())
+query(
+    "anchored_text",
+    rf"""+q(kind, label, cue, score) AS (VALUES {CUE_ROWS}), w AS (SELECT mention_id, unnest(string_split_regex(lower(raw_text), '[^\p{{L}}\p{{N}}_]+')) AS w FROM doc_mentions)
+    SELECT mention_id, kind, label, score, count(*) AS n FROM w JOIN q ON w = cue GROUP BY ALL""",
+    "doc_mentions",
+)(lambda s, d: anchored(s, d).where("kind <> 'segment'").groupBy("mention_id", "kind", "label", "score").agg(F.count(F.lit(1)).alias("n")))
+CUT = r"regexp_replace({}, '(^|[^\p{{L}}\p{{N}}_])(?i:but|et)([^\p{{L}}\p{{N}}_]|$)', '\1' || chr(1) || '\2', 'g')"
+query("mention_segments", rf"+p AS (SELECT mention_id, unnest(string_split_regex({CUT.format(CUT.format('raw_text'))}, '[,.!?;\n|*\x01]+')) AS part FROM doc_mentions) SELECT mention_id, count(*) AS segments, sum(length(trim(part, ' ,')))::BIGINT AS chars FROM p WHERE trim(part, ' ,') <> '' GROUP BY mention_id", "doc_mentions")(
+    lambda s, d: anchored(s, d).where("kind = 'segment'").groupBy("mention_id").agg(F.count(F.lit(1)).alias("segments"), F.sum(F.col("stop") - F.col("start")).cast("long").alias("chars"))
+)
 #: Events as anchors: twelve to a mention, in three segments, of every kind.
 KINDS = ("polarity", "negation", "aspect", "issue", "target", "polarity", "uncertainty", "polarity", "comparison", "polarity", "hearsay", "escalation", "first_person")
 ANCHORS = f"""e AS (SELECT (event_id // 12)::VARCHAR AS mention_id, ((event_id // 4) % 3)::INTEGER AS segment, ([{', '.join(repr(k) for k in KINDS)}])[event_id % {len(KINDS)} + 1] AS kind, user_id, event_id, ((event_id * 37) % 60)::INTEGER AS start FROM events),
