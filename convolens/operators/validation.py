@@ -219,6 +219,19 @@ def notes(profile: DataFrame, total: int) -> list[str]:
     return out
 
 
+def markdown(report_row: dict, by_type: DataFrame, profile: DataFrame) -> str:
+    """The validation report to read: totals, records by type, remarks, and the fields with how often they are there.  A batch has some
+    dozens of fields."""
+    cell = lambda x: str(x).replace("|", "\\|").replace("\n", " ")
+    out = ["# Validation report", "", *(f"- {name.replace('_', ' ')}: {value}" for name, value in report_row.items())]
+    out += ["", "## Records by type", "", "| type | records |", "|---|---|", *(f"| {cell(r['value'])} | {r['count']} |" for r in by_type.orderBy("value").collect())]
+    if remarks := notes(profile, report_row["total_records"]):
+        out += ["", "## Remarks", "", *(f"- {x}" for x in remarks)]
+    out += ["", "## Fields", "", "| field | present | missing | examples |", "|---|---|---|---|"]
+    out += [f"| {cell(r['field'])} | {r['present_count']} | {r['missing_count']} | {cell(r['example_values'])} |" for r in profile.orderBy("field").toLocalIterator()]
+    return "\n".join(out) + "\n"
+
+
 def mentions(rows: DataFrame) -> DataFrame:
     """Valid records as mentions."""
     c, e, h, i = "content", "engagement", "hierarchy", "identity"

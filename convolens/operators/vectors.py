@@ -134,3 +134,15 @@ def embed(texts: DataFrame, cache: DataFrame | None = None, encoder: Callable[[l
     new = settle(distinct.mapInArrow(run, "text_hash string, vector array<double>").select(F.lit(model).alias("model"), "text_hash", "vector"), "encoded")
     known = new if cache is None else cache.where(F.col("model") == model).select("model", "text_hash", "vector").unionByName(new)
     return rows.join(settle(known, "known_vectors").select("text_hash", "vector"), "text_hash").select("id", "vector"), new
+
+
+def embed_stored(texts: DataFrame, path: str, encoder: Callable[[list[str]], list[list[float]]] | None = None, model: str = "hashed-ngrams") -> DataFrame:
+    """(id, vector) of all rows through a stored cache (model, text_hash, vector, added_at): texts that it lacks are encoded once and
+    appended, the others cost a join."""
+    spark = texts.sparkSession
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    schema = "model string, text_hash string, vector array<double>, added_at timestamp"
+    known = spark.read.schema(schema).parquet(path).drop("added_at") if there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there) else None
+    vectors, new = embed(texts, known, encoder, model)
+    new.withColumn("added_at", F.current_timestamp()).write.mode("append").parquet(path)
+    return vectors

@@ -32,6 +32,8 @@ class Settings:
     cues: semantics.Cues = field(default_factory=semantics.Cues)
     #: Names of registered enrichers; each adds a table fact_<name>.
     enrichers: tuple[str, ...] = ()
+    #: Folder where topics of every run are kept, and those of the last one found; none keeps and finds nothing.
+    state_dir: str = ""
 
     @classmethod
     def from_environment(cls, environment: dict[str, str] | None = None, prefix: str = "CONVOLENS_") -> Settings:
@@ -174,6 +176,8 @@ def run(spark: SparkSession, source: str, ontology_path: str, out: str, settings
         checked = settle(validation.validated(lines, settings.strict), "checked")
         report = validation.report(checked).first().asDict()
         records.write_tables({"invalid": validation.error_items(checked), "field_profile": validation.field_profile(lines)}, f"{out}/bronze_checks")
+        profile = spark.read.parquet(f"{out}/bronze_checks/field_profile")
+        records.write_text_if_changed(spark, f"{out}/bronze_checks/report.md", validation.markdown(report, validation.counts(checked, "uap_type", valid_only=True), profile))
     with timing.stage("normalize"):
         rows = settle(normalize(validation.mentions(checked).dropDuplicates(["mention_id"]), settings), "normalized")
         kept = rows.where("language_supported") if settings.require_supported_language else rows
@@ -182,6 +186,8 @@ def run(spark: SparkSession, source: str, ontology_path: str, out: str, settings
         scored = settle(spam.annotate(spam.mention_features(unique)), "quality")
     with timing.stage("facts"):
         before = spark.read.parquet(previous_topics) if previous_topics else None
+        if before is None and settings.state_dir:
+            before = records.latest_snapshot(spark, f"{settings.state_dir}/topics", name)
         tables = facts(spark, scored, onto, settings, before) | dimensions(spark, scored, onto)
         tables |= {f"fact_{n.replace('-', '_')}": providers.make("enricher", n)(scored) for n in settings.enrichers}
         for key, column, known in (("fact_topics", "topic_key", [t["id"] for t in onto["topics"]]), ("fact_entity_mentions", "canonical_entity_id", [e["id"] for e in onto["entities"]])):
@@ -189,6 +195,8 @@ def run(spark: SparkSession, source: str, ontology_path: str, out: str, settings
                 raise ValueError(f"{key} names what the ontology lacks: {[r['label'] for r in wrong]}")
         paths = records.write_tables(tables, f"{out}/marts")
         tables = {k: spark.read.parquet(p) for k, p in paths.items()}
+        if settings.state_dir:
+            records.save_snapshot(tables["fact_topic_artifacts"], f"{settings.state_dir}/topics", name)
     with timing.stage("review"):
         labels = tables["fact_intents"].join(scored.select("mention_id", "raw_text"), "mention_id").select("mention_id", F.lit("intent").alias("kind"), F.col("raw_text").alias("text"), F.col("intent").alias("label"), "confidence")
         open_items = review.queue(tables["fact_entity_mentions"].withColumn("target_text", F.col("text")).withColumn("confidence", F.col("link_confidence")), labels)

@@ -83,8 +83,7 @@ def read_zip(spark: SparkSession, path: str) -> DataFrame:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 with zipfile.ZipFile(io.BytesIO(data.as_py())) as archive:
                     for member in sorted(archive.namelist()):
-                        base = PurePosixPath(member).name
-                        if member.startswith("__MACOSX") or base.startswith("._") or not base.endswith(".jsonl"):
+                        if not _wanted(member):
                             continue
                         yield from _chunks(_numbered(f"{name}!{member}", archive.read(member), "utf-8-sig"))
 
@@ -101,6 +100,24 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return read_jsonl(spark, path).unionByName(read_zip(spark, path))
 
 
+def _wanted(member: str) -> bool:
+    base = PurePosixPath(member).name
+    return base.endswith(".jsonl") and not member.startswith("__MACOSX") and not base.startswith("._")
+
+
+def _members(spark: SparkSession, fs, hadoop) -> list[str]:
+    """Names of an archive's .jsonl members, sorted; only headers are kept while it is read through."""
+    stream = spark._jvm.java.util.zip.ZipInputStream(fs.open(hadoop))
+    names = []
+    try:
+        while (entry := stream.getNextEntry()) is not None:
+            if _wanted(entry.getName()):
+                names.append(entry.getName())
+    finally:
+        stream.close()
+    return sorted(names)
+
+
 def inspect(spark: SparkSession, path: str, sample: int = 12) -> dict:
     """Kind, number of entries, the first entries by name, and warnings."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -109,6 +126,9 @@ def inspect(spark: SparkSession, path: str, sample: int = 12) -> dict:
         return {"kind": "missing", "entries": 0, "first": [], "warnings": [f"no such path: {path}"]}
     if fs.getFileStatus(hadoop).isFile():
         kind = "zip" if path.endswith(".zip") else "jsonl" if path.endswith(".jsonl") else "other"
+        if kind == "zip":
+            members = _members(spark, fs, hadoop)
+            return {"kind": kind, "entries": len(members), "first": members[:sample], "warnings": [] if members else ["no .jsonl members"]}
         return {"kind": kind, "entries": 1, "first": [PurePosixPath(path).name], "warnings": [] if kind != "other" else ["not a .jsonl or .zip file"]}
     names, walk = [], fs.listFiles(hadoop, True)
     while walk.hasNext():
@@ -134,6 +154,26 @@ def write_tables(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet"
     return out
 
 
+def save_snapshot(rows: DataFrame, folder: str, run: str) -> str:
+    """Keep a table of one run beside those of earlier runs."""
+    path = f"{folder.rstrip('/')}/{run}"
+    rows.write.mode("overwrite").parquet(path)
+    return path
+
+
+def latest_snapshot(spark: SparkSession, folder: str, before: str | None = None) -> DataFrame | None:
+    """The table of the last run in ``folder``, or of the last one before ``before``; None without one.  Run ids sort by time, and a run
+    that did not finish writing doesn't count."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop):
+        return None
+    runs = [x.getPath() for x in fs.listStatus(hadoop) if x.isDirectory()]
+    done = sorted(p.getName() for p in runs if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+    done = [n for n in done if before is None or n < before]
+    return spark.read.parquet(f"{folder.rstrip('/')}/{done[-1]}") if done else None
+
+
 def register_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> None:
     """Views of stored tables, for spark.sql."""
     for name, path in paths.items():

@@ -99,6 +99,35 @@ def test_blended_language(spark):
     assert got[0] == ("fr", 0.9) and got[1] == ("de", 0.6912) and got[2] == ("unknown", 0.0) and got[3] == ("mixed", 0.55) and got[4] == ("unknown", 0.0)
 
 
+def test_snapshots_cache_and_archives(spark, tmp_path):
+    import zipfile
+
+    from convolens.operators import validation, vectors
+
+    folder = f"file://{tmp_path}/topics"
+    assert records.latest_snapshot(spark, folder) is None
+    for run in ("run-1", "run-2"):
+        records.save_snapshot(spark.createDataFrame([(run,)], "name string"), folder, run)
+    assert records.latest_snapshot(spark, folder).first().name == "run-2" and records.latest_snapshot(spark, folder, "run-2").first().name == "run-1"
+    calls = spark.sparkContext.accumulator(0)
+
+    def encode(texts):
+        calls.add(len(texts))
+        return [[float(len(t))] for t in texts]
+
+    for rows in ([(1, "a"), (2, "bb"), (3, "a")], [(4, "bb"), (5, "ccc")]):
+        got = {r.id: r.vector for r in vectors.embed_stored(spark.createDataFrame(rows, "id long, text string"), f"file://{tmp_path}/cache", encode, "m").collect()}
+        assert got == {i: [float(len(t))] for i, t in rows}
+    assert calls.value == 3
+    with zipfile.ZipFile(tmp_path / "b.zip", "w") as z:
+        for name in ("x/b.jsonl", "a.jsonl", "__MACOSX/x/._b.jsonl", "notes.txt"):
+            z.writestr(name, "{}")
+    assert records.inspect(spark, str(tmp_path / "b.zip")) == {"kind": "zip", "entries": 2, "first": ["a.jsonl", "x/b.jsonl"], "warnings": []}
+    profile = spark.createDataFrame([("content.language", 0, 2, ""), ("a.b", 2, 0, "x|y")], "field string, present_count long, missing_count long, example_values string")
+    text = validation.markdown({"total_records": 2, "valid_records": 1, "invalid_records": 1}, spark.createDataFrame([("POST", 1)], "value string, count long"), profile)
+    assert "- valid records: 1" in text and "| POST | 1 |" in text and "| a.b | 2 | 0 | x\\|y |" in text and "No record names its language" in text
+
+
 def test_copy_if_different(spark, tmp_path):
     (tmp_path / "a.txt").write_text("x")
     assert not records.copy_if_different(spark, str(tmp_path / "a.txt"), f"file://{tmp_path}/a.txt")
