@@ -24,8 +24,8 @@ from .shared import fewer_collections
 from .shared import texts as _texts
 
 #: Bytes, as estimated, that a worker's tables of encodings may hold before they are emptied, and entries of the table of
-#: token pairs.
-MEMO_BYTES = 192_000_000
+#: token pairs.  Fewer bytes cost time where the vocabulary is large.
+MEMO_BYTES = 400_000_000
 PAIRS_LIMIT = 400_000
 #: Characters of text encoded together; ids and decoded texts of more than these are never held at once.
 PORTION = 1_000_000
@@ -91,6 +91,7 @@ class ByteBpe:
         self._memo: dict[str, tuple[int, ...]] = {}
         self._segments: dict[str, tuple[int, ...]] = {}
         self._memo_bytes = self._segment_bytes = 0
+        self.memo_bytes = MEMO_BYTES
 
     def _self_encoding(self, k: int) -> bool:
         left, right = self.parts[k]
@@ -199,7 +200,7 @@ class ByteBpe:
     def encode(self, text: str) -> list[int]:
         """Ids of the whole text; strings of added tokens become those tokens, as the library does."""
         # Tables are only emptied between texts, so that what one text has learned stays until it is done.
-        if self._memo_bytes + self._segment_bytes > MEMO_BYTES:
+        if self._memo_bytes + self._segment_bytes > self.memo_bytes:
             self._memo.clear()
             self._segments.clear()
             self._memo_bytes = self._segment_bytes = 0
@@ -256,17 +257,19 @@ def byte_bpe(path: str) -> ByteBpe:
     return _loaded[path]
 
 
-def encode_documents(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", decode: bool = True) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", decode: bool = True, memo_bytes: int = MEMO_BYTES) -> DataFrame:
     """(doc_id long, ids array<int>, decoded string) of every row of ``docs``.
 
     Null texts count as empty: no ids, empty decoded text.  Every input row gives one row, repeated rows and null
-    ids included; other columns are ignored.  Lone surrogates can't occur in Spark strings.
+    ids included; other columns are ignored.  Lone surrogates can't occur in Spark strings.  ``memo_bytes`` bounds what a worker
+    remembers.
     """
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         bpe = byte_bpe(path)
+        bpe.memo_bytes = memo_bytes
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
         for batch in portions(batches):
             flat, edges, decoded = array("i"), [0], []
