@@ -72,9 +72,11 @@ def count_tokens(docs: DataFrame, path: str, cache_path: str, *, id_col: str = "
     stored = read_cache(spark, cache_path).where(F.col("tokenizer_digest") == tokenizer)
 
     sized = rows.select("doc_id", "content_digest", F.octet_length("text").cast("long").alias("n_bytes"))
-    lacking = settle(sized.select("content_digest").distinct().join(stored, "content_digest", "left_anti"), "lacking")
-    # Equal digests are equal texts, so whichever comes first is the one.
-    misses = rows.join(lacking, "content_digest", "left_semi").groupBy("content_digest").agg(F.first("text").alias("text"))
+    # One row stands for each digest; joined by digest and id, copies of a text don't meet in one task.
+    standing = sized.groupBy("content_digest").agg(F.min("doc_id").alias("standing"))
+    lacking = settle(standing.join(stored, "content_digest", "left_anti").withColumnRenamed("content_digest", "digest"), "lacking")
+    misses = rows.join(lacking, (F.col("content_digest") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("standing")))
+    misses = misses.groupBy("content_digest", "standing").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
