@@ -69,6 +69,40 @@ def segment(text: str, contrast: tuple[str, ...] = Cues().contrast) -> list[tupl
     return out
 
 
+def _finder(rows: list[tuple[str, str, str, float]]):
+    """A function that gives (kind, label, score, start, stop) of all cues in a text as whole words, whatever the case: one run of an
+    automaton over all cues.  Places of one cue don't overlap."""
+    import ahocorasick
+
+    automaton = ahocorasick.Automaton()
+    by_cue: dict[str, list] = {}
+    for kind, label, cue, score in rows:
+        by_cue.setdefault(cue.lower(), []).append((kind, label, score))
+    for cue, meant in by_cue.items():
+        if cue:
+            automaton.add_word(cue, (len(cue), cue, meant))
+    automaton.make_automaton()
+    inside = lambda c: c.isalnum() or c == "_"
+
+    def find(text: str):
+        # Letter by letter, so that places stay those of the text.
+        low = text.lower()
+        if len(low) != len(text):
+            low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+        free: dict[str, int] = {}
+        if not by_cue:
+            return
+        for end, (size, cue, meant) in automaton.iter(low):
+            start, stop = end - size + 1, end + 1
+            if start < free.get(cue, 0) or (start and inside(low[start - 1])) or (stop < len(low) and inside(low[stop])):
+                continue
+            free[cue] = stop
+            for kind, label, score in meant:
+                yield kind, label, score, start, stop
+
+    return find
+
+
 def anchors(mentions: DataFrame, targets: DataFrame | None = None, cues: Cues | None = None) -> DataFrame:
     """(mention_id, segment, kind, label, score, start, stop): every cue, each segment itself (kind ``segment``, label
     ``contrast``/``question``/both/empty), and mentions of targets (mention_id, target_text, target_key)."""
@@ -83,15 +117,14 @@ def anchors(mentions: DataFrame, targets: DataFrame | None = None, cues: Cues |
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        patterns = [(kind, label, re.compile(rf"(?<!\w){re.escape(cue)}(?!\w)", re.I), score) for kind, label, cue, score in cues.table()]
+        found_by = _finder([(kind, label, cue, score) for kind, label, cue, score in cues.table()])
         schema = pa.schema([("mention_id", pa.string()), ("segment", pa.int32()), ("kind", pa.string()), ("label", pa.string()), ("score", pa.float64()), ("start", pa.int32()), ("stop", pa.int32())])
         for batch in batches:
             out = []
             for key, text, named in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for n, (start, stop, part, contrast, question) in enumerate(segment(text, cues.contrast)):
                     out.append((key, n, "segment", " ".join(filter(None, ("contrast" if contrast else "", "question" if question else ""))), 0.0, start, stop))
-                    for kind, label, pattern, score in patterns:
-                        out.extend((key, n, kind, label, score, start + m.start(), start + m.end()) for m in pattern.finditer(part))
+                    out.extend((key, n, kind, label, score, start + x, start + y) for kind, label, score, x, y in found_by(part))
                     for t in named or ():
                         if t["target_text"]:
                             found = re.finditer(rf"(?<!\w){re.escape(t['target_text'])}(?!\w)", part, re.I)
