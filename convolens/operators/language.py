@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.numbers import round_to
-from ..functions.text import W, tokens
+from ..functions.text import W, squeeze, tokens
 
 # Code-point ranges of scripts, in the order they are tried.
 SCRIPTS = {"ja": ("3040", "30FF"), "zh": ("4E00", "9FFF"), "ko": ("AC00", "D7AF"), "ru": ("0400", "04FF"), "ar": ("0600", "06FF"), "hi": ("0900", "097F"), "th": ("0E00", "0E7F")}
@@ -26,6 +26,31 @@ HINTS = {
 }
 
 
+# Words that hint at a language, and letters that only Vietnamese writes among these.
+LATIN_HINTS = {
+    "en": ("and", "are", "bad", "but", "charging", "for", "good", "link", "not", "review", "slow", "that", "the", "this", "with"),
+    "vi": ("ban", "bác", "cho", "của", "cua", "đẹp", "dep", "khong", "la", "may", "nha", "nhe", "thoi", "vay", "voi", "xe", "vậy", "nhé", "thôi", "máy", "không", "mà"),
+    "es": ("con", "de", "el", "esta", "muy", "para", "pero", "que", "una", "y"),
+    "fr": ("avec", "ce", "dans", "des", "est", "mais", "pas", "pour", "que", "une"),
+    "de": ("aber", "das", "dem", "die", "gut", "mit", "nicht", "und"),
+    "pt": ("com", "esta", "mais", "muito", "nao", "para", "por", "que", "uma", "voce"),
+    "id": ("banget", "dan", "dengan", "ini", "itu", "tidak", "untuk", "yang"),
+}
+VI_MARKERS = "đăâêôơư"
+# Vocabularies of the gate between Vietnamese and English, Indonesian told apart.
+VI_WORDS = (
+    "ai", "anh", "bác", "ban", "bạn", "cham", "chua", "cho", "co", "của", "cua", "da", "được", "giao", "khong", "không", "là", "la", "mấy", "mình", "này", "nha", "nhé", "nhanh", "nhung", "nay", "roi", "rồi", "sao", "tang", "thu",
+    "thế", "thì", "và", "vậy", "ve", "với", "xe",
+)
+EN_WORDS = (
+    "all", "and", "are", "back", "battery", "beats", "but", "charging", "cleaner", "day", "design", "drop", "for", "feed", "good", "issue", "is", "last", "launch", "looks", "matte", "most", "my", "nice", "price", "quality", "routine",
+    "service", "slow", "soft", "still", "support", "the", "than", "this", "tints", "with",
+)
+ID_WORDS = ("ada", "aja", "banget", "bagus", "dan", "dengan", "ini", "itu", "kerja", "mau", "nya", "pabrik", "produk", "sangat", "tidak", "untuk", "yang")
+EN_SHORT = ("flashsale", "delivery", "battery", "charging", "launch", "support")
+VI_MARKS = "ăâđêôơưàáạảãầấậẩẫằắặẳẵèéẹẻẽềếệểễìíịỉĩòóọỏõồốộổỗờớợởỡùúụủũừứựửữỳýỵỷỹ"
+
+
 def canonical_label(c: Column) -> Column:
     """A language label's primary part in lower case; old codes mapped, missing is unknown."""
     clean = F.translate(F.regexp_replace(F.lower(F.trim(c)), "^__label__", ""), "_", "-")
@@ -68,6 +93,25 @@ def hint_scores(c: Column, hints: dict[str, tuple[str, ...]] | None = None) -> d
     return {lang: round_to(F.least(count(values) / n, F.lit(0.96))) for lang, values in (hints or HINTS).items()}
 
 
+def heuristic_scores(c: Column) -> dict[str, Column]:
+    """Score of each language, 0 for none: share of hinting words (a little more for Vietnamese beside letters beyond ASCII), at least .52 for
+    Vietnamese where a letter of its own stands, and .55 to .98 by the share of letters of a language's own script."""
+    t = tokens(squeeze(F.lower(F.regexp_replace(c, rf"[^{W}\s]", " "))))
+    n = F.greatest(F.size(t), F.lit(1))
+    one_of = lambda words: lambda x: x.isin(*words)
+    out = {}
+    for lang, words in LATIN_HINTS.items():
+        hits = F.size(F.filter(t, one_of(words)))
+        bonus = F.when(c.rlike(r"[^\x00-\x7f]"), 0.12).otherwise(0.0) if lang == "vi" else F.lit(0.0)
+        out[lang] = F.when(hits > 0, round_to(F.least(hits / n + bonus, F.lit(0.96)))).otherwise(0.0)
+    out["vi"] = F.when(F.lower(c).rlike(f"[{VI_MARKERS}]"), F.greatest(out["vi"], F.lit(0.52))).otherwise(out["vi"])
+    counts = script_counts(c)
+    total = sum(counts.values(), F.lit(0))
+    for lang, count in counts.items():
+        out[lang] = F.when(count > 0, round_to(F.least(0.55 + round_to(count / F.greatest(total, F.lit(1))) * 0.4, F.lit(0.98)))).otherwise(0.0)
+    return out
+
+
 def best_hint(c: Column, hints: dict[str, tuple[str, ...]] | None = None, mixed_confidence: float = 0.55, mixed_gap: float = 0.12) -> Column:
     """struct<language, confidence>: the best hint, ``mixed`` when two are strong and close, else unknown."""
     scores = hint_scores(c, hints)
@@ -135,6 +179,10 @@ class Gate:
         )
 
 
+#: The gate between Vietnamese and English.
+VI_EN = Gate("vi", "en", frozenset(VI_WORDS), frozenset(EN_WORDS), frozenset(ID_WORDS), "id", VI_MARKS, short_forms=frozenset(EN_SHORT))
+
+
 def quality_flags(raw: Column, normalized: Column, compact: Column, url_count: Column, emoji_count: Column, supported: Column) -> Column:
     """Sorted flags of a text."""
     t = F.filter(tokens(compact), lambda x: ~x.isin("url", "mention"))

@@ -23,21 +23,60 @@ STRONG, WEAK, LEAST_WEIGHT = 0.35, 0.15, 0.35
 MODES = ("escalation_signal", "hearsay_or_rumor", "question_or_uncertainty", "comparison_based_critique", "direct_complaint", "direct_observation")
 
 
+# Cues in Vietnamese, with and without accents, and English.
+POLARITY = {
+    "good": 0.7, "great": 0.9, "love": 1.0, "nice": 0.7, "smooth": 0.75, "đẹp": 0.75, "dep": 0.75, "ổn": 0.65, "on": 0.65, "ok": 0.55, "xịn": 0.85, "xin": 0.85, "nhanh": 0.7,
+    "bad": -0.7, "hate": -1.0, "slow": -0.8, "lag": -0.85, "delay": -0.75, "confusing": -0.65, "chậm": -0.8, "cham": -0.8, "kém": -0.75, "kem": -0.75, "tệ": -0.85, "te": -0.85, "lỗi": -0.85, "loi": -0.85, "khó": -0.65, "kho": -0.65,
+    "đắt": -0.65, "dat": -0.65,
+}
+ASPECTS = {
+    "price": ("price", "giá", "gia", "đắt", "dat", "rẻ", "re", "value", "cost"),
+    "quality": ("quality", "chất lượng", "chat luong", "build", "finish", "texture"),
+    "design": ("design", "thiết kế", "thiet ke", "look", "style", "đẹp", "dep", "mã"),
+    "performance": ("performance", "hiệu năng", "hieu nang", "lag", "slow", "nhanh", "chậm", "cham"),
+    "durability": ("durable", "durability", "bền", "ben", "wear", "broken"),
+    "availability": ("stock", "available", "availability", "hết hàng", "het hang", "sold out"),
+    "customer_service": ("service", "support", "cskh", "bảo hành", "bao hanh", "refund"),
+    "delivery": ("delivery", "ship", "shipping", "giao", "arrive", "delay", "trễ", "tre"),
+    "trust": ("trust", "fake", "uy tín", "uy tin", "scam", "legit"),
+    "safety": ("safety", "safe", "an toàn", "an toan", "unsafe", "danger"),
+    "battery": ("battery", "pin"),
+    "charging": ("charging", "charge", "sạc", "sac"),
+    "usability": ("easy", "hard to use", "khó dùng", "kho dung", "confusing", "usability"),
+}
+ISSUES = {
+    "product_defect": ("defect", "broken", "lỗi", "loi", "hỏng", "hong", "fail"),
+    "performance_problem": ("lag", "slow", "chậm", "cham", "freeze", "crash", "nóng", "nong"),
+    "service_problem": ("service", "support", "bảo hành", "bao hanh", "refund"),
+    "delivery_problem": ("delivery", "ship", "delay", "trễ", "tre", "giao"),
+    "trust_concern": ("fake", "scam", "lừa", "lua", "suspicious", "trust"),
+    "safety_concern": ("unsafe", "danger", "nguy hiểm", "nguy hiem", "cháy", "chay"),
+    "compliance_concern": ("policy", "compliance", "ban", "legal", "regulation"),
+    "pricing_value_concern": ("overpriced", "expensive", "đắt", "dat", "pricey", "value"),
+    "usability_problem": ("hard to use", "confusing", "khó dùng", "kho dung", "buggy flow"),
+    "availability_problem": ("sold out", "hết hàng", "het hang", "unavailable", "backorder"),
+}
+ASPECT_ISSUE = {
+    "price": "pricing_value_concern", "quality": "product_defect", "performance": "performance_problem", "durability": "product_defect", "availability": "availability_problem", "customer_service": "service_problem",
+    "delivery": "delivery_problem", "trust": "trust_concern", "safety": "safety_concern", "battery": "performance_problem", "charging": "performance_problem", "usability": "usability_problem",
+}
+
+
 @dataclass(frozen=True)
 class Cues:
-    """Words that anchors are made of; the defaults are English, a deployment passes its own."""
-
-    polarity: dict[str, float] = field(default_factory=lambda: {"good": 0.7, "great": 0.9, "love": 1.0, "nice": 0.7, "fast": 0.7, "bad": -0.7, "hate": -1.0, "slow": -0.8, "late": -0.75, "broken": -0.85, "expensive": -0.65, "terrible": -0.95})
-    aspects: dict[str, tuple[str, ...]] = field(default_factory=lambda: {"price": ("price", "expensive", "cheap"), "delivery": ("delivery", "shipping"), "service": ("service", "support")})
-    issues: dict[str, tuple[str, ...]] = field(default_factory=lambda: {"product_defect": ("broken", "defect"), "delivery_problem": ("late", "delayed"), "safety_concern": ("unsafe", "danger"), "pricing_value_concern": ("overpriced",)})
-    aspect_issue: dict[str, str] = field(default_factory=lambda: {"price": "pricing_value_concern", "delivery": "delivery_problem"})
-    negation: tuple[str, ...] = ("not", "never", "no")
-    uncertainty: tuple[str, ...] = ("maybe", "perhaps", "seems")
-    comparison: tuple[str, ...] = ("better", "worse", "than")
-    hearsay: tuple[str, ...] = ("apparently", "rumor", "people say")
-    escalation: tuple[str, ...] = ("report", "refund", "never again", "urgent")
-    first_person: tuple[str, ...] = ("i", "my", "me", "we")
-    contrast: tuple[str, ...] = ("but", "however", "though", "although")
+    """Words that anchors are made of; a deployment may pass its own."""
+
+    polarity: dict[str, float] = field(default_factory=lambda: dict(POLARITY))
+    aspects: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(ASPECTS))
+    issues: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(ISSUES))
+    aspect_issue: dict[str, str] = field(default_factory=lambda: dict(ASPECT_ISSUE))
+    negation: tuple[str, ...] = ("không", "khong", "not", "never", "chưa", "chua", "chẳng", "chang")
+    uncertainty: tuple[str, ...] = ("có ai", "co ai", "hình như", "hinh nhu", "maybe", "perhaps", "seems", "có vẻ", "co ve")
+    comparison: tuple[str, ...] = ("hơn", "hon", "better", "worse", "than", "compared")
+    hearsay: tuple[str, ...] = ("nghe nói", "nghe noi", "đồn", "don", "apparently", "people say", "rumor")
+    escalation: tuple[str, ...] = ("report", "refund", "never again", "quá tệ", "qua te", "gấp", "urgent", "danger")
+    first_person: tuple[str, ...] = ("mình", "minh", "tôi", "toi", "em", "i", "my", "me")
+    contrast: tuple[str, ...] = ("nhung", "nhưng", "but", "however", "though", "although", "tuy nhien", "tuy nhiên", "con", "còn", "ma", "mà")
 
     def table(self) -> list[tuple[str, str, str, float]]:
         """(kind, label, cue, score)."""

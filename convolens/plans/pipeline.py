@@ -28,7 +28,7 @@ class Settings:
     require_supported_language: bool = False
     #: A line that is no JSON object ends the run; otherwise it counts as an invalid record.
     strict: bool = True
-    gate: language.Gate = field(default_factory=lambda: language.Gate("fr", "en", frozenset(language.HINTS["fr"]), frozenset(language.HINTS["en"]), frozenset(language.HINTS["de"]), "de", "èêéàçù"))
+    gate: language.Gate = field(default_factory=lambda: language.VI_EN)
     cues: semantics.Cues = field(default_factory=semantics.Cues)
     #: Names of registered enrichers; each adds a table fact_<name>.
     enrichers: tuple[str, ...] = ()

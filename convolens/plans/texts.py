@@ -72,6 +72,22 @@ ODD = "".join(rf"\x{{{low}}}-\x{{{high}}}" for low, high in language.UNSUPPORTED
 query("unsupported_script_share", f"+{SCRIPTED} SELECT mention_id, CASE WHEN length({LETTERS}) > 0 THEN length(regexp_replace({LETTERS}, '[^{ODD}]', '', 'g'))::DOUBLE / length({LETTERS})::DOUBLE ELSE 0.0::DOUBLE END AS share FROM s", "doc_mentions")(
     lambda s, d: scripted(s, d).select("mention_id", language.unsupported_script_share(F.col("raw_text")).alias("share"))
 )
+CODED = r"list_filter(string_split(regexp_replace(lower(regexp_replace(raw_text, '[^\p{L}\p{N}_\s]', ' ', 'g')), '\s', ' ', 'g'), ' '), lambda z: z <> '')"
+
+
+def hinted_sql(lang: str) -> str:
+    hits = f"len(list_filter(t, lambda z: z IN ({', '.join(repr(w) for w in language.LATIN_HINTS[lang])})))"
+    bonus = " + CASE WHEN regexp_matches(raw_text, '[^\\x00-\\x7f]') THEN 0.12::DOUBLE ELSE 0.0::DOUBLE END" if lang == "vi" else ""
+    score = f"CASE WHEN {hits} > 0 THEN floor(least({hits}::DOUBLE / greatest(len(t), 1)::DOUBLE{bonus}, 0.96::DOUBLE) * 10000.0 + 0.5) / 10000.0 ELSE 0.0::DOUBLE END".replace("\\\\", "\\")
+    return f"CASE WHEN regexp_matches(lower(raw_text), '[{language.VI_MARKERS}]') THEN greatest({score}, 0.52::DOUBLE) ELSE {score} END" if lang == "vi" else score
+
+
+SCRIPT_SCORE = "CASE WHEN {n} > 0 THEN floor(least(0.55::DOUBLE + floor({n}::DOUBLE / ({total})::DOUBLE * 10000.0 + 0.5) / 10000.0 * 0.4::DOUBLE, 0.98::DOUBLE) * 10000.0 + 0.5) / 10000.0 ELSE 0.0::DOUBLE END"
+query(
+    "heuristic_language_scores",
+    f"+{SCRIPTED}, h AS (SELECT mention_id, raw_text, {CODED} AS t FROM s) SELECT mention_id, {', '.join(f'{hinted_sql(k)} AS {k}_' for k in language.LATIN_HINTS)}, {', '.join(f'{SCRIPT_SCORE.format(n=count_sql(*pair), total=TOTAL)} AS {k}_' for k, pair in language.SCRIPTS.items())} FROM h",
+    "doc_mentions",
+)(lambda s, d: scripted(s, d).select("mention_id", *(c.alias(f"{k}_") for k, c in language.heuristic_scores(F.col("raw_text")).items())))
 query(
     "canonical_labels",
     "SELECT p_partkey AS id, CASE p_size % 8 WHEN 0 THEN 'en' WHEN 1 THEN 'pt' WHEN 2 THEN 'ja' WHEN 3 THEN 'id' WHEN 4 THEN 'unknown' WHEN 5 THEN 'vi' WHEN 6 THEN 'mixed' ELSE 'unknown' END AS label FROM part",
