@@ -238,8 +238,8 @@ def mentions(rows: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     return rows.where("valid").select(
         F.col(f"{i}.uap_id").alias("mention_id"), F.col(f"{i}.uap_id").alias("source_uap_id"), f"{i}.origin_id", f"{i}.task_id", f"{i}.project_id", f"{i}.uap_type", f"{i}.platform", f"{i}.url",
-        f"{h}.parent_id", f"{h}.root_id", F.col(f"{h}.depth").cast("int").alias("depth"), F.col("author.id").alias("author_id"), "author.username", "author.follower_count",
-        F.col(f"{c}.text").alias("source_text"), f"{c}.title", F.col(f"{c}.language").alias("explicit_language"), F.coalesce(f"{c}.hashtags", none).alias("explicit_hashtags"),
+        f"{h}.parent_id", f"{h}.root_id", F.col(f"{h}.depth").cast("int").alias("depth"), F.col("author.id").alias("author_id"), "author.username", F.col("author.nickname").alias("author_nickname"), "author.is_verified", "author.account_type", "author.follower_count",
+        F.col(f"{i}.url").alias("source_url"), F.col(f"{c}.text").alias("source_text"), f"{c}.title", f"{c}.summary_title", f"{c}.is_shop_video", F.col(f"{c}.language").alias("explicit_language"), F.coalesce(f"{c}.hashtags", none).alias("explicit_hashtags"),
         F.coalesce(f"{c}.keywords", none).alias("keywords"), F.coalesce(f"{c}.links", none).alias("links"), *(F.col(f"{e}.{n}").alias(n) for n in (*COUNTS, "sort_score")),
-        F.try_to_timestamp("temporal.posted_at").alias("posted_at"),
+        *(F.try_to_timestamp(f"temporal.{n}").alias(n) for n in ("posted_at", "updated_at", "ingested_at")),
     )

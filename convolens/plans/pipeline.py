@@ -81,6 +81,11 @@ def normalize(mentions: DataFrame, settings: Settings) -> DataFrame:
     rows = rows.withColumn("language_guess", F.when(given, language.canonical_label(F.col("explicit_language"))).otherwise(hint["language"]))
     gate = settings.gate.decide(F.col("raw_text"), F.col("text"), F.col("language_guess"))
     rows = rows.withColumn("gate", gate).withColumns({"language": F.col("gate.language"), "language_supported": F.col("gate.supported"), "language_rejection_reason": F.col("gate.reason"), "language_source": F.when(given, "explicit").otherwise("inferred")}).drop("gate")
+    provider = F.when(given, "record").otherwise("heuristic")
+    rows = rows.withColumns({
+        "language_confidence": F.when(given, 1.0).otherwise(hint["confidence"]), "language_provider": provider, "language_provider_version": F.when(given, F.lit(None).cast("string")).otherwise("hints-v1"), "language_model_id": F.lit(None).cast("string"),
+        "mixed_language_uncertain": F.col("language") == "mixed",
+    })
     flags = language.quality_flags(F.col("raw_text"), F.col("normalized"), F.col("text"), F.size("urls"), F.size("emojis"), F.col("language_supported"))
     rows = rows.withColumn("text_quality_flags", flags)
     return rows.withColumns({
@@ -181,6 +186,9 @@ def run(spark: SparkSession, source: str, ontology_path: str, out: str, settings
     with timing.stage("normalize"):
         rows = settle(normalize(validation.mentions(checked).dropDuplicates(["mention_id"]), settings), "normalized")
         kept = rows.where("language_supported") if settings.require_supported_language else rows
+        seen = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("language_supported")).alias("unsupported")).first()
+        left_out = seen["unsupported"] if settings.require_supported_language else 0
+        filtered = {"normalized": seen["n"], "kept": seen["n"] - left_out, "filtered_out_records": left_out, "filtered_out_unsupported_language": left_out, "unsupported_language": seen["unsupported"]}
     with timing.stage("quality"):
         unique = settle(dedup.annotate(kept, settings.near_duplicates), "dedup")
         scored = settle(spam.annotate(spam.mention_features(unique)), "quality")
@@ -207,7 +215,7 @@ def run(spark: SparkSession, source: str, ontology_path: str, out: str, settings
         ranked = [spark.read.schema(built[k].schema).json(stored[k]) for k in ("sov_report", "buzz_topics", "emerging_topics", "top_issues", "thread_controversy", "creators")]
         records.write_tables({"insight_cards": reports.insight_cards(*ranked)}, f"{out}/reports", "json")
         records.write_tables(build_metrics(tables), f"{out}/metrics", "json")
-    manifest = {"run_id": name, "source": records.inspect(spark, source), "domain": onto["domain_id"], "ontology": ontology.fingerprint(ontology_path), "records": report, "weighting": settings.weighting, "seconds": timing.seconds, "marts": sorted(paths)}
+    manifest = {"run_id": name, "source": records.inspect(spark, source), "domain": onto["domain_id"], "ontology": ontology.fingerprint(ontology_path), "records": report, "filtered": filtered, "weighting": settings.weighting, "seconds": timing.seconds, "marts": sorted(paths)}
     records.write_text_if_changed(spark, f"{out}/manifest.json", json.dumps(manifest, indent=2, sort_keys=True))
     return manifest
 

@@ -108,6 +108,9 @@ def test_pipeline(spark, batch, tmp_path):
     out = str(tmp_path / "out")
     manifest = pipeline.run(spark, str(batch), ONTOLOGY, out)
     assert manifest["records"]["valid_records"] == 8 and len(manifest["marts"]) == 18
+    assert manifest["filtered"]["kept"] == manifest["filtered"]["normalized"] == 8 and manifest["filtered"]["filtered_out_records"] == 0
+    first = spark.read.parquet(f"{out}/marts/fact_mentions").where("mention_id = 'p1'").first()
+    assert (first.source_url, first.summary_title, first.language_provider, first.is_shop_video) == ("http://u", "st", "heuristic", None) and first.updated_at is None
     linked = {(r.mention_id, r.canonical_entity_id) for r in spark.read.parquet(f"{out}/marts/fact_entity_mentions").where("canonical_entity_id is not null").collect()}
     assert {("p1", "brand.acorn"), ("c1", "brand.birch"), ("p3", "product.acorn_x1")} <= linked
     kinds = {r.mention_id: r.dedup_kind for r in spark.read.parquet(f"{out}/marts/fact_mentions").collect()}
