@@ -14,6 +14,7 @@ from ..functions.numbers import round_to
 from ..functions.phrases import STOP_WORDS
 from ..functions.text import W, fuzzy_ratio, fuzzy_token_set, normalize_alias, tokens
 from ..tables import settle
+from . import entities
 
 # How discoveries and surfaces are told apart, and the thresholds and weights of the decision.
 LOW_PRECISION = ("context_span", "repeated_phrase", "title_span", "token_ngram")
@@ -335,6 +336,19 @@ def decide(candidates: DataFrame, aliases: DataFrame, noise: list[str] | None =
     )
 
 
+def link(mentions: DataFrame, aliases: DataFrame, noise: list[str] | None = None, repeated: bool = True) -> DataFrame:
+    """From mentions (mention_id, raw_text, and hashtags, title and context_text if there) to entity facts: candidates of every kind are
+    merged, given a type, and resolved by their signals."""
+    hits = settle(entities.alias_hits(mentions, aliases), "alias_hits")
+    phrases = entities.repeated_phrases(mentions, aliases, noise) if repeated else None
+    merged = entities.merge(entities.candidates(mentions, hits, None, phrases))
+    context = F.col("context_text") if "context_text" in mentions.columns else F.lit(None).cast("string")
+    rows = merged.join(mentions.select("mention_id", context.alias("context_text"), F.col("raw_text").alias("full_text")), "mention_id")
+    rows = settle(rows.withColumns({"normalized": normalize_alias(F.col("text")), "phrase_id": F.sha2(F.concat_ws("\x1f", "mention_id", "text"), 256)}), "untyped")
+    typed = settle(open_types(rows, aliases).withColumnRenamed("entity_type", "entity_type_hint").drop("phrase_id", "normalized"), "typed")
+    return entities.facts(decide(typed, aliases, noise))
+
+
 def overlapping(spans: DataFrame, by: str = "mention_id") -> DataFrame:
     """Pairs (``by``, left, right) of spans (``by``, span_id, start, stop) that share a character: left is the one that begins first
     (of the smaller id on ties).  Spans are met in buckets of their own length scale, so long texts give no all-pairs."""

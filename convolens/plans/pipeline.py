@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import providers
 from ..functions import text as x
-from ..operators import dedup, entities, halves, language, metrics, ontology, reports, review, rules, semantics, spam, threads, topics, validation
+from ..operators import dedup, entities, halves, language, linking, metrics, ontology, reports, review, rules, semantics, spam, threads, topics, validation
 from ..sources import records
 from ..tables import settle
 
@@ -97,7 +97,8 @@ def normalize(mentions: DataFrame, settings: Settings) -> DataFrame:
 def facts(spark: SparkSession, mentions: DataFrame, onto: dict, settings: Settings, previous_topics: DataFrame | None = None) -> dict[str, DataFrame]:
     """All fact tables from quality-scored mentions."""
     aliases = ontology.aliases(spark, onto)
-    entity = settle(entities.link(mentions, aliases, ontology.noise_terms(onto)), "entity_facts")
+    said = mentions.join(threads.contexts(mentions), "mention_id", "left").select("mention_id", "raw_text", "hashtags", "title", "context_text")
+    entity = settle(linking.link(said, aliases, ontology.noise_terms(onto)), "entity_facts")
     targets = entity.where("canonical_entity_id is not null or concept_entity_id is not null").select("mention_id", F.col("text").alias("target_text"), F.coalesce("canonical_entity_id", "concept_entity_id").alias("target_key"))
     anchors = settle(semantics.anchors(mentions, targets, settings.cues), "anchors")
     parts = settle(semantics.segments(anchors), "segments")
