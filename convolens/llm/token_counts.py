@@ -73,10 +73,12 @@ def count_tokens(docs: DataFrame, path: str, cache_path: str, *, id_col: str = "
 
     sized = rows.select("doc_id", "content_digest", F.octet_length("text").cast("long").alias("n_bytes"))
     # One row stands for each digest; joined by digest and id, copies of a text don't meet in one task.
-    standing = sized.groupBy("content_digest").agg(F.min("doc_id").alias("standing"))
-    lacking = settle(standing.join(stored, "content_digest", "left_anti").withColumnRenamed("content_digest", "digest"), "lacking")
-    misses = rows.join(lacking, (F.col("content_digest") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("standing")))
-    misses = misses.groupBy("content_digest", "standing").agg(F.first("text").alias("text"))
+    no_id = F.lit(-(1 << 63)).cast("long")
+    standing = sized.groupBy("content_digest").agg(F.coalesce(F.min("doc_id"), no_id).alias("standing"))
+    lacking = settle(standing.join(stored, "content_digest", "left_anti"), "lacking")
+    keyed = rows.select("content_digest", F.coalesce("doc_id", no_id).alias("standing"), "text")
+    # Rows that repeat are where the join has left them, so the texts move once.
+    misses = keyed.join(lacking, ["content_digest", "standing"]).groupBy("content_digest", "standing").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
