@@ -199,7 +199,9 @@ def ranked_by_prototypes(candidates: DataFrame, found: DataFrame, likeness: Data
 
     The score blends a verifier, which weighs agreement of the views, and the sum of all parts, .62 and .38."""
     none = F.lit(0.0)
-    rows = likeness.join(found.drop("entity_type", "entity_kind"), ["candidate_id", "canonical_entity_id"], "left").join(candidates.select("candidate_id", "entity_type_hint", "confidence", "methods", "specificity"), "candidate_id")
+    # Both sides grow with the candidates: a merge, as estimates from small files would have them broadcast through the driver.
+    mine = candidates.select("candidate_id", "entity_type_hint", "confidence", "methods", "specificity").hint("merge")
+    rows = likeness.join(found.drop("entity_type", "entity_kind").hint("merge"), ["candidate_id", "canonical_entity_id"], "left").join(mine, "candidate_id")
     rows = rows.withColumns({c: F.coalesce(c, none) for c in PROTOTYPE_WEIGHT} | {c: F.greatest(F.coalesce(c, none), none) for c in VIEW_WEIGHT})
     hint, entity = F.col("entity_type_hint"), F.col("entity_kind") == "entity"
     type_bonus = F.when(hint.isNull(), 0.0).when(hint == F.col("entity_type"), 0.14).otherwise(-0.16)

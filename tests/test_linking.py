@@ -1,5 +1,6 @@
 """Decisions of entity resolution on made-up candidates, and merged sources."""
 
+from convolens import plans
 from convolens.operators import linking
 
 ALIASES = [
@@ -36,3 +37,9 @@ def test_merge_sources(spark):
     spans = [("1", "X1", "x1", 11, 13, "product", 0.7, ["ner"]), ("1", "cafe", "cafe", 30, 34, None, 0.6, ["ner"]), ("1", "x1", "x1", 11, 13, "brand", 0.7, ["ner"]), ("2", "other", "other", 0, 5, None, 0.4, ["ner"])]
     got = {(r.mention_id, r.text): (r.start, r.confidence, r.methods) for r in linking.merge_sources(spark.createDataFrame(base, linking.MERGED), spark.createDataFrame(spans, linking.MERGED)).collect()}
     assert got == {("1", "acorn x1"): (5, 0.93, ["alias_scan", "ner"]), ("1", "cafe"): (30, 0.63, ["hashtag", "ner"]), ("1", "x1"): (11, 0.7, ["ner"]), ("2", "other"): (0, 0.4, ["ner"])}
+
+
+def test_prototype_ranking_sends_no_table_through_the_driver(spark, sf_dir):
+    plan = plans.QUERIES["prototype_ranking"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    assert "Broadcast" not in plan
