@@ -11,16 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import round_to
-from ..functions.text import jaccard, shingles, squeeze
+from ..functions.text import shingles, squeeze
 from ..tables import settle
 from .components import connected_components
 
 LEAST_LENGTH = 10
-PERMUTATIONS = 64
-BANDS = 16
 SIMILARITY = 0.82
-BUCKET_CAP = 256
-EXHAUSTIVE = 64
+#: Rows sampled to find common shingles, how often one of these is met there, and how many are told apart.
+SAMPLE, COMMON, MOST_COMMON = 20_000, 3, 50_000
+#: Shingles of a group of sets: a task holds those of two groups, 32 MB.
+TILE_SHINGLES = 2_000_000
 
 
 def fingerprint(text: Column) -> Column:
@@ -41,52 +41,103 @@ def exact_clusters(mentions: DataFrame) -> DataFrame:
     return out.where("cluster_size > 1").withColumn("cluster_id", F.concat(F.lit("exact:"), F.left("fingerprint", F.lit(16))))
 
 
-def _signatures(rows: DataFrame) -> DataFrame:
-    """(mention_id, band, key): hashes of each band of the min-wise signature of the shingle hashes."""
+def _common(sets: DataFrame) -> dict[int, int]:
+    """How often the most frequent shingles are met in a sample of bounded size.  They only order shingles; no pair hangs on them."""
+    grain = 1 << 20
+    some = sets.where(F.pmod(F.xxhash64("mention_id"), F.lit(grain)) < max(1, min(grain, grain * SAMPLE // max(sets.count(), 1))))
+    met = some.select(F.explode("hashes").alias("token")).groupBy("token").count().where(F.col("count") >= COMMON)
+    return {r[0]: r[1] for r in met.orderBy(F.desc("count"), "token").limit(MOST_COMMON).collect()}
+
+
+def _prefixes(sets: DataFrame, common: dict[int, int], least: float) -> DataFrame:
+    """(token, mention_id, n, at, before): the first n - ceil(least * n) + 1 shingles of each set, rare ones first, with the place
+    and the predecessor of each.  Two sets of a similarity of ``least`` have one of them in common."""
+    import numpy as np
+
+    names = np.array(sorted(common), np.int64)
+    counts = np.array([common[x] for x in names.tolist()], np.int64)
 
     def run(batches: Iterator) -> Iterator:
+        import math
+
+        import numpy as np
+        import pyarrow as pa
+
+        schema = pa.schema([("token", pa.int64()), ("mention_id", pa.string()), ("n", pa.int32()), ("at", pa.int32()), ("before", pa.int64())])
+        for batch in (whole.slice(k, 256) for whole in batches for k in range(0, whole.num_rows, 256)):
+            ids, sizes, prefixes, befores = batch.column(0).to_pylist(), [], [], []
+            for hashes in batch.column(1):
+                h = hashes.values.to_numpy(zero_copy_only=False)
+                if len(names):
+                    at = np.minimum(np.searchsorted(names, h), len(names) - 1)
+                    h = h[np.lexsort((h, np.where(names[at] == h, counts[at], 0)))]
+                sizes.append(len(h))
+                prefixes.append(h[: len(h) - math.ceil(least * len(h) - 1e-9) + 1])
+                befores.append(np.concatenate(([0], prefixes[-1][:-1])))
+            lengths = [len(x) for x in prefixes]
+            places = np.concatenate([np.arange(k, dtype=np.int32) for k in lengths])
+            columns = [pa.array(np.concatenate(prefixes)), pa.array(np.repeat(np.array(ids, object), lengths), pa.string()), pa.array(np.repeat(np.array(sizes, np.int32), lengths))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(places), pa.array(np.concatenate(befores), mask=places == 0)], schema=schema)
+
+    return sets.select("mention_id", "hashes").mapInArrow(run, "token long, mention_id string, n int, at int, before long")
+
+
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v, shared, united): sizes of the intersection and the union of the sets of each of ``pairs``.
+
+    Sets meet in tiles of two groups of ids, so a set moves once a tile and not once a pair."""
+    ends = pairs.select(F.col("u").alias("mention_id")).unionByName(pairs.select(F.col("v").alias("mention_id"))).distinct()
+    held = settle(sets.join(ends, "mention_id", "left_semi"), "compared_sets")
+    groups = 1 + (held.agg(F.sum(F.size("hashes"))).first()[0] or 0) // TILE_SHINGLES
+    group = lambda c: F.pmod(F.xxhash64(c), F.lit(groups))
+    tiled = pairs.select(group("u").alias("i"), group("v").alias("j"), "u", "v")
+    end = lambda c: tiled.select(F.col("i").alias("k"), F.col("j").alias("l"), F.col(c).alias("mention_id"))
+    needed = end("u").unionByName(end("v")).distinct().join(held, "mention_id").select("k", "l", "mention_id", "hashes")
+
+    def compare(some, own):
         import numpy as np
         import pyarrow as pa
 
-        masks = np.array([((k + 1) * 0x9E3779B97F4A7C15) & (1 << 64) - 1 for k in range(PERMUTATIONS)], np.uint64)
-        wide = PERMUTATIONS // BANDS
-        for batch in batches:
-            ids, bands, keys = [], [], []
-            for key, hashes in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                h = hashes.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                least = np.full(PERMUTATIONS, np.iinfo(np.uint64).max, np.uint64)
-                for at in range(0, len(h), 4096):
-                    np.minimum(least, (h[at : at + 4096, None] ^ masks[None, :]).min(axis=0), out=least)
-                for b in range(BANDS):
-                    ids.append(key)
-                    bands.append(b)
-                    keys.append(least[b * wide : (b + 1) * wide].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(bands, pa.int32()), pa.array(keys, pa.binary())], names=["mention_id", "band", "key"])
-
-    return rows.select("mention_id", F.transform("shingles", lambda s: F.xxhash64(s)).alias("hashes")).mapInArrow(run, "mention_id string, band int, key binary")
-
-
-def similar_pairs(mentions: DataFrame, cap: int = BUCKET_CAP, threshold: float = SIMILARITY) -> DataFrame:
-    """(left, right, similarity) with left < right of near texts that share a bucket; in one of more than ``cap`` mentions
-    each is only compared with the first.
-
-    Tables of at most EXHAUSTIVE mentions are compared pair by pair instead."""
-    rows = mentions.where(F.length("text") >= LEAST_LENGTH).select("mention_id", shingles(F.col("text")).alias("shingles")).where(F.size("shingles") > 0)
-    rows = settle(rows, "shingles")
-    if rows.limit(EXHAUSTIVE + 1).count() <= EXHAUSTIVE:
-        a, b = rows.select(F.col("mention_id").alias("left"), F.col("shingles").alias("x")), rows.select(F.col("mention_id").alias("right"), F.col("shingles").alias("y"))
-        pairs = a.join(b, F.col("left") < F.col("right"))
-    else:
-        bands = settle(_signatures(rows), "bands")
-        sizes = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("mention_id").alias("first")).where("n > 1")
-        held = settle(bands.join(settle(sizes, "buckets"), ["band", "key"]), "held")
-        small = held.where(F.col("n") <= cap).select("band", "key", "mention_id")
-        pairs = small.withColumnRenamed("mention_id", "left").join(small.withColumnRenamed("mention_id", "right"), ["band", "key"]).where("left < right").select("left", "right")
-        # A crowded bucket gives no all-pairs: everything in it meets its first mention.
-        crowded = held.where((F.col("n") > cap) & (F.col("mention_id") != F.col("first"))).select(F.col("first").alias("left"), F.col("mention_id").alias("right"))
-        pairs = pairs.unionByName(crowded).distinct()
-        pairs = pairs.join(rows.select(F.col("mention_id").alias("left"), F.col("shingles").alias("x")), "left").join(rows.select(F.col("mention_id").alias("right"), F.col("shingles").alias("y")), "right")
-    return pairs.select("left", "right", round_to(jaccard(F.col("x"), F.col("y"))).alias("similarity")).where(F.col("similarity") >= threshold)
+        lists = own["hashes"].combine_chunks()
+        lists = lists if isinstance(lists, pa.Array) else pa.concat_arrays(lists.chunks)
+        edges, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+        by = {key: values[edges[k] : edges[k + 1]] for k, key in enumerate(own["mention_id"].to_pylist())}
+        us, vs = some["u"].to_pylist(), some["v"].to_pylist()
+        shared = np.array([len(np.intersect1d(by[u], by[v], assume_unique=True)) for u, v in zip(us, vs, strict=True)], np.int64)
+        both = np.array([len(by[u]) + len(by[v]) for u, v in zip(us, vs, strict=True)], np.int64)
+        return pa.table({"u": pa.array(us, pa.string()), "v": pa.array(vs, pa.string()), "shared": shared, "united": both - shared})
+
+    return tiled.groupBy("i", "j").cogroup(needed.groupBy("k", "l")).applyInArrow(compare, "u string, v string, shared long, united long")
+
+
+def similar_pairs(mentions: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+    """(left, right, similarity) with left < right: all pairs of near texts.
+
+    Equal sets of shingles stand for one while sets are compared, and only sets that share a shingle of their prefixes and
+    whose sizes and places of that shingle allow the threshold are."""
+    rows = mentions.where((F.length("text") >= LEAST_LENGTH) & F.col("mention_id").isNotNull())
+    rows = rows.select("mention_id", F.array_sort(F.array_distinct(F.transform(shingles(F.col("text")), lambda s: F.xxhash64(s)))).alias("hashes"))
+    # Settled first, as a condition on a computed column would have it computed twice.
+    rows = settle(rows, "shingles").where(F.size("hashes") > 0)
+    marked = rows.select("mention_id", F.xxhash64("hashes").alias("d"), F.xxhash64(F.lit(1), "hashes").alias("e"))
+    first = settle(marked.groupBy("d", "e").agg(F.min("mention_id").alias("first")), "first")
+    members = settle(marked.join(first, ["d", "e"]).select("first", "mention_id"), "members")
+    sets = settle(rows.join(first.select(F.col("first").alias("mention_id")), "mention_id", "left_semi"), "sets")
+    # What rounds up to the threshold counts.
+    least = threshold - 1e-4
+    tokens = settle(_prefixes(sets, _common(sets), least), "prefixes")
+    a, b = tokens.alias("a"), tokens.alias("b")
+    n, m, left = F.col("a.n"), F.col("b.n"), F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    possible = (F.least(n, m) + 1e-6 >= least * F.greatest(n, m)) & (left * (1 + least) + 1e-6 >= least * (n + m))
+    # A pair with the same shingle before this one has met there.
+    met = F.coalesce(F.col("a.before") == F.col("b.before"), F.lit(False))
+    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.mention_id") < F.col("b.mention_id")) & possible & ~met)
+    pairs = settle(pairs.select(F.col("a.mention_id").alias("u"), F.col("b.mention_id").alias("v")).distinct(), "candidates")
+    found = settle(_overlaps(pairs, sets).withColumn("similarity", round_to(F.col("shared") / F.col("united"))).where(F.col("similarity") >= threshold), "similar")
+    own = lambda end, name: members.select(F.col("first").alias(end), F.col("mention_id").alias(name))
+    across = found.join(own("u", "x"), "u").join(own("v", "y"), "v").select(F.least("x", "y").alias("left"), F.greatest("x", "y").alias("right"), "similarity")
+    equal = own("u", "left").join(own("u", "right"), "u").where("left < right").select("left", "right", F.lit(1.0).alias("similarity"))
+    return across.unionByName(equal)
 
 
 def near_clusters(mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
