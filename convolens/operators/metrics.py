@@ -196,8 +196,9 @@ def batch_totals(clusters: DataFrame, aspects: DataFrame) -> DataFrame:
 
 
 def representative_text(df: DataFrame, keys: list[str], text: str, order: list[str]) -> DataFrame:
-    """(keys, count, representative): rows of each group and its first text that isn't null by ``order``."""
-    first = F.min_by(F.col(text), F.when(F.col(text).isNotNull(), F.struct(*order)))
+    """(keys, count, representative): rows of each group and its first text that isn't null by ``order``, nulls last."""
+    places = (c for name in order for c in (F.col(name).isNull(), F.col(name)))
+    first = F.min_by(F.col(text), F.when(F.col(text).isNotNull(), F.struct(*places)))
     return df.groupBy(*keys).agg(_n().alias("count"), first.alias("representative"))
 
 

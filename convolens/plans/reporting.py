@@ -298,7 +298,7 @@ query(
     "representative_texts",
     "+h AS (SELECT *, CASE WHEN seq % 2 = 0 THEN target_text END AS shown FROM hits) SELECT canonical_entity_id, sentiment, count(*) AS count, arg_min(shown, (mention_id, seq)) FILTER (shown IS NOT NULL) AS representative FROM h GROUP BY canonical_entity_id, sentiment",
     "hits",
-)(lambda s, d: m.representative_text(a.hits(s, d).withColumn("shown", F.when(F.col("seq") % 2 == 0, F.col("target_text"))), ["canonical_entity_id", "sentiment"], "shown", ["mention_id", "seq"]))
+)(lambda s, d: m.representative_text(a.hits(s, d, place=True).withColumn("shown", F.when(F.col("seq") % 2 == 0, F.col("target_text"))), ["canonical_entity_id", "sentiment"], "shown", ["mention_id", "seq", "place"]))
 query("missing_columns_as_null", "SELECT event_id, event_type AS kind, NULL::VARCHAR AS missing_text, NULL::BIGINT AS missing_number FROM events")(
     lambda s, d: m.with_columns_as_null(load(s, d, "events").select("event_id", F.col("event_type").alias("kind")), {"kind": "string", "missing_text": "string", "missing_number": "long"})
 )
