@@ -1,13 +1,10 @@
 """Near copies: SimHash links and their exact completion to a similarity of 4/5 over sets of five-word shingles.
 
 Links of the tiled SimHash comparison are candidates, as are pairs that share a shingle of their prefixes.  A prefix is
-the first ``n - ceil(4n/5) + 1`` shingles in a fixed order of all: two sets that similar share one of them for certain.
-Of long sets only the first ``MOST`` stand in it.  Common shingles (met often in a sample) come last in the order and
-the others are ordered by hash, so when three shared shingles of ten at most are common, each of the first ``MOST`` of
-the union is in both sets with a chance of 2/3 or more, and fewer than two are with one of 4e-14 - less than that of
-equal hashes in a large corpus.  Sets with more common shingles keep the whole prefix.  Sizes, parity bitmaps (whose
-difference never exceeds that of the sets) and the number of shared prefix shingles drop pairs that cannot be similar;
-the shingles of all others are compared.
+the first ``n - ceil(4n/5) + 1`` shingles in a fixed order of all: two sets that similar share one of them for certain, and
+no prefix is cut.  Common shingles (met often in a sample) come last in the order, which only saves work.  Sizes, parity
+bitmaps (whose difference never exceeds that of the sets) and the place of a shared shingle drop pairs that cannot be
+similar; the shingles of all others are compared.
 
 Pairs with the least document of each shared shingle come first; only documents that these leave in different components
 are then paired with each other, so a group of copies does not give all its pairs.
@@ -25,12 +22,10 @@ from . import simhash
 from .shared import discard, settle, texts
 
 SHINGLE = 5
-#: Shingles of a prefix, and the share of common ones up to which it is cut to these.
-MOST, MOSTLY = 32, 0.3
 #: Rows sampled to find common shingles, how often one of these is met there, and how many are told apart.
 SAMPLE, COMMON, MOST_COMMON = 20_000, 3, 50_000
 _WORDS = 8
-_PRINT = "doc_id long, digest binary, fp long, n long, bits array<long>, prefix array<long>, cut boolean"
+_PRINT = "doc_id long, digest binary, fp long, n long, bits array<long>, prefix array<long>"
 
 
 def shingle_set(text: str):
@@ -68,7 +63,7 @@ def _prints(rows: DataFrame, common: dict[int, int]) -> DataFrame:
         import xxhash
 
         for batch in batches:
-            digests, codes, sizes, bits, prefixes, cuts = [], [], [], [], [], []
+            digests, codes, sizes, bits, prefixes = [], [], [], [], []
             for t in batch.column(1):
                 text = t.as_py()
                 hashes = simhash.shingle_hashes(text, SHINGLE)
@@ -79,16 +74,14 @@ def _prints(rows: DataFrame, common: dict[int, int]) -> DataFrame:
                 sizes.append(n)
                 odd = (np.bincount((s & np.uint64(64 * _WORDS - 1)).astype(np.int64), minlength=64 * _WORDS) & 1).astype(np.uint8)
                 bits.append(np.packbits(odd).view("i8"))
-                take, frequent = n - (4 * n + 4) // 5 + 1 if n else 0, 0
+                take = n - (4 * n + 4) // 5 + 1 if n else 0
                 if len(names) and n:
                     at = np.minimum(np.searchsorted(names, s), len(names) - 1)
                     rank = np.where(names[at] == s, counts[at], 0)
-                    frequent = np.count_nonzero(rank)
                     s = s[np.lexsort((s, rank))]
-                cuts.append(take > MOST and frequent <= MOSTLY * n)
-                prefixes.append(s[: MOST if cuts[-1] else take].view("i8"))
-            columns = [pa.array(digests, pa.binary()), pa.array(np.array(codes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(bits, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64())), pa.array(cuts, pa.bool_())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "digest", "fp", "n", "bits", "prefix", "cut"])
+                prefixes.append(s[:take].view("i8"))
+            columns = [pa.array(digests, pa.binary()), pa.array(np.array(codes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(bits, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "digest", "fp", "n", "bits", "prefix"])
 
     return rows.select("doc_id", "text").mapInArrow(run, _PRINT)
 
@@ -102,12 +95,10 @@ def _common(rows: DataFrame) -> dict[int, int]:
 
 
 def _possible(a: str, b: str) -> Column:
-    """Whether sizes, bitmaps and prefixes allow a similarity of 4/5: then 9 times the sets' difference is at most the sum of
-    their sizes, and two cut prefixes share two shingles."""
+    """Whether sizes and bitmaps allow a similarity of 4/5: then 9 times the sets' difference is at most the sum of their sizes."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     apart = sum((F.bit_count(F.get(f"{a}.bits", F.lit(k)).bitwiseXOR(F.get(f"{b}.bits", F.lit(k)))) for k in range(_WORDS)), F.lit(0))
-    shared = F.size(F.array_intersect(f"{a}.prefix", f"{b}.prefix")) >= F.when(F.col(f"{a}.cut") & F.col(f"{b}.cut"), 2).otherwise(1)
-    return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * apart <= n + m) & ((n == 0) | shared)
+    return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * apart <= n + m)
 
 
 def _similar(pairs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
@@ -133,7 +124,7 @@ def near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     rows = texts(docs, id_col=id_col, text_col=text_col).where("doc_id is not null")
     prints = settle(_prints(rows, _common(rows)), "prints")
     # Equal word sequences are one: the least document stands for them.
-    marks = settle(prints.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("fp", "n", "bits", "prefix", "cut"))), "marks")
+    marks = settle(prints.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("fp", "n", "bits", "prefix"))), "marks")
     copies = prints.select("digest", "doc_id").join(marks.select("digest", F.col("doc_id").alias("v")), "digest")
     equal = settle(copies.select(F.col("doc_id").alias("u"), "v").where("u <> v").distinct(), "equal")
     discard(prints)
@@ -144,24 +135,27 @@ def near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     near = close.join(named("u"), "u").join(named("v"), "v").select(F.col("u_id").alias("u"), F.col("v_id").alias("v"))
     same = marks.join(shown.withColumnRenamed("doc_id", "first"), "fp").where("doc_id <> first").select(F.col("first").alias("u"), F.col("doc_id").alias("v"))
 
-    tokens = marks.select("doc_id", F.explode("prefix").alias("token"))
+    tokens = marks.select("doc_id", F.posexplode("prefix").alias("at", "token"))
     shared = settle(tokens.groupBy("token").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("token", "first"), "shared")
     # Only shingles that several documents begin with.
     members = settle(tokens.join(shared, "token"), "members")
     stars = members.where("doc_id <> first").select(F.col("first").alias("u"), F.col("doc_id").alias("v"))
     possible = near.unionByName(same).unionByName(stars).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u < v").distinct()
-    sized = marks.drop("digest", "fp")
+    sized = marks.select("doc_id", "n", "bits")
     kept = possible.join(sized.alias("a"), F.col("u") == F.col("a.doc_id")).join(sized.alias("b"), F.col("v") == F.col("b.doc_id")).where(_possible("a", "b"))
     pairs = settle(kept.select("u", "v").distinct(), "star_pairs")
     found = _similar(pairs, rows, "star").unionByName(equal)
     parts = settle(connected_components(found), "star_parts")
 
-    held = members.select("token", "doc_id").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("part", F.coalesce("root", "doc_id")).drop("root")
+    held = members.select("token", "doc_id", "at").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("part", F.coalesce("root", "doc_id")).drop("root")
     mixed = settle(held.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("token"), "mixed")
     open_ = settle(held.join(mixed, "token").join(sized, "doc_id"), "open_members")
     discard(members, shared)
     a, b = open_.alias("a"), open_.alias("b")
-    rest = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.part") != F.col("b.part")) & _possible("a", "b"))
+    # At the first shingle that two prefixes share, what is left of the sets holds all that they share.
+    left = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    enough = 9 * left >= 4 * (F.col("a.n") + F.col("b.n"))
+    rest = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.part") != F.col("b.part")) & enough & _possible("a", "b"))
     rest = settle(rest.select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v")).distinct(), "open_pairs")
     discard(open_)
     found = found.unionByName(_similar(rest, rows, "open"))
