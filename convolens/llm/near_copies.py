@@ -4,7 +4,8 @@ Links of the tiled SimHash comparison are candidates, as are pairs that share a
 the first ``n - ceil(4n/5) + 1`` shingles in a fixed order of all: two sets that similar share one of them for certain, and
 no prefix is cut.  Common shingles (met often in a sample) come last in the order, which only saves work.  Sizes, parity
 bitmaps (whose difference never exceeds that of the sets) and the place of a shared shingle drop pairs that cannot be
-similar; the shingles of all others are compared.
+similar: first bitmaps of 512 bits, then ones of a bit a shingle, as in short ones the differences of long texts vanish.
+The shingles of all others are compared.
 
 Pairs with the least document of each shared shingle come first; only documents that these leave in different components
 are then paired with each other, so a group of copies does not give all its pairs.
@@ -25,7 +26,7 @@ SHINGLE = 5
 #: Rows sampled to find common shingles, how often one of these is met there, and how many are told apart.
 SAMPLE, COMMON, MOST_COMMON = 20_000, 3, 50_000
 _WORDS = 8
-_PRINT = "doc_id long, digest binary, fp long, n long, bits array<long>, prefix array<long>"
+_PRINT = "doc_id long, digest binary, fp long, n long, bits array<long>, wide binary, prefix array<long>"
 
 
 def shingle_set(text: str):
@@ -35,6 +36,25 @@ def shingle_set(text: str):
     return np.unique(simhash.shingle_hashes(text, SHINGLE))
 
 
+def _parities(s) -> bytes:
+    """Bitmap of a set of hashes, a power of two and at least as many bits as hashes: is the number of those at a bit odd?"""
+    import numpy as np
+
+    width = max(64, 1 << max(len(s) - 1, 0).bit_length())
+    return np.packbits((np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8)).tobytes()
+
+
+def _apart(x: bytes, y: bytes) -> int:
+    """Least number of hashes that two sets differ in, from their bitmaps; the wider is folded."""
+    import numpy as np
+
+    a, b = (np.frombuffer(z, np.uint64) for z in (x, y))
+    while len(a) != len(b):
+        a, b = (a, b) if len(a) < len(b) else (b, a)
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _sets(rows: DataFrame) -> DataFrame:
     """(doc_id, shingles) of (doc_id, text)."""
 
@@ -50,7 +70,7 @@ def _sets(rows: DataFrame) -> DataFrame:
 
 
 def _prints(rows: DataFrame, common: dict[int, int]) -> DataFrame:
-    """A row of fingerprint, set size, bitmap and prefix for each of (doc_id, text); common: how often a shingle was met in
+    """A row of fingerprint, set size, bitmaps and prefix for each of (doc_id, text); common: how often a shingle was met in
     the sample."""
     import numpy as np
 
@@ -63,7 +83,7 @@ def _prints(rows: DataFrame, common: dict[int, int]) -> DataFrame:
         import xxhash
 
         for batch in batches:
-            digests, codes, sizes, bits, prefixes = [], [], [], [], []
+            digests, codes, sizes, bits, wides, prefixes = [], [], [], [], [], []
             for t in batch.column(1):
                 text = t.as_py()
                 hashes = simhash.shingle_hashes(text, SHINGLE)
@@ -74,14 +94,15 @@ def _prints(rows: DataFrame, common: dict[int, int]) -> DataFrame:
                 sizes.append(n)
                 odd = (np.bincount((s & np.uint64(64 * _WORDS - 1)).astype(np.int64), minlength=64 * _WORDS) & 1).astype(np.uint8)
                 bits.append(np.packbits(odd).view("i8"))
+                wides.append(_parities(s))
                 take = n - (4 * n + 4) // 5 + 1 if n else 0
                 if len(names) and n:
                     at = np.minimum(np.searchsorted(names, s), len(names) - 1)
                     rank = np.where(names[at] == s, counts[at], 0)
                     s = s[np.lexsort((s, rank))]
                 prefixes.append(s[:take].view("i8"))
-            columns = [pa.array(digests, pa.binary()), pa.array(np.array(codes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(bits, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "digest", "fp", "n", "bits", "prefix"])
+            columns = [pa.array(digests, pa.binary()), pa.array(np.array(codes, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(bits, pa.list_(pa.int64())), pa.array(wides, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "digest", "fp", "n", "bits", "wide", "prefix"])
 
     return rows.select("doc_id", "text").mapInArrow(run, _PRINT)
 
@@ -101,16 +122,32 @@ def _possible(a: str, b: str) -> Column:
     return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * apart <= n + m)
 
 
-def _similar(pairs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+def _likely(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs (u, v) that the bitmaps of a bit a shingle allow.  These move for each pair, in place of 64 bits a shingle."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            total = (x.to_pylist() for x in (batch.column("total"), batch.column("x"), batch.column("y")))
+            keep = [9 * _apart(x, y) <= n for n, x, y in zip(*total, strict=True)]
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    own = lambda end, n, wide: marks.select(F.col("doc_id").alias(end), F.col("n").alias(n), F.col("wide").alias(wide))
+    both = pairs.join(own("u", "n", "x"), "u").join(own("v", "m", "y"), "v")
+    return both.select("u", "v", (F.col("n") + F.col("m")).alias("total"), "x", "y").mapInArrow(run, "u long, v long")
+
+
+def _similar(pairs: DataFrame, marks: DataFrame, rows: DataFrame, name: str) -> DataFrame:
     """The pairs (u, v) of documents whose sets have at least 4/5 of their shingles in common; only texts of these are read
     again."""
-    spark = pairs.sparkSession
+    pairs = settle(_likely(pairs, marks), f"{name}_likely")
     ends = settle(pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct(), f"{name}_ends")
     sets = settle(_sets(rows.join(ends, "doc_id", "left_semi")), f"{name}_sets")
     a = pairs.join(sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("x")), "u")
     both = a.join(sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("y")), "v")
     links = settle(both.where(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("u", "v").distinct(), f"{name}_links")
-    discard(ends, sets)
+    discard(pairs, ends, sets)
     return links
 
 
@@ -120,11 +157,10 @@ def near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     component_id is the smallest doc_id that can be reached over pairs of similar texts.  Texts without words count as
     equal.  Rows that repeat an id are one document, similar to whatever one of them is similar to; rows without an id
     are left out, as nothing can name them."""
-    spark = docs.sparkSession
     rows = texts(docs, id_col=id_col, text_col=text_col).where("doc_id is not null")
     prints = settle(_prints(rows, _common(rows)), "prints")
     # Equal word sequences are one: the least document stands for them.
-    marks = settle(prints.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("fp", "n", "bits", "prefix"))), "marks")
+    marks = settle(prints.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("fp", "n", "bits", "wide", "prefix"))), "marks")
     copies = prints.select("digest", "doc_id").join(marks.select("digest", F.col("doc_id").alias("v")), "digest")
     equal = settle(copies.select(F.col("doc_id").alias("u"), "v").where("u <> v").distinct(), "equal")
     discard(prints)
@@ -144,7 +180,9 @@ def near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     sized = marks.select("doc_id", "n", "bits")
     kept = possible.join(sized.alias("a"), F.col("u") == F.col("a.doc_id")).join(sized.alias("b"), F.col("v") == F.col("b.doc_id")).where(_possible("a", "b"))
     pairs = settle(kept.select("u", "v").distinct(), "star_pairs")
-    found = _similar(pairs, rows, "star").unionByName(equal)
+    linked = _similar(pairs, marks, rows, "star")
+    discard(pairs, close, shown)
+    found = linked.unionByName(equal)
     parts = settle(connected_components(found), "star_parts")
 
     held = members.select("token", "doc_id", "at").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("part", F.coalesce("root", "doc_id")).drop("root")
@@ -157,9 +195,11 @@ def near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     enough = 9 * left >= 4 * (F.col("a.n") + F.col("b.n"))
     rest = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.part") != F.col("b.part")) & enough & _possible("a", "b"))
     rest = settle(rest.select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v")).distinct(), "open_pairs")
-    discard(open_)
-    found = found.unionByName(_similar(rest, rows, "open"))
-    roots = settle(connected_components(found), "copy_roots")
+    discard(open_, mixed, parts)
+    others = _similar(rest, marks, rows, "open")
+    discard(rest, marks)
+    roots = settle(connected_components(found.unionByName(others)), "copy_roots")
+    discard(linked, equal, others)
     return rows.select("doc_id").distinct().join(roots, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.coalesce("root", "doc_id").alias("component_id"))
 
 
