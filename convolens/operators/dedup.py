@@ -5,22 +5,24 @@ Input rows carry mention_id, text (compact) and depth.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import round_to
-from ..functions.text import shingles, squeeze
-from ..tables import settle
+from ..functions.text import squeeze
+from ..tables import discard, settle
 from .components import connected_components
 
 LEAST_LENGTH = 10
 SIMILARITY = 0.82
 #: Rows sampled to find common shingles, how often one of these is met there, and how many are told apart.
 SAMPLE, COMMON, MOST_COMMON = 20_000, 3, 50_000
-#: Shingles of a group of sets: a task holds those of two groups, 32 MB.
-TILE_SHINGLES = 2_000_000
+#: Shingles of a group of sets: a task holds those of two groups, 32 MB.  Pairs of a tile, and shingles of a bucket of small tiles.
+TILE_SHINGLES, TILE_PAIRS, BUCKET_SHINGLES = 2_000_000, 50_000, 250_000
+#: Words whose hashes a task remembers.
+WORDS_KEPT = 500_000
 
 
 def fingerprint(text: Column) -> Column:
@@ -41,17 +43,56 @@ def exact_clusters(mentions: DataFrame) -> DataFrame:
     return out.where("cluster_size > 1").withColumn("cluster_id", F.concat(F.lit("exact:"), F.left("fingerprint", F.lit(16))))
 
 
-def _common(sets: DataFrame) -> dict[int, int]:
+def _shingle_sets(texts: Iterable[str], known: dict[str, int]) -> Iterator:
+    """A sorted array of 64-bit hashes for each text: of the strings of ``shingles``.  known: hashes of words so far."""
+    import numpy as np
+    import xxhash
+
+    def of(word: str) -> int:
+        if (h := known.get(word)) is None:
+            if len(known) >= WORDS_KEPT:
+                known.clear()
+            h = known[word] = xxhash.xxh64_intdigest(word.encode())
+        return h
+
+    one, two, three, mix = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD))
+    for text in texts:
+        words = [w for w in text.split(" ") if w]
+        if len(words) >= 3:
+            h = np.fromiter(map(of, words), np.uint64, len(words))
+            x = h[:-2] * one + h[1:-1] * two + h[2:] * three
+            x = (x ^ (x >> np.uint64(32))) * mix
+        else:
+            # Words of these hold no space and word shingles two, so none is like another.
+            bare = text.replace(" ", "")
+            short = [bare[k : k + 5] for k in range(len(bare) - 4)] or ([text] if text else [])
+            x = np.array([xxhash.xxh64_intdigest(t.encode(), 1) for t in short], np.uint64)
+        yield np.unique(x.view(np.int64))
+
+
+def _common(rows: DataFrame) -> dict[int, int]:
     """How often the most frequent shingles are met in a sample of bounded size.  They only order shingles; no pair hangs on them."""
     grain = 1 << 20
-    some = sets.where(F.pmod(F.xxhash64("mention_id"), F.lit(grain)) < max(1, min(grain, grain * SAMPLE // max(sets.count(), 1))))
-    met = some.select(F.explode("hashes").alias("token")).groupBy("token").count().where(F.col("count") >= COMMON)
-    return {r[0]: r[1] for r in met.orderBy(F.desc("count"), "token").limit(MOST_COMMON).collect()}
+    some = rows.where(F.pmod(F.xxhash64("mention_id"), F.lit(grain)) < max(1, min(grain, grain * SAMPLE // max(rows.count(), 1))))
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
 
+        known: dict[str, int] = {}
+        for part in (whole.slice(k, 256) for whole in batches for k in range(0, whole.num_rows, 256)):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(list(_shingle_sets(part.column(0).to_pylist(), known))))], names=["token"])
 
-def _prefixes(sets: DataFrame, common: dict[int, int], least: float) -> DataFrame:
-    """(token, mention_id, n, at, before): the first n - ceil(least * n) + 1 shingles of each set, rare ones first, with the place
-    and the predecessor of each.  Two sets of a similarity of ``least`` have one of them in common."""
+    met = some.select("text").mapInArrow(run, "token long").groupBy("token").count().where(F.col("count") >= COMMON)
+    most = settle(met.orderBy(F.desc("count"), "token").limit(MOST_COMMON), "common")
+    found = {r[0]: r[1] for r in most.collect()}
+    discard(most)
+    return found
+
+
+def _heads(rows: DataFrame, common: dict[int, int], least: float) -> DataFrame:
+    """(mention_id, fingerprint, digest, n, prefix) of (mention_id, fingerprint, text): digest and size of the set of shingles, and
+    its first n - ceil(least * n) + 1 shingles, rare ones first.  Two sets of a similarity of ``least`` have one of them in common."""
     import numpy as np
 
     names = np.array(sorted(common), np.int64)
@@ -62,84 +103,142 @@ def _prefixes(sets: DataFrame, common: dict[int, int], least: float) -> DataFram
 
         import numpy as np
         import pyarrow as pa
+        import xxhash
 
-        schema = pa.schema([("token", pa.int64()), ("mention_id", pa.string()), ("n", pa.int32()), ("at", pa.int32()), ("before", pa.int64())])
-        for batch in (whole.slice(k, 256) for whole in batches for k in range(0, whole.num_rows, 256)):
-            ids, sizes, prefixes, befores = batch.column(0).to_pylist(), [], [], []
-            for hashes in batch.column(1):
-                h = hashes.values.to_numpy(zero_copy_only=False)
+        known: dict[str, int] = {}
+        for part in (whole.slice(k, 256) for whole in batches for k in range(0, whole.num_rows, 256)):
+            digests, sizes, prefixes = [], [], []
+            for h in _shingle_sets(part.column(2).to_pylist(), known):
+                digests.append(xxhash.xxh3_128_digest(h.tobytes()))
+                sizes.append(len(h))
                 if len(names):
                     at = np.minimum(np.searchsorted(names, h), len(names) - 1)
                     h = h[np.lexsort((h, np.where(names[at] == h, counts[at], 0)))]
-                sizes.append(len(h))
                 prefixes.append(h[: len(h) - math.ceil(least * len(h) - 1e-9) + 1])
-                befores.append(np.concatenate(([0], prefixes[-1][:-1])))
-            lengths = [len(x) for x in prefixes]
-            places = np.concatenate([np.arange(k, dtype=np.int32) for k in lengths])
-            columns = [pa.array(np.concatenate(prefixes)), pa.array(np.repeat(np.array(ids, object), lengths), pa.string()), pa.array(np.repeat(np.array(sizes, np.int32), lengths))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(places), pa.array(np.concatenate(befores), mask=places == 0)], schema=schema)
+            edges = np.cumsum([0, *map(len, prefixes)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(prefixes)))
+            columns = [part.column(0), part.column(1), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["mention_id", "fingerprint", "digest", "n", "prefix"])
+
+    return rows.select("mention_id", "fingerprint", "text").mapInArrow(run, "mention_id string, fingerprint string, digest binary, n int, prefix array<long>")
+
+
+def _candidates(sets: DataFrame, least: float) -> DataFrame:
+    """(u, v) of (k, n, prefix), u < v: sets that share a shingle of their prefixes at places that allow a similarity of ``least``."""
+    tokens = sets.select("k", F.explode("prefix").alias("token"))
+    # Most shingles are met in one prefix only, so the others are found first, and sizes and places move for these alone.
+    shared = settle(tokens.groupBy("token").count().where("count > 1").select("token"), "shared")
+    met = settle(tokens.join(shared, "token").select("k", "token"), "met")
+    at = (F.array_position("prefix", F.col("token")) - 1).cast("int")
+    members = met.join(sets, "k").select("token", "k", "n", at.alias("at"), "prefix")
+    members = settle(members.select("token", "k", "n", "at", F.get("prefix", F.col("at") - 1).alias("before")), "members")
+    discard(shared, met)
+    a, b = members.alias("a"), members.alias("b")
+    n, m, left = F.col("a.n"), F.col("b.n"), F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    possible = (F.least(n, m) + 1e-6 >= least * F.greatest(n, m)) & (left * (1 + least) + 1e-6 >= least * (n + m))
+    # A pair with the same shingle before this one has met there.
+    met = F.coalesce(F.col("a.before") == F.col("b.before"), F.lit(False))
+    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.k") < F.col("b.k")) & possible & ~met)
+    pairs = settle(pairs.select(F.col("a.k").alias("u"), F.col("b.k").alias("v")).distinct(), "candidates")
+    discard(members)
+    return pairs
+
 
-    return sets.select("mention_id", "hashes").mapInArrow(run, "token long, mention_id string, n int, at int, before long")
+def _packed(texts: DataFrame) -> DataFrame:
+    """(mention_id, packed) of (mention_id, text): compressed, as they move."""
+
+    def run(batches: Iterator) -> Iterator:
+        import zlib
+
+        import pyarrow as pa
 
+        for part in (whole.slice(k, 256) for whole in batches for k in range(0, whole.num_rows, 256)):
+            packed = pa.array([zlib.compress(t.encode(), 3) for t in part.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), packed], names=["mention_id", "packed"])
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    return texts.select("mention_id", "text").mapInArrow(run, "mention_id string, packed binary")
+
+
+def _overlaps(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     """(u, v, shared, united): sizes of the intersection and the union of the sets of each of ``pairs``.
 
-    Sets meet in tiles of two groups of ids, so a set moves once a tile and not once a pair."""
-    ends = pairs.select(F.col("u").alias("mention_id")).unionByName(pairs.select(F.col("v").alias("mention_id"))).distinct()
-    held = settle(sets.join(ends, "mention_id", "left_semi"), "compared_sets")
-    groups = 1 + (held.agg(F.sum(F.size("hashes"))).first()[0] or 0) // TILE_SHINGLES
-    group = lambda c: F.pmod(F.xxhash64(c), F.lit(groups))
-    tiled = pairs.select(group("u").alias("i"), group("v").alias("j"), "u", "v")
-    end = lambda c: tiled.select(F.col("i").alias("k"), F.col("j").alias("l"), F.col(c).alias("mention_id"))
-    needed = end("u").unionByName(end("v")).distinct().join(held, "mention_id").select("k", "l", "mention_id", "hashes")
+    sets: (k, n, first, digest).  What moves is the text of ``first``, to each tile once.  A tile has the pairs whose ends have the
+    same least neighbours, so a group of copies is one tile; those of large groups are cut by ids.  Tiles share buckets of a set size."""
+    ends = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = ends.groupBy(F.col("u").alias("k")).agg(F.least("k", F.min("v")).alias("low"))
+    own = lambda end, low: least.select(F.col("k").alias(end), F.col("low").alias(low))
+    met = pairs.join(own("u", "x"), "u").join(own("v", "y"), "v")
+    met = settle(met.select("u", "v", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")), "met")
+    both = lambda t, *by: t.select(F.col("u").alias("k"), *by).unionByName(t.select(F.col("v").alias("k"), *by)).distinct()
+    amount = both(met, "x", "y").join(sets.select("k", "n"), "k").groupBy("x", "y").agg(F.sum("n").alias("amount"))
+    parts = met.groupBy("x", "y").agg(F.count(F.lit(1)).alias("some")).join(amount, ["x", "y"])
+    cuts = F.lit(1) + F.greatest(F.floor(F.col("amount") / TILE_SHINGLES), F.floor(F.sqrt(2 * F.col("some") / TILE_PAIRS)))
+    cut = settle(parts.select("x", "y", "amount", cuts.alias("cuts")), "cuts")
+    buckets = 1 + (cut.agg(F.sum(F.col("amount") * F.col("cuts"))).first()[0] or 0) // BUCKET_SHINGLES
+    part = lambda c: F.pmod(F.xxhash64(c), F.col("cuts"))
+    bucket = F.pmod(F.xxhash64("x", "y", F.least(part("u"), part("v")), F.greatest(part("u"), part("v"))), F.lit(buckets))
+    tiled = settle(met.join(cut, ["x", "y"]).select(bucket.alias("bucket"), "u", "v"), "tiled")
+    discard(met, cut)
+    needed = both(tiled, "bucket").join(sets.select("k", "digest", F.col("first").alias("mention_id")), "k")
+    needed = needed.join(_packed(texts), "mention_id").select(F.col("bucket").alias("to"), "k", "digest", "packed")
 
     def compare(some, own):
+        import zlib
+
         import numpy as np
         import pyarrow as pa
+        import xxhash
 
-        lists = own["hashes"].combine_chunks()
-        lists = lists if isinstance(lists, pa.Array) else pa.concat_arrays(lists.chunks)
-        edges, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
-        by = {key: values[edges[k] : edges[k + 1]] for k, key in enumerate(own["mention_id"].to_pylist())}
+        texts = (zlib.decompress(t).decode() for t in own["packed"].to_pylist())
+        found = zip(own["k"].to_pylist(), own["digest"].to_pylist(), _shingle_sets(texts, {}), strict=True)
+        # Of rows that repeat an id, the one that is meant.
+        by = {k: h for k, digest, h in found if xxhash.xxh3_128_digest(h.tobytes()) == digest}
         us, vs = some["u"].to_pylist(), some["v"].to_pylist()
         shared = np.array([len(np.intersect1d(by[u], by[v], assume_unique=True)) for u, v in zip(us, vs, strict=True)], np.int64)
-        both = np.array([len(by[u]) + len(by[v]) for u, v in zip(us, vs, strict=True)], np.int64)
-        return pa.table({"u": pa.array(us, pa.string()), "v": pa.array(vs, pa.string()), "shared": shared, "united": both - shared})
+        total = np.array([len(by[u]) + len(by[v]) for u, v in zip(us, vs, strict=True)], np.int64)
+        return pa.table({"u": some["u"], "v": some["v"], "shared": shared, "united": total - shared})
 
-    return tiled.groupBy("i", "j").cogroup(needed.groupBy("k", "l")).applyInArrow(compare, "u string, v string, shared long, united long")
+    out = settle(tiled.groupBy("bucket").cogroup(needed.groupBy("to")).applyInArrow(compare, "u long, v long, shared long, united long"), "overlaps")
+    discard(tiled)
+    return out
 
 
-def similar_pairs(mentions: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
-    """(left, right, similarity) with left < right: all pairs of near texts.
-
-    Equal sets of shingles stand for one while sets are compared, and only sets that share a shingle of their prefixes and
-    whose sizes and places of that shingle allow the threshold are."""
-    rows = mentions.where((F.length("text") >= LEAST_LENGTH) & F.col("mention_id").isNotNull())
-    rows = rows.select("mention_id", F.array_sort(F.array_distinct(F.transform(shingles(F.col("text")), lambda s: F.xxhash64(s)))).alias("hashes"))
-    # Settled first, as a condition on a computed column would have it computed twice.
-    rows = settle(rows, "shingles").where(F.size("hashes") > 0)
-    marked = rows.select("mention_id", F.xxhash64("hashes").alias("d"), F.xxhash64(F.lit(1), "hashes").alias("e"))
-    first = settle(marked.groupBy("d", "e").agg(F.min("mention_id").alias("first")), "first")
-    members = settle(marked.join(first, ["d", "e"]).select("first", "mention_id"), "members")
-    sets = settle(rows.join(first.select(F.col("first").alias("mention_id")), "mention_id", "left_semi"), "sets")
+def _similar(rows: DataFrame, threshold: float, exact: DataFrame | None = None) -> DataFrame:
+    """(left, right, similarity) of settled rows (mention_id, fingerprint, text); without those whose fingerprint is in ``exact``."""
+    rows = rows.where((F.length("text") >= LEAST_LENGTH) & F.col("mention_id").isNotNull())
     # What rounds up to the threshold counts.
     least = threshold - 1e-4
-    tokens = settle(_prefixes(sets, _common(sets), least), "prefixes")
-    a, b = tokens.alias("a"), tokens.alias("b")
-    n, m, left = F.col("a.n"), F.col("b.n"), F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
-    possible = (F.least(n, m) + 1e-6 >= least * F.greatest(n, m)) & (left * (1 + least) + 1e-6 >= least * (n + m))
-    # A pair with the same shingle before this one has met there.
-    met = F.coalesce(F.col("a.before") == F.col("b.before"), F.lit(False))
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.mention_id") < F.col("b.mention_id")) & possible & ~met)
-    pairs = settle(pairs.select(F.col("a.mention_id").alias("u"), F.col("b.mention_id").alias("v")).distinct(), "candidates")
-    found = settle(_overlaps(pairs, sets).withColumn("similarity", round_to(F.col("shared") / F.col("united"))).where(F.col("similarity") >= threshold), "similar")
-    own = lambda end, name: members.select(F.col("first").alias(end), F.col("mention_id").alias(name))
+    heads = settle(_heads(rows, _common(rows), least), "heads")
+    alone = heads if exact is None else heads.join(exact, "fingerprint", "left_anti")
+    sets = alone.groupBy("digest").agg(F.min("mention_id").alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    sets = settle(sets.select(F.monotonically_increasing_id().alias("k"), "*"), "sets")
+    members = settle(alone.join(sets.select("digest", "k"), "digest").select("k", "mention_id"), "members")
+    discard(heads)
+    pairs = _candidates(sets, least)
+    marks = settle(sets.drop("prefix"), "marks")
+    discard(sets)
+    compared = _overlaps(pairs, marks, rows)
+    discard(pairs, marks)
+    found = settle(compared.withColumn("similarity", round_to(F.col("shared") / F.col("united"))).where(F.col("similarity") >= threshold), "similar")
+    discard(compared)
+    own = lambda end, name: members.select(F.col("k").alias(end), F.col("mention_id").alias(name))
     across = found.join(own("u", "x"), "u").join(own("v", "y"), "v").select(F.least("x", "y").alias("left"), F.greatest("x", "y").alias("right"), "similarity")
     equal = own("u", "left").join(own("u", "right"), "u").where("left < right").select("left", "right", F.lit(1.0).alias("similarity"))
     return across.unionByName(equal)
 
 
+def similar_pairs(mentions: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
+    """(left, right, similarity) with left < right: all pairs of near texts.
+
+    Equal sets of shingles stand for one while sets are compared, and only sets that share a shingle of their prefixes and
+    whose sizes and places of that shingle allow the threshold are.  Sets are never written: they are hashed from the texts, once
+    for the prefixes and again where candidates meet."""
+    rows = settle(mentions.select("mention_id", F.lit(None).cast("string").alias("fingerprint"), "text"), "texts", compression="zstd")
+    pairs = _similar(rows, threshold)
+    discard(rows)
+    return pairs
+
+
 def near_clusters(mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members (mention_id, cluster_id), clusters (cluster_id, cluster_size, representative_id, similarity)) among
     mentions that are in no exact cluster; similarity is the mean over the cluster's linked pairs."""
