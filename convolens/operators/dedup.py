@@ -30,36 +30,53 @@ def fingerprint(text: Column) -> Column:
     return F.when(F.length(squeezed) >= LEAST_LENGTH, F.sha2(squeezed, 256))
 
 
+def _exact(rows: DataFrame) -> DataFrame:
+    """(fingerprint, cluster_id, cluster_size, representative_id) of rows (mention_id, depth, text_length, fingerprint).
+
+    The longest text represents a cluster, then the least depth, then the least id."""
+    out = rows.where("fingerprint is not null").groupBy("fingerprint").agg(F.count(F.lit(1)).alias("cluster_size"), _representative().alias("representative_id"))
+    return out.where("cluster_size > 1").withColumn("cluster_id", F.concat(F.lit("exact:"), F.left("fingerprint", F.lit(16))))
+
+
 def _representative() -> Column:
-    """Longest text, then least depth, then least id."""
-    return F.min_by("mention_id", F.struct(-F.length("text"), F.col("depth"), F.col("mention_id")))
+    return F.min_by("mention_id", F.struct(-F.col("text_length"), F.col("depth"), F.col("mention_id")))
+
+
+def _marked(mentions: DataFrame) -> DataFrame:
+    """With text_length and fingerprint."""
+    return mentions.withColumns({"text_length": F.length("text"), "fingerprint": fingerprint(F.col("text"))})
 
 
 def exact_clusters(mentions: DataFrame) -> DataFrame:
     """(fingerprint, cluster_id, cluster_size, representative_id) of texts that occur twice or more."""
     # Settled, as a condition on a computed column would have it computed twice.
-    rows = settle(mentions.select("mention_id", "depth", "text", fingerprint(F.col("text")).alias("fingerprint")), "fingerprints").where("fingerprint is not null")
-    out = rows.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("cluster_size"), _representative().alias("representative_id"))
-    return out.where("cluster_size > 1").withColumn("cluster_id", F.concat(F.lit("exact:"), F.left("fingerprint", F.lit(16))))
+    return _exact(settle(_marked(mentions).select("mention_id", "depth", "text_length", "fingerprint"), "fingerprints"))
+
+
+class _Known(dict):
+    """Hashes of the words met so far."""
+
+    def __missing__(self, word: str) -> int:
+        import xxhash
 
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        self[word] = out = xxhash.xxh64_intdigest(word.encode())
+        return out
 
-def _shingle_sets(texts: Iterable[str], known: dict[str, int]) -> Iterator:
-    """A sorted array of 64-bit hashes for each text: of the strings of ``shingles``.  known: hashes of words so far."""
+
+def _shingle_sets(texts: Iterable[str], known: _Known) -> Iterator:
+    """A sorted array of 64-bit hashes for each text: of the strings of ``shingles``."""
     import numpy as np
     import xxhash
 
-    def of(word: str) -> int:
-        if (h := known.get(word)) is None:
-            if len(known) >= WORDS_KEPT:
-                known.clear()
-            h = known[word] = xxhash.xxh64_intdigest(word.encode())
-        return h
-
     one, two, three, mix = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD))
     for text in texts:
-        words = [w for w in text.split(" ") if w]
+        words = text.split(" ")
+        if "" in words:
+            words = [w for w in words if w]
         if len(words) >= 3:
-            h = np.fromiter(map(of, words), np.uint64, len(words))
+            h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
             x = h[:-2] * one + h[1:-1] * two + h[2:] * three
             x = (x ^ (x >> np.uint64(32))) * mix
         else:
@@ -79,7 +96,7 @@ def _common(rows: DataFrame) -> dict[int, int]:
         import numpy as np
         import pyarrow as pa
 
-        known: dict[str, int] = {}
+        known = _Known()
         for part in (whole.slice(k, 256) for whole in batches for k in range(0, whole.num_rows, 256)):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(list(_shingle_sets(part.column(0).to_pylist(), known))))], names=["token"])
 
@@ -105,7 +122,7 @@ def _heads(rows: DataFrame, common: dict[int, int], least: float) -> DataFrame:
         import pyarrow as pa
         import xxhash
 
-        known: dict[str, int] = {}
+        known = _Known()
         for part in (whole.slice(k, 256) for whole in batches for k in range(0, whole.num_rows, 256)):
             digests, sizes, prefixes = [], [], []
             for h in _shingle_sets(part.column(2).to_pylist(), known):
@@ -153,7 +170,7 @@ def _packed(texts: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for part in (whole.slice(k, 256) for whole in batches for k in range(0, whole.num_rows, 256)):
-            packed = pa.array([zlib.compress(t.encode(), 3) for t in part.column(1).to_pylist()], pa.binary())
+            packed = pa.array([zlib.compress(t.encode(), 1) for t in part.column(1).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([part.column(0), packed], names=["mention_id", "packed"])
 
     return texts.select("mention_id", "text").mapInArrow(run, "mention_id string, packed binary")
@@ -190,7 +207,7 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
         import xxhash
 
         texts = (zlib.decompress(t).decode() for t in own["packed"].to_pylist())
-        found = zip(own["k"].to_pylist(), own["digest"].to_pylist(), _shingle_sets(texts, {}), strict=True)
+        found = zip(own["k"].to_pylist(), own["digest"].to_pylist(), _shingle_sets(texts, _Known()), strict=True)
         # Of rows that repeat an id, the one that is meant.
         by = {k: h for k, digest, h in found if xxhash.xxh3_128_digest(h.tobytes()) == digest}
         us, vs = some["u"].to_pylist(), some["v"].to_pylist()
@@ -239,18 +256,27 @@ def similar_pairs(mentions: DataFrame, threshold: float = SIMILARITY) -> DataFra
     return pairs
 
 
-def near_clusters(mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members (mention_id, cluster_id), clusters (cluster_id, cluster_size, representative_id, similarity)) among
-    mentions that are in no exact cluster; similarity is the mean over the cluster's linked pairs."""
-    mentions = settle(mentions.select("mention_id", "text", "depth"), "texts")
-    rows = mentions.withColumn("fingerprint", fingerprint(F.col("text")))
-    exact = settle(exact_clusters(mentions).select("fingerprint"), "exact")
-    single = settle(rows.join(exact, "fingerprint", "left_anti").select("mention_id", "text", "depth"), "single")
-    pairs = settle(similar_pairs(single), "pairs")
+def _near(rows: DataFrame, exact: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """near_clusters of settled rows (mention_id, depth, text, text_length, fingerprint); exact: the exact clusters, settled."""
+    pairs = settle(_similar(rows, SIMILARITY, exact.select("fingerprint")), "pairs")
     roots = settle(connected_components(pairs.select(F.col("left").alias("u"), F.col("right").alias("v"))), "roots")
-    members = roots.select(F.col("node").alias("mention_id"), F.concat(F.lit("near:"), F.left(F.sha2("root", 256), F.lit(16))).alias("cluster_id"))
+    members = settle(roots.select(F.col("node").alias("mention_id"), F.concat(F.lit("near:"), F.left(F.sha2("root", 256), F.lit(16))).alias("cluster_id")), "near_members")
+    discard(roots)
     mean = pairs.join(members, F.col("left") == F.col("mention_id")).groupBy("cluster_id").agg(round_to(F.avg("similarity")).alias("similarity"))
+    single = rows.select("mention_id", "depth", "text_length", "fingerprint").join(exact.select("fingerprint"), "fingerprint", "left_anti")
     clusters = single.join(members, "mention_id").groupBy("cluster_id").agg(F.count(F.lit(1)).alias("cluster_size"), _representative().alias("representative_id")).join(mean, "cluster_id")
+    clusters = settle(clusters, "near_clusters")
+    discard(pairs)
+    return members, clusters
+
+
+def near_clusters(mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members (mention_id, cluster_id), clusters (cluster_id, cluster_size, representative_id, similarity)) among
+    mentions that are in no exact cluster; similarity is the mean over the cluster's linked pairs."""
+    rows = settle(_marked(mentions.select("mention_id", "text", "depth")), "texts", compression="zstd")
+    exact = settle(_exact(rows), "exact")
+    members, clusters = _near(rows, exact)
+    discard(rows, exact)
     return members, clusters
 
 

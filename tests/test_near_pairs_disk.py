@@ -47,3 +47,11 @@ def test_similar_pairs(watched):
     assert dedup.similar_pairs(texts).count() == 200 + 40 * 2
     most, left = kept()
     assert most < 1.5 * read and left < 0.1 * read
+
+
+def test_near_clusters(watched):
+    texts, read, kept = watched
+    members, clusters = dedup.near_clusters(texts)
+    assert clusters.count() == 160 and members.count() == 320
+    most, left = kept()
+    assert most < 1.5 * read and left < 0.1 * read
