@@ -282,14 +282,15 @@ def near_clusters(mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def annotate(mentions: DataFrame, near: bool = True) -> DataFrame:
     """mentions with dedup_kind, dedup_cluster_id, dedup_cluster_size, dedup_representative_id, dedup_similarity and dedup_weight."""
-    mentions = settle(mentions, "mentions")
-    exact = settle(exact_clusters(mentions), "exact_clusters")
-    rows = mentions.withColumn("fingerprint", fingerprint(F.col("text"))).join(
+    # The one copy of the texts; all else reads it, and most of that without the texts.
+    marked = settle(_marked(mentions), "mentions", compression="zstd")
+    exact = settle(_exact(marked), "exact_clusters")
+    rows = marked.join(
         exact.select("fingerprint", F.col("cluster_id").alias("e_id"), F.col("cluster_size").alias("e_size"), F.col("representative_id").alias("e_rep")), "fingerprint", "left"
     )
     n_id, n_size, n_rep, n_sim = (F.lit(None).cast(t) for t in ("string", "bigint", "string", "double"))
     if near:
-        members, clusters = near_clusters(mentions)
+        members, clusters = _near(marked, exact)
         found = settle(members.join(clusters, "cluster_id"), "near").select("mention_id", F.col("cluster_id").alias("n_id"), F.col("cluster_size").alias("n_size"), F.col("representative_id").alias("n_rep"), F.col("similarity").alias("n_sim"))
         rows = rows.join(found, "mention_id", "left")
         n_id, n_size, n_rep, n_sim = (F.col(c) for c in ("n_id", "n_size", "n_rep", "n_sim"))
@@ -304,4 +305,4 @@ def annotate(mentions: DataFrame, near: bool = True) -> DataFrame:
             "dedup_weight": round_to(1.0 / size, 6),
         }
     )
-    return out.drop("fingerprint", "e_id", "e_size", "e_rep", "n_id", "n_size", "n_rep", "n_sim")
+    return out.drop("fingerprint", "text_length", "e_id", "e_size", "e_rep", "n_id", "n_size", "n_rep", "n_sim")

@@ -185,7 +185,7 @@ query(
     coalesce(c.cluster_size, g.cluster_size, 1) AS dedup_cluster_size, coalesce(c.representative_id, g.representative_id) AS dedup_representative_id, CASE WHEN c.fingerprint IS NOT NULL THEN 1.0::DOUBLE ELSE similarity END AS dedup_similarity,
     floor(1.0::DOUBLE / coalesce(c.cluster_size, g.cluster_size, 1)::DOUBLE * 1000000.0 + 0.5) / 1000000.0 AS dedup_weight FROM prints a LEFT JOIN clusters c USING (fingerprint) LEFT JOIN g ON a.mention_id = g.mention_id""",
     "doc_mentions",
-)(lambda s, d: dedup.annotate(docs(s, d)).drop("raw_text", "text"))
+)(lambda s, d: dedup.annotate(docs(s, d).drop("raw_text")).drop("text"))
 
 BURST = """SELECT author_id, CASE WHEN count(*) < 2 THEN 0.0 ELSE floor(max(n)::DOUBLE / count(*)::DOUBLE * 10000.0 + 0.5) / 10000.0 END AS burstiness_score
     FROM (SELECT author_id, count(*) OVER (PARTITION BY author_id ORDER BY posted_at RANGE BETWEEN INTERVAL 60 MINUTES PRECEDING AND CURRENT ROW) AS n FROM facts) GROUP BY author_id"""

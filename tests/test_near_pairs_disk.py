@@ -55,3 +55,12 @@ def test_near_clusters(watched):
     assert clusters.count() == 160 and members.count() == 320
     most, left = kept()
     assert most < 1.5 * read and left < 0.1 * read
+
+
+def test_annotate(watched):
+    texts, read, kept = watched
+    counts = {r[0]: r[1] for r in dedup.annotate(texts).groupBy("dedup_kind").count().collect()}
+    assert counts == {"exact": 80, "near": 320, None: 40}
+    most, left = kept()
+    # One copy of the texts stays, as the result reads it.
+    assert most < 1.5 * read and left < read
