@@ -107,9 +107,43 @@ def _common(rows: DataFrame) -> dict[int, int]:
     return found
 
 
+def _parities(h) -> bytes:
+    """Bitmap of a set of hashes, a power of two and at least as many bits as hashes: is the number of those at a bit odd?"""
+    import numpy as np
+
+    width = max(64, 1 << max(len(h) - 1, 0).bit_length())
+    return np.packbits((np.bincount(h & (width - 1), minlength=width) & 1).astype(np.uint8)).tobytes()
+
+
+def _apart(x: bytes, y: bytes) -> int:
+    """Least number of hashes that two sets differ in, from their bitmaps; the wider is folded."""
+    import numpy as np
+
+    a, b = sorted((np.frombuffer(z, np.uint64) for z in (x, y)), key=len)
+    while len(a) != len(b):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _likely(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (u, v) whose bitmaps allow a similarity of ``least``: a bit a shingle moves for each, and no text of the others."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            total, x, y = (batch.column(c).to_pylist() for c in ("total", "x", "y"))
+            keep = [_apart(i, j) * (1 + least) <= (1 - least) * n + 1e-6 for n, i, j in zip(total, x, y, strict=True)]
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    own = lambda end, n, wide: sets.select(F.col("k").alias(end), F.col("n").alias(n), F.col("wide").alias(wide))
+    both = pairs.join(own("u", "n", "x"), "u").join(own("v", "m", "y"), "v")
+    return both.select("u", "v", (F.col("n") + F.col("m")).alias("total"), "x", "y").mapInArrow(run, "u long, v long")
+
+
 def _heads(rows: DataFrame, common: dict[int, int], least: float) -> DataFrame:
-    """(mention_id, fingerprint, digest, n, prefix) of (mention_id, fingerprint, text): digest and size of the set of shingles, and
-    its first n - ceil(least * n) + 1 shingles, rare ones first.  Two sets of a similarity of ``least`` have one of them in common."""
+    """(mention_id, fingerprint, digest, n, wide, prefix) of (mention_id, fingerprint, text): digest, size and bitmap of the set of
+    shingles, and its first n - ceil(least * n) + 1 shingles, rare ones first.  Two sets of a similarity of ``least`` have one of them in common."""
     import numpy as np
 
     names = np.array(sorted(common), np.int64)
@@ -124,20 +158,21 @@ def _heads(rows: DataFrame, common: dict[int, int], least: float) -> DataFrame:
 
         known = _Known()
         for part in (whole.slice(k, 256) for whole in batches for k in range(0, whole.num_rows, 256)):
-            digests, sizes, prefixes = [], [], []
+            digests, sizes, wides, prefixes = [], [], [], []
             for h in _shingle_sets(part.column(2).to_pylist(), known):
                 digests.append(xxhash.xxh3_128_digest(h.tobytes()))
                 sizes.append(len(h))
+                wides.append(_parities(h))
                 if len(names):
                     at = np.minimum(np.searchsorted(names, h), len(names) - 1)
                     h = h[np.lexsort((h, np.where(names[at] == h, counts[at], 0)))]
                 prefixes.append(h[: len(h) - math.ceil(least * len(h) - 1e-9) + 1])
             edges = np.cumsum([0, *map(len, prefixes)], dtype=np.int32)
             lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(prefixes)))
-            columns = [part.column(0), part.column(1), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["mention_id", "fingerprint", "digest", "n", "prefix"])
+            columns = [part.column(0), part.column(1), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.array(wides, pa.binary()), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["mention_id", "fingerprint", "digest", "n", "wide", "prefix"])
 
-    return rows.select("mention_id", "fingerprint", "text").mapInArrow(run, "mention_id string, fingerprint string, digest binary, n int, prefix array<long>")
+    return rows.select("mention_id", "fingerprint", "text").mapInArrow(run, "mention_id string, fingerprint string, digest binary, n int, wide binary, prefix array<long>")
 
 
 def _candidates(sets: DataFrame, least: float) -> DataFrame:
@@ -147,7 +182,7 @@ def _candidates(sets: DataFrame, least: float) -> DataFrame:
     shared = settle(tokens.groupBy("token").count().where("count > 1").select("token"), "shared")
     met = settle(tokens.join(shared, "token").select("k", "token"), "met")
     at = (F.array_position("prefix", F.col("token")) - 1).cast("int")
-    members = met.join(sets, "k").select("token", "k", "n", at.alias("at"), "prefix")
+    members = met.join(sets.select("k", "n", "prefix"), "k").select("token", "k", "n", at.alias("at"), "prefix")
     members = settle(members.select("token", "k", "n", "at", F.get("prefix", F.col("at") - 1).alias("before")), "members")
     discard(shared, met)
     a, b = members.alias("a"), members.alias("b")
@@ -227,15 +262,17 @@ def _similar(rows: DataFrame, threshold: float, exact: DataFrame | None = None)
     least = threshold - 1e-4
     heads = settle(_heads(rows, _common(rows), least), "heads")
     alone = heads if exact is None else heads.join(exact, "fingerprint", "left_anti")
-    sets = alone.groupBy("digest").agg(F.min("mention_id").alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    sets = alone.groupBy("digest").agg(F.min("mention_id").alias("first"), *(F.first(c).alias(c) for c in ("n", "wide", "prefix")))
     sets = settle(sets.select(F.monotonically_increasing_id().alias("k"), "*"), "sets")
     members = settle(alone.join(sets.select("digest", "k"), "digest").select("k", "mention_id"), "members")
     discard(heads)
     pairs = _candidates(sets, least)
     marks = settle(sets.drop("prefix"), "marks")
     discard(sets)
-    compared = _overlaps(pairs, marks, rows)
-    discard(pairs, marks)
+    likely = settle(_likely(pairs, marks, least), "likely")
+    discard(pairs)
+    compared = _overlaps(likely, marks, rows)
+    discard(likely, marks)
     found = settle(compared.withColumn("similarity", round_to(F.col("shared") / F.col("united"))).where(F.col("similarity") >= threshold), "similar")
     discard(compared)
     own = lambda end, name: members.select(F.col("k").alias(end), F.col("mention_id").alias(name))

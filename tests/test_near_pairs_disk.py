@@ -64,3 +64,15 @@ def test_annotate(watched):
     most, left = kept()
     # One copy of the texts stays, as the result reads it.
     assert most < 1.5 * read and left < read
+
+
+def test_bitmaps_never_exceed_the_difference():
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    for n, m, shared in ((0, 0, 0), (1, 1, 0), (1, 1, 1), (70, 64, 60), (3000, 2500, 2400), (5000, 40, 40)):
+        h = np.unique(rng.integers(-(2**63), 2**63 - 1, n + m, np.int64))
+        rng.shuffle(h)
+        x, y = np.sort(h[:n]), np.sort(np.concatenate((h[:shared], h[n : n + m - shared])))
+        apart = dedup._apart(dedup._parities(x), dedup._parities(y))
+        assert apart <= n + m - 2 * shared and (apart > 0) == (n + m > 2 * shared)
